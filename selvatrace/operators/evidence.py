@@ -67,12 +67,14 @@ def dossier(status: DataFrame, alerts: DataFrame, movements: DataFrame, page_row
         .agg(F.sort_array(F.collect_list(F.struct("_no", text.alias("_entry")))).alias("_entries"))
         .select("plot_id", "page", F.transform("_entries", lambda e: e["_entry"]).alias("entries"))
     )
-    record = status.join(pages, "plot_id", "left").select(
-        "plot_id",
-        F.coalesce("page", F.lit(1)).alias("page"),
-        "status",
-        F.coalesce("entries", F.array().cast(pages.schema["entries"].dataType)).alias("entries"),
+    # Pages come first: a hot plot has most of them, and Spark splits only the left side of
+    # such a join. Plots without entries are added apart.
+    filled = pages.join(status.select("plot_id", "status"), "plot_id").select("plot_id", "page", "status", "entries")
+    none = F.array().cast(pages.schema["entries"].dataType)
+    empty = status.join(entries.select("plot_id").distinct(), "plot_id", "left_anti").select(
+        "plot_id", F.lit(1).cast("bigint").alias("page"), "status", none.alias("entries")
     )
+    record = filled.unionByName(empty)
     return record.withColumn("document", F.to_json(F.struct("plot_id", "page", "status", "entries")))
 
 

@@ -3,11 +3,14 @@
 Spark plans a bare spatial predicate as a nested loop. Here one side is put into its single
 grid cell and the other is copied to the cells it covers, so Spark joins on the cell, picks
 broadcast or shuffle by measured size, and splits a hot cell at run time. The exact test
-runs inside the join.
+runs inside the join. Where one cell is crowded on the other side as well, the grid is made
+finer there first.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,45 +49,113 @@ def cover_cells(plots: DataFrame, deg: float) -> DataFrame:
     )
 
 
-def _clipped_cover(plots: DataFrame, deg: float) -> DataFrame:
-    """Cells of each plot with the only edges that can matter there.
+SPLIT = 8  # a cell is split this many times along each axis; a power of two splits exactly
+BROADCAST_CELLS = 200_000  # three numbers each, a few megabytes
+
+
+def _split_crowded(boxes: DataFrame, deg: float, crowd: int, levels: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Covers boxes with grid cells and splits the crowded cells.
 
-    A ray runs right from a point in the cell, so an edge that lies above, below or to the
-    left of the cell cannot be crossed and is left out: a plot of many thousand vertices costs
-    a point only the edges level with its cell.
+    A cell that more than ``crowd`` boxes touch is split eightfold along each axis, up to
+    ``levels`` times: in one wide cell full of small boxes every point would otherwise meet
+    every box. It stays whole where the boxes would fill most of its parts, since splitting
+    then only makes copies. Returns one row per box and leaf cell ``(_lvl, _x, _y)``, and the
+    crowded cells of each level. The crowded cells are counted here, to know whether there are
+    any and whether they may be broadcast.
     """
-    boxed = plots.select("plot_id", plot_edges(F.col("rings")).alias("_edges"), *bounds(F.col("rings")))
     xs, ys = _cells_of_box(F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax"), deg)
-    d = F.lit(float(deg))
-    # One cell of slack on each side keeps rounding at a cell border from dropping an edge.
-    left, low, high = (F.col("_cx") - 1) * d, (F.col("_cy") - 1) * d, (F.col("_cy") + 2) * d
-    clipped = F.filter(
-        "_edges",
-        lambda e: (F.greatest(e.ax, e.bx) >= left) & (F.greatest(e.ay, e.by) >= low) & (F.least(e.ay, e.by) <= high),
-    )
-    return (
-        boxed.withColumn("_cx", F.explode(xs))
-        .withColumn("_cy", F.explode(ys))
-        .select("plot_id", "_cx", "_cy", "xmin", "ymin", "xmax", "ymax", clipped.alias("_edges"))
+    open_rows = boxes.withColumn("_x", F.explode(xs)).withColumn("_y", F.explode(ys))
+    leaves, crowded_by_level = [], []
+    for level in range(levels):
+        part = deg / SPLIT ** (level + 1)
+        x_from = F.greatest(cell(F.col("xmin"), part), F.col("_x") * SPLIT)
+        x_to = F.least(cell(F.col("xmax"), part), F.col("_x") * SPLIT + SPLIT - 1)
+        y_from = F.greatest(cell(F.col("ymin"), part), F.col("_y") * SPLIT)
+        y_to = F.least(cell(F.col("ymax"), part), F.col("_y") * SPLIT + SPLIT - 1)
+        touched = (x_to - x_from + 1) * (y_to - y_from + 1)
+        crowded = (
+            open_rows.groupBy("_x", "_y")
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(touched).alias("_touched"))
+            .filter((F.col("_n") > crowd) & (F.col("_touched") * 4 <= F.col("_n") * SPLIT * SPLIT))
+            .select("_x", "_y")
+        )
+        n_crowded = crowded.count()
+        if n_crowded == 0:
+            break
+        if n_crowded <= BROADCAST_CELLS:
+            crowded = F.broadcast(crowded)
+        crowded_by_level.append(crowded)
+        leaves.append(open_rows.join(crowded, ["_x", "_y"], "left_anti").withColumn("_lvl", F.lit(level)))
+        open_rows = (
+            open_rows.join(crowded, ["_x", "_y"], "left_semi")
+            .withColumns({"_xs": F.sequence(x_from, x_to), "_ys": F.sequence(y_from, y_to)})
+            .drop("_x", "_y")
+            .withColumn("_x", F.explode("_xs"))
+            .withColumn("_y", F.explode("_ys"))
+            .drop("_xs", "_ys")
+        )
+    leaves.append(open_rows.withColumn("_lvl", F.lit(len(crowded_by_level))))
+    return reduce(DataFrame.unionByName, leaves), crowded_by_level
+
+
+def _leaf_of_point(points: DataFrame, deg: float, crowded_by_level: list[DataFrame]) -> DataFrame:
+    """Adds the leaf cell ``(_plvl, _px, _py)`` of each point; points are shuffled for this
+    only where the crowded cells are too many to broadcast."""
+    keyed = points.withColumns(
+        {"_plvl": F.lit(0), "_px": cell(F.col("lon"), deg), "_py": cell(F.col("lat"), deg)}
     )
+    for level, crowded in enumerate(crowded_by_level):
+        part = deg / SPLIT ** (level + 1)
+        marks = crowded.select(F.col("_x").alias("_mx"), F.col("_y").alias("_my"))
+        here = (F.col("_plvl") == level) & (F.col("_px") == F.col("_mx")) & (F.col("_py") == F.col("_my"))
+        split = F.col("_mx").isNotNull()
+        keyed = (
+            keyed.join(marks, here, "left")
+            .withColumns(
+                {
+                    "_plvl": F.when(split, level + 1).otherwise(F.col("_plvl")),
+                    "_px": F.when(split, cell(F.col("lon"), part)).otherwise(F.col("_px")),
+                    "_py": F.when(split, cell(F.col("lat"), part)).otherwise(F.col("_py")),
+                }
+            )
+            .drop("_mx", "_my")
+        )
+    return keyed
 
 
-def pip_join(points: DataFrame, plots: DataFrame, deg: float, how: str = "inner") -> DataFrame:
+def pip_join(
+    points: DataFrame, plots: DataFrame, deg: float, how: str = "inner", crowd: int = 256, levels: int = 2
+) -> DataFrame:
     """Points joined to the plots that hold them: inner, left, semi or anti.
 
-    A point has one cell, so no pair can repeat. The box test comes before ray casting and
-    spares it for most candidates. ``points`` carries ``lon`` and ``lat`` and no ``plot_id``.
+    A point has one leaf cell, so no pair can repeat. A row of the cover holds only the edges
+    that matter in its cell: a ray runs right from the point, so an edge above, below or left
+    of the cell cannot be crossed. A plot of many thousand vertices thus costs a point only the
+    edges level with its cell. The box test comes before ray casting and spares it for most
+    candidates. A cell hot with points is split by Spark's skew join, which can split the left
+    side of all four join types. ``points`` carries ``lon`` and ``lat`` and no ``plot_id``;
+    ``deg``, ``crowd`` and ``levels`` shape the grid and do not change the result.
     """
-    keyed = points.withColumns({"_px": cell(F.col("lon"), deg), "_py": cell(F.col("lat"), deg)})
+    boxed = plots.select("plot_id", plot_edges(F.col("rings")).alias("_edges"), *bounds(F.col("rings")))
+    cover, crowded_by_level = _split_crowded(boxed, deg, crowd, levels)
+    width = F.lit(float(deg)) / F.pow(F.lit(float(SPLIT)), F.col("_lvl"))
+    # One cell of slack on each side keeps rounding at a cell border from dropping an edge.
+    left, low, high = (F.col("_x") - 1) * width, (F.col("_y") - 1) * width, (F.col("_y") + 2) * width
+    clipped = F.filter(
+        "_edges",
+        lambda e: (F.greatest(e.ax, e.bx) >= left) & (F.greatest(e.ay, e.by) >= low) & (F.least(e.ay, e.by) <= high),
+    )
+    cover = cover.withColumn("_edges", clipped)
     holds = (
-        (F.col("_px") == F.col("_cx"))
-        & (F.col("_py") == F.col("_cy"))
+        (F.col("_plvl") == F.col("_lvl"))
+        & (F.col("_px") == F.col("_x"))
+        & (F.col("_py") == F.col("_y"))
         & F.col("lon").between(F.col("xmin"), F.col("xmax"))
         & F.col("lat").between(F.col("ymin"), F.col("ymax"))
         & inside(F.col("_edges"), F.col("lon"), F.col("lat"))
     )
-    joined = keyed.join(_clipped_cover(plots, deg), holds, JOIN_TYPES[how])
-    return joined.drop("_px", "_py", "_cx", "_cy", "xmin", "ymin", "xmax", "ymax", "_edges")
+    joined = _leaf_of_point(points, deg, crowded_by_level).join(cover, holds, JOIN_TYPES[how])
+    return joined.drop("_plvl", "_px", "_py", "_lvl", "_x", "_y", "xmin", "ymin", "xmax", "ymax", "_edges")
 
 
 def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
@@ -122,7 +193,6 @@ def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame
 # Width in degrees of the coarsest cells of the nearest-neighbour search: the whole world is
 # nine by five of them, which bounds the table of their counts.
 TOP_DEG = 45.0
-SPLIT = 8  # a cell is split this many times along each axis at the next level
 
 
 def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
@@ -201,29 +271,30 @@ def _cells_in_reach(open_cells: DataFrame, deg: float, k: int) -> DataFrame:
     )
 
 
-def bbox_overlap_join(plots: DataFrame, deg: float) -> DataFrame:
+def bbox_overlap_join(plots: DataFrame, deg: float, crowd: int = 256, levels: int = 2) -> DataFrame:
     """Pairs of plots whose bounding boxes overlap, each pair once, smaller id first.
 
-    Two boxes can share many cells; the pair is kept only in the cell that holds the lower
+    Two boxes can share many cells; the pair is kept only in the leaf cell that holds the lower
     left corner of their overlap, so no distinct is needed.
     """
     boxed = plots.select("plot_id", *bounds(F.col("rings")))
-    xs, ys = _cells_of_box(F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax"), deg)
-    cells = boxed.withColumn("_x", F.explode(xs)).withColumn("_y", F.explode(ys))
+    cells, _ = _split_crowded(boxed, deg, crowd, levels)
+    width = F.lit(float(deg)) / F.pow(F.lit(float(SPLIT)), F.col("_lvl"))
     a = cells.withColumnsRenamed({c: f"a_{c}" for c in ("plot_id", "xmin", "ymin", "xmax", "ymax")})
-    b = cells.withColumnsRenamed({c: f"b_{c}" for c in ("plot_id", "xmin", "ymin", "xmax", "ymax")}).withColumnsRenamed(
-        {"_x": "_bx", "_y": "_by"}
+    b = cells.withColumnsRenamed(
+        {c: f"b_{c}" for c in ("plot_id", "xmin", "ymin", "xmax", "ymax")} | {c: f"_b{c}" for c in ("_lvl", "_x", "_y")}
     )
     corner_x = F.greatest("a_xmin", "b_xmin")
     corner_y = F.greatest("a_ymin", "b_ymin")
     overlap = (
-        (F.col("_x") == F.col("_bx"))
-        & (F.col("_y") == F.col("_by"))
+        (F.col("_lvl") == F.col("_b_lvl"))
+        & (F.col("_x") == F.col("_b_x"))
+        & (F.col("_y") == F.col("_b_y"))
         & (F.col("a_plot_id") < F.col("b_plot_id"))
         & (corner_x <= F.least("a_xmax", "b_xmax"))
         & (corner_y <= F.least("a_ymax", "b_ymax"))
-        & (cell(corner_x, deg) == F.col("_x"))
-        & (cell(corner_y, deg) == F.col("_y"))
+        & (F.floor(corner_x / width) == F.col("_x"))
+        & (F.floor(corner_y / width) == F.col("_y"))
     )
     return a.join(b, overlap).select("a_plot_id", "b_plot_id")
 

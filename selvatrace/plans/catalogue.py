@@ -158,7 +158,7 @@ def cover_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pip(how: str) -> Query:
-    return lambda spark, d: spatial.pip_join(_points(spark, d), roles.plots(spark, d), 0.1, how)
+    return lambda spark, d: spatial.pip_join(_points(spark, d), roles.plots(spark, d), 1.0, how, crowd=16)
 
 
 def within_distance_join(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +170,7 @@ def knn_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bbox_overlap_join(spark: SparkSession, d: str) -> DataFrame:
-    return spatial.bbox_overlap_join(roles.plots(spark, d), 0.25)
+    return spatial.bbox_overlap_join(roles.plots(spark, d), 1.0, crowd=16)
 
 
 def polygon_area(spark: SparkSession, d: str) -> DataFrame:
@@ -348,7 +348,7 @@ def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
         roles.tenures(spark, d).select("plot_id", "holder_id", "valid_from"), ["plot_id"], ["valid_from", "holder_id"]
     )
     facts = roles.plot_admin(spark, d).join(newest, "plot_id", "left")
-    out = drain(live.stream_enrich(alert_stream(spark, d), facts), "enrich")
+    out = drain(live.stream_enrich(alert_stream(spark, d), facts, salts=4), "enrich")
     return out.select("alert_id", "plot_id", "admin1", "admin2", F.coalesce("holder_id", F.lit(-1)).alias("holder_id"))
 
 

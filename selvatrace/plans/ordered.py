@@ -23,6 +23,16 @@ def time_chunk(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(int(seconds) * 1_000_000))
 
 
+def fitting_chunk_seconds(df: DataFrame, keys: list[str], ts: str, rows: int, probe_seconds: int = 86400) -> int:
+    """A chunk width at which the busiest key has about ``rows`` rows per chunk.
+
+    Counts rows per key and probe span (combined on the map side) and scales the span by the
+    largest count. Runs a job; the width may be kept, as it never changes a result.
+    """
+    busiest = df.groupBy(*keys, time_chunk(F.col(ts), probe_seconds)).count().agg(F.max("count")).first()[0]
+    return max(1, probe_seconds * rows // max(1, busiest or 1))
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys match each other; the left key columns stay."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

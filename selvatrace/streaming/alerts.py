@@ -40,28 +40,42 @@ def stream_dedup(stream: DataFrame, key: list[str], delay: str) -> DataFrame:
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(key)
 
 
-def stream_enrich(stream: DataFrame, plot_facts: DataFrame) -> DataFrame:
-    """Attaches what is known of the plot; alerts on unknown plots are kept."""
-    return stream.join(plot_facts, "plot_id", "left")
+def _salted(left: DataFrame, right: DataFrame, spread_by: str, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Shares each join key among ``salts`` tasks: left rows draw a number, right rows go to all.
+
+    Batch joins need no such help, but streaming joins are not split at run time.
+    """
+    drawn = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    return drawn, right.withColumn("_salt_r", F.explode(every))
+
+
+def stream_enrich(stream: DataFrame, plot_facts: DataFrame, salts: int) -> DataFrame:
+    """Attaches what is known of the plot; alerts on unknown plots are kept.
+
+    ``plot_facts`` holds one row per plot. A hot plot is shared by ``salts`` tasks; 1 is right
+    where the facts are small enough for Spark to broadcast them.
+    """
+    left, right = _salted(stream, plot_facts.withColumnRenamed("plot_id", "_plot"), "alert_id", salts)
+    same = (F.col("plot_id") == F.col("_plot")) & (F.col("_salt") == F.col("_salt_r"))
+    return left.join(right, same, "left").drop("_plot", "_salt", "_salt_r")
 
 
 def stream_confirm(a: DataFrame, b: DataFrame, window: str, delay: str, salts: int) -> DataFrame:
     """Alerts of ``a`` with an alert of ``b`` on the same plot at most ``window`` away, live.
 
-    Streams are not split at run time as batch joins are, so each alert of ``a`` draws one of
-    ``salts`` numbers and each alert of ``b`` goes to all of them: a hot plot is shared by
-    ``salts`` tasks. Pass the rarer source as ``b``.
+    A hot plot is shared by ``salts`` tasks. Pass the rarer source as ``b``.
     """
-    left = a.withWatermark("ts", delay).withColumn("_salt", F.pmod(F.xxhash64("alert_id"), F.lit(salts)))
-    right = (
-        b.select(F.col("plot_id").alias("_plot"), F.col("ts").alias("_ts"))
-        .withWatermark("_ts", delay)
-        .withColumn("_salt_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    left, right = _salted(
+        a.withWatermark("ts", delay),
+        b.select(F.col("plot_id").alias("_plot"), F.col("ts").alias("_ts")).withWatermark("_ts", delay),
+        "alert_id",
+        salts,
     )
     wide = F.expr(f"INTERVAL {window}")
     near = (
         (F.col("plot_id") == F.col("_plot"))
-        & (F.col("_salt") == F.col("_salt_b"))
+        & (F.col("_salt") == F.col("_salt_r"))
         & (F.col("_ts") >= F.col("ts") - wide)
         & (F.col("_ts") <= F.col("ts") + wide)
     )
