@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from selvatrace.plans.ordered import first_rows, join_on, last_seen, time_chunk
+from selvatrace.plans.ordered import first_rows, last_seen, time_chunk
 
 
 def classify_alerts(alerts: DataFrame, bands: list[tuple[str, float, list[str] | None]], otherwise: str) -> DataFrame:
@@ -176,4 +176,4 @@ def calendar(plots: DataFrame, first: str, last: str) -> DataFrame:
 def monitoring_gaps(alerts: DataFrame, days: DataFrame) -> DataFrame:
     """Plot-days of the calendar without any alert."""
     seen = alerts.select("plot_id", F.to_date("ts").alias("day")).distinct()
-    return join_on(days, seen, ["plot_id", "day"], "left_anti")
+    return days.join(seen, ["plot_id", "day"], "left_anti")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from selvatrace.plans.ordered import join_on
 from selvatrace.session import cut_lineage
 
 
@@ -24,12 +23,12 @@ def edge_totals(movements: DataFrame) -> DataFrame:
 
 def linked_lots(lots: DataFrame, movements: DataFrame) -> DataFrame:
     """Lots with a traced movement. Movements are reduced to distinct lots first."""
-    return join_on(lots, movements.select("lot_id").distinct(), ["lot_id"], "left_semi")
+    return lots.join(movements.select("lot_id").distinct(), "lot_id", "left_semi")
 
 
 def unlinked_lots(lots: DataFrame, movements: DataFrame) -> DataFrame:
     """Lots without any traced movement."""
-    return join_on(lots, movements.select("lot_id").distinct(), ["lot_id"], "left_anti")
+    return lots.join(movements.select("lot_id").distinct(), "lot_id", "left_anti")
 
 
 def reach(edges: DataFrame, max_depth: int) -> DataFrame:
@@ -39,8 +38,8 @@ def reach(edges: DataFrame, max_depth: int) -> DataFrame:
     and writes them to the shared folder, so cycles end and the plan does not grow. A node
     that reaches itself lies on a cycle and is reported.
     """
-    steps = edges.select("src", "dst").distinct()
-    fresh = cut_lineage(steps.select(F.col("src").alias("origin"), F.col("dst").alias("node"), F.lit(1).alias("depth")))
+    steps = cut_lineage(edges.select("src", "dst").distinct())
+    fresh = steps.select(F.col("src").alias("origin"), F.col("dst").alias("node"), F.lit(1).alias("depth"))
     rounds = [fresh]
     for depth in range(2, max_depth + 1):
         if fresh.isEmpty():
@@ -69,7 +68,7 @@ def exposure(edges: DataFrame, own: DataFrame, steps: int) -> DataFrame:
     totals = edges.groupBy("src", "dst").agg(F.sum("qty").alias("_qty")).filter(F.col("_qty") > 0)
     intake = totals.groupBy("dst").agg(F.sum("_qty").alias("_all"))
     shares = cut_lineage(
-        join_on(totals, intake, ["dst"]).select(
+        totals.join(intake, "dst").select(
             "src", "dst", (F.col("_qty").cast("decimal(20,4)") / F.col("_all").cast("decimal(20,4)")).cast("decimal(19,18)").alias("_share")
         )
     )

@@ -18,9 +18,10 @@ from selvatrace.session import cut_lineage
 def zonal_stats(obs: DataFrame, zone: list[str], value: str, band: float) -> DataFrame:
     """Count, sum, mean, min, max and exact median of ``value`` per zone.
 
-    Observations are first reduced to one row per zone and distinct value. The median is then
-    found band by band: counts per band of width ``band`` say which band holds it, and only
-    that band is ranked. Any band width gives the same result.
+    Observations are first reduced to one row per zone and distinct value. Counts per band of
+    width ``band`` then say which band holds the median and how many values lie below it; that
+    goes into the band as one more row, and ranks are counted inside each band. So the values
+    of one zone are shared among as many tasks as it has bands. Any width gives the same result.
     """
     v = F.col(value)
     hist = (
@@ -29,37 +30,42 @@ def zonal_stats(obs: DataFrame, zone: list[str], value: str, band: float) -> Dat
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_band", F.floor(v / F.lit(band)).cast("bigint"))
     )
-    stats = hist.groupBy(*zone).agg(
-        F.sum("_n").alias("n_obs"),
-        F.sum(v * F.col("_n")).alias("total"),
-        F.min(v).alias("smallest"),
-        F.max(v).alias("largest"),
-    )
     per_zone = W.partitionBy(*zone)
-    before = per_zone.orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
-    bands = (
+    below = per_zone.orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
+    middle_bands = (
         hist.groupBy(*zone, "_band")
         .agg(F.sum("_n").alias("_in_band"))
-        .withColumn("_before", F.coalesce(F.sum("_in_band").over(before), F.lit(0)))
+        .withColumn("_below", F.coalesce(F.sum("_in_band").over(below), F.lit(0)))
         .withColumn("_all", F.sum("_in_band").over(per_zone))
         .withColumn("_low", F.floor((F.col("_all") + 1) / 2))
         .withColumn("_high", F.floor(F.col("_all") / 2) + 1)
-        .filter((F.col("_before") < F.col("_high")) & (F.col("_before") + F.col("_in_band") >= F.col("_low")))
+        .filter((F.col("_below") < F.col("_high")) & (F.col("_below") + F.col("_in_band") >= F.col("_low")))
+        .select(*zone, "_band", "_below", "_low", "_high")
+    )
+    in_band = W.partitionBy(*zone, "_band")
+    ranked = (
+        hist.unionByName(middle_bands, allowMissingColumns=True)
+        # Bands without the median have no such row, so their ranks stay null.
+        .withColumn("_base", F.max("_below").over(in_band))
+        .withColumn("_lo", F.max("_low").over(in_band))
+        .withColumn("_hi", F.max("_high").over(in_band))
+        .withColumn("_to", F.col("_base") + F.sum("_n").over(in_band.orderBy(value).rowsBetween(W.unboundedPreceding, 0)))
     )
-    in_band = W.partitionBy(*zone, "_band").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
 
     def at(rank: str) -> Column:
         reached = F.col("_to")
-        return F.max(F.when((reached >= F.col(rank)) & (reached - F.col("_n") < F.col(rank)), v))
+        return F.max(F.when((reached >= F.col(rank)) & (reached - F.col("_n") < F.col(rank)), v)).cast("double")
 
-    middle = (
-        join_on(hist, bands, [*zone, "_band"])
-        .withColumn("_to", F.col("_before") + F.sum("_n").over(in_band))
-        .groupBy(*zone)
-        .agg(((at("_low").cast("double") + at("_high").cast("double")) / F.lit(2.0)).alias("median"))
-    )
-    return join_on(stats, middle, zone).withColumn(
-        "mean", F.col("total").cast("double") / F.col("n_obs").cast("double")
+    return (
+        ranked.groupBy(*zone)
+        .agg(
+            F.sum("_n").alias("n_obs"),
+            F.sum(v * F.col("_n")).alias("total"),
+            F.min(v).alias("smallest"),
+            F.max(v).alias("largest"),
+            ((at("_lo") + at("_hi")) / F.lit(2.0)).alias("median"),
+        )
+        .withColumn("mean", F.col("total").cast("double") / F.col("n_obs").cast("double"))
     )
 
 
@@ -145,10 +151,10 @@ def baseline_anomaly(
         with_lead_in(rows, key, "_chunk", order, n)
         .withColumn("base_mean", F.avg("value").over(window))
         .withColumn("base_std", F.stddev_samp("value").over(window))
-        .filter(~F.col("_lead_in"))
+        .filter("_own")
     )
     z = (F.col("value") - F.col("base_mean")) / F.nullif(F.col("base_std"), F.lit(0.0))
-    return scored.withColumn("z_score", z).drop("_chunk", "_lead_in")
+    return scored.withColumn("z_score", z).drop("_chunk", "_own")
 
 
 def best_composite(pixels: DataFrame, period: str) -> DataFrame:

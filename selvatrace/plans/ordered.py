@@ -2,10 +2,12 @@
 
 A window over a key sorts all rows of that key in one task, which fails when the key holds
 a third of the table. Here every key is cut into chunks that rise with the order (a span of
-time, a band of values). The window runs inside (key, chunk); what a chunk has to hand on is
-reduced on the map side to one row per (key, chunk); those few rows are scanned per key and
-joined back. The result is the same for every chunk width: the width only sets how evenly
-the work is spread.
+time, a band of values). What a chunk has to hand on is reduced on the map side to one row
+per (key, chunk); those few rows are scanned per key; and each chunk gets what the chunks
+before it hand on as one more row, the lead-in. One window over (key, chunk) then sees all
+it needs and the lead-in rows are dropped. The full rows are shuffled once and never joined,
+and null keys form a key like any other. The result is the same for every chunk width: the
+width only sets how evenly the work is spread.
 """
 
 from __future__ import annotations
@@ -41,6 +43,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def _earlier(keys: list[str], chunk: str) -> W:
+    return W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
+
+
+def _with_extra(df: DataFrame, extra: DataFrame) -> DataFrame:
+    """``df`` and the rows handed on, told apart by ``_own``."""
+    own = df.withColumn("_own", F.lit(True))
+    return own.unionByName(extra.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+
+
 def running_total(
     df: DataFrame, keys: list[str], chunk: str, order: list[Column], value: Column, name: str
 ) -> DataFrame:
@@ -48,13 +60,16 @@ def running_total(
 
     ``order`` must be total within a key.
     """
-    parts = df.groupBy(*keys, chunk).agg(F.sum(value).alias("_part"))
-    earlier = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
-    carried = parts.select(*keys, chunk, F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_carried"))
-    here = W.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = df.withColumn("_local", F.sum(value).over(here))
-    joined = join_on(local, carried, [*keys, chunk])
-    return joined.withColumn(name, F.col("_local") + F.col("_carried")).drop("_local", "_carried")
+    rows = df.withColumn("_value", value)
+    parts = rows.groupBy(*keys, chunk).agg(F.sum("_value").alias("_value"))
+    handed_on = parts.withColumn("_value", F.sum("_value").over(_earlier(keys, chunk))).filter(F.col("_value").isNotNull())
+    here = W.partitionBy(*keys, chunk).orderBy("_own", *order).rowsBetween(W.unboundedPreceding, 0)
+    return (
+        _with_extra(rows, handed_on)
+        .withColumn(name, F.sum("_value").over(here))
+        .filter("_own")
+        .drop("_own", "_value")
+    )
 
 
 def last_seen(
@@ -62,35 +77,40 @@ def last_seen(
 ) -> DataFrame:
     """Adds ``name``: the latest non-null ``value`` of the key at or before this row."""
     parts = df.groupBy(*keys, chunk).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_part")
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(value)
+    )
+    handed_on = parts.withColumn(value, F.last(value, ignorenulls=True).over(_earlier(keys, chunk))).filter(
+        F.col(value).isNotNull()
+    )
+    here = W.partitionBy(*keys, chunk).orderBy("_own", *order).rowsBetween(W.unboundedPreceding, 0)
+    return (
+        _with_extra(df, handed_on)
+        .withColumn(name, F.last(value, ignorenulls=True).over(here))
+        .filter("_own")
+        .drop("_own")
     )
-    earlier = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
-    carried = parts.select(*keys, chunk, F.last("_part", ignorenulls=True).over(earlier).alias("_carried"))
-    here = W.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = df.withColumn("_local", F.last(value, ignorenulls=True).over(here))
-    joined = join_on(local, carried, [*keys, chunk])
-    return joined.withColumn(name, F.coalesce("_local", "_carried")).drop("_local", "_carried")
 
 
 def next_row(
     df: DataFrame, keys: list[str], chunk: str, order: list[str], cols: list[str], name: str
 ) -> DataFrame:
     """Adds ``name``: a struct of ``cols`` from the key's next row, null on its last row."""
-    firsts = df.groupBy(*keys, chunk).agg(
-        F.min_by(F.struct(*cols), F.struct(*order)).alias("_part")
+    rows = df.withColumn("_cols", F.struct(*cols))
+    firsts = rows.groupBy(*keys, chunk).agg(F.min_by("_cols", F.struct(*order)).alias("_cols"))
+    handed_on = firsts.withColumn("_cols", F.lead("_cols").over(W.partitionBy(*keys).orderBy(chunk))).filter(
+        F.col("_cols").isNotNull()
+    )
+    # Here the extra row comes from the chunk after, so it goes last.
+    here = W.partitionBy(*keys, chunk).orderBy(F.col("_own").desc(), *order)
+    return (
+        _with_extra(rows, handed_on).withColumn(name, F.lead("_cols").over(here)).filter("_own").drop("_own", "_cols")
     )
-    following = W.partitionBy(*keys).orderBy(chunk)
-    carried = firsts.select(*keys, chunk, F.lead("_part").over(following).alias("_carried"))
-    here = W.partitionBy(*keys, chunk).orderBy(*order)
-    local = df.withColumn("_local", F.lead(F.struct(*cols)).over(here))
-    joined = join_on(local, carried, [*keys, chunk])
-    return joined.withColumn(name, F.coalesce("_local", "_carried")).drop("_local", "_carried")
 
 
 def with_lead_in(df: DataFrame, keys: list[str], chunk: str, order: list[str], n: int) -> DataFrame:
     """Adds to every chunk the ``n`` rows of the key that come right before it.
 
-    The added rows carry ``_lead_in = true``. A window of up to ``n`` preceding rows over
+    The added rows carry ``_own = false``. A window of up to ``n`` preceding rows over
     (key, chunk) is then complete, and the added rows are dropped after it. Each chunk hands
     on at most ``n`` rows and every earlier chunk holds at least one, so looking back over
     ``n`` chunks is enough.
@@ -108,9 +128,9 @@ def with_lead_in(df: DataFrame, keys: list[str], chunk: str, order: list[str], n
         tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(earlier)))
         .filter(F.size("_before") > 0)
         .withColumn("_row", F.explode(F.slice("_before", -F.least(F.lit(n), F.size("_before")), F.lit(n))))
-        .select(*keys, chunk, *[F.col("_row")[c].alias(c) for c in rest], F.lit(True).alias("_lead_in"))
+        .select(*keys, chunk, *[F.col("_row")[c].alias(c) for c in rest])
     )
-    return df.withColumn("_lead_in", F.lit(False)).unionByName(lead_in)
+    return _with_extra(df, lead_in)
 
 
 def first_rows(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
