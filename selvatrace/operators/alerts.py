@@ -34,7 +34,8 @@ def top_alerts(alerts: DataFrame, k: int) -> DataFrame:
 
 
 def incidents(alerts: DataFrame, gap_seconds: int) -> DataFrame:
-    """Alerts of a plot merged into incidents; a pause of ``gap_seconds`` or more starts a new one.
+    """Alerts of a plot merged into incidents; a pause longer than ``gap_seconds`` starts a
+    new one, just as in Spark's ``session_window``.
 
     Two alerts inside one span of ``gap_seconds`` are always closer than the gap, so every
     span is reduced to one row before anything is sorted: a plot is left with at most one row
@@ -45,7 +46,7 @@ def incidents(alerts: DataFrame, gap_seconds: int) -> DataFrame:
     )
     by_span = W.partitionBy("plot_id").orderBy("_span")
     pause = F.unix_micros("_from") - F.unix_micros(F.lag("_to").over(by_span))
-    starts = F.when(pause < gap_seconds * 1_000_000, 0).otherwise(1)
+    starts = F.when(pause <= gap_seconds * 1_000_000, 0).otherwise(1)
     numbered = spans.withColumn("_starts", starts).withColumn(
         "incident_no", F.sum("_starts").over(by_span.rowsBetween(W.unboundedPreceding, 0))
     )

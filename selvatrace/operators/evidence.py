@@ -58,23 +58,19 @@ def dossier(status: DataFrame, alerts: DataFrame, movements: DataFrame, page_row
     chunked = entries.withColumn("_chunk", F.floor(F.unix_date("on_day") / day_chunk))
     order = [F.col("on_day"), F.col("kind"), F.col("ref")]
     numbered = running_total(chunked, ["plot_id"], "_chunk", order, F.lit(1), "_no")
-    text = F.struct(
+    entry = F.struct(
         F.date_format("on_day", "yyyy-MM-dd").alias("on_day"), "kind", "ref", "note", F.col("amount").cast("string").alias("amount")
     )
+    # Each plot adds a row without an entry to its first page, so a plot without any has a page.
+    paged = numbered.select(
+        "plot_id", (F.floor((F.col("_no") - 1) / page_rows) + 1).alias("page"), F.struct("_no", entry.alias("_entry")).alias("_numbered")
+    ).unionByName(status.select("plot_id", F.lit(1).cast("bigint").alias("page")), allowMissingColumns=True)
     pages = (
-        numbered.withColumn("page", F.floor((F.col("_no") - 1) / page_rows) + 1)
-        .groupBy("plot_id", "page")
-        .agg(F.sort_array(F.collect_list(F.struct("_no", text.alias("_entry")))).alias("_entries"))
+        paged.groupBy("plot_id", "page")
+        .agg(F.sort_array(F.collect_list("_numbered")).alias("_entries"))
         .select("plot_id", "page", F.transform("_entries", lambda e: e["_entry"]).alias("entries"))
     )
-    # Pages come first: a hot plot has most of them, and Spark splits only the left side of
-    # such a join. Plots without entries are added apart.
-    filled = pages.join(status.select("plot_id", "status"), "plot_id").select("plot_id", "page", "status", "entries")
-    none = F.array().cast(pages.schema["entries"].dataType)
-    empty = status.join(entries.select("plot_id").distinct(), "plot_id", "left_anti").select(
-        "plot_id", F.lit(1).cast("bigint").alias("page"), "status", none.alias("entries")
-    )
-    record = filled.unionByName(empty)
+    record = pages.join(status.select("plot_id", "status"), "plot_id").select("plot_id", "page", "status", "entries")
     return record.withColumn("document", F.to_json(F.struct("plot_id", "page", "status", "entries")))
 
 

@@ -227,7 +227,8 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
     by_level.reverse()
 
     origin = a.select(F.col("id").alias("a_id"), "lon", "lat")
-    # Not a size guess: the coarsest grid has at most 9 x 5 cells.
+    # Not a size guess: cells off the globe are cut, which leaves at most 9 x 5.
+    by_level[0] = by_level[0].filter(F.col("_x").between(-4, 4) & F.col("_y").between(-2, 2))
     world = origin.withColumn("_x", F.explode(F.sequence(F.lit(-4).cast("bigint"), F.lit(4).cast("bigint")))).withColumn(
         "_y", F.explode(F.sequence(F.lit(-2).cast("bigint"), F.lit(2).cast("bigint")))
     )

@@ -92,7 +92,7 @@ FROM (SELECT *, time_bucket(INTERVAL '1 day', ts) AS win_start, time_bucket(INTE
 _CLOSED = "(SELECT max(ts) - INTERVAL '1 day' FROM alert)"
 
 _INCIDENT = """, marked AS (
-  SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL '2 hours' THEN 0 ELSE 1 END AS starts FROM alert
+  SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '2 hours' THEN 0 ELSE 1 END AS starts FROM alert
   WINDOW w AS (PARTITION BY plot_id ORDER BY ts, alert_id)),
 numbered AS (
   SELECT *, sum(starts) OVER (PARTITION BY plot_id ORDER BY ts, alert_id ROWS UNBOUNDED PRECEDING) AS incident_no FROM marked)

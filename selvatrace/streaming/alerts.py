@@ -22,7 +22,7 @@ def stream_sliding(stream: DataFrame, width: str, slide: str, delay: str) -> Dat
 
 
 def stream_incidents(stream: DataFrame, gap: str, delay: str) -> DataFrame:
-    """Incidents live: a pause of ``gap`` or more on a plot starts a new one.
+    """Incidents live: a pause longer than ``gap`` on a plot starts a new one.
 
     With merging in local partitions on (see ``session.SETTINGS``), a hot plot's alerts are
     merged into sessions inside each map task before they are shuffled.
