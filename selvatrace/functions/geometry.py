@@ -1,4 +1,4 @@
-"""Grid cells, great-circle distance and ring expressions, all built-in column functions.
+"""Great-circle distance and ring expressions, all built-in column functions.
 
 Coordinates are degrees. The poles and the antimeridian are out of scope: a plot or a
 search circle that crosses them has to be rejected first.
@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6371008.8  # mean radius of the sphere used for every distance and area
 
 
-def cell(coord: Column, deg: float) -> Column:
-    """Index of the grid cell of width ``deg`` that holds ``coord``."""
-    return F.floor(coord / F.lit(float(deg)))
-
-
 def great_circle_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Haversine distance in metres, rounded to the millimetre.
 

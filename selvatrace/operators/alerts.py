@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from selvatrace.plans import grid
 from selvatrace.plans.ordered import first_rows, last_seen, time_chunk
 
 
@@ -84,37 +85,40 @@ def asof_state(alerts: DataFrame, states: DataFrame, key: list[str], chunk_secon
     return seen.filter(F.col("_side") == 1).select("_alert.*", "_seen.*")
 
 
-def tenure_join(facts: DataFrame, tenures: DataFrame, ts: str, span_days: int) -> DataFrame:
+def tenure_join(
+    facts: DataFrame, tenures: DataFrame, ts: str, span_days: float, crowd: int = 256, levels: int = 2
+) -> DataFrame:
     """Each fact with the holder of its plot at that time: ``valid_from <= ts < valid_to``.
 
-    Facts without a holder are kept. Tenures are cut into spans of ``span_days`` and joined on
-    (plot, span), so a fact meets only the tenures of its own span, and a hot plot is spread
-    over time. A fact lies in one span, so nothing is matched twice. A tenure without an end
-    runs to the last fact.
+    Facts without a holder are kept, and tenures may overlap. Tenures are cut into spans of
+    ``span_days`` and joined on (plot, span), so a fact meets only the tenures of its own span
+    and a hot plot is spread over time; a span crowded with short tenures is cut finer. A fact
+    lies in one span, so nothing is matched twice. A tenure without an end runs to the last
+    fact. ``span_days``, ``crowd`` and ``levels`` do not change the result.
     """
-    width = span_days * 86400
     open_end = facts.agg(F.max(ts)).scalar()
-    spans = (
-        tenures.withColumn("_last", F.coalesce(F.col("valid_to"), F.greatest(open_end, F.col("valid_from"))))
-        .filter(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
-        .select(
-            F.col("plot_id").alias("_plot"),
-            "holder_id",
-            "valid_from",
-            "valid_to",
-            F.explode(
-                F.sequence(time_chunk(F.col("valid_from"), width), time_chunk(F.col("_last"), width))
-            ).alias("_span_of"),
-        )
+
+    def day(c: Column) -> Column:
+        return F.unix_micros(c).cast("double") / F.lit(86400e6)
+
+    held = tenures.filter(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))).select(
+        F.col("plot_id").alias("_plot"),
+        "holder_id",
+        "valid_from",
+        "valid_to",
+        day(F.col("valid_from")).alias("_from"),
+        day(F.coalesce(F.col("valid_to"), F.greatest(open_end, F.col("valid_from")))).alias("_to"),
     )
-    keyed = facts.withColumn("_span", time_chunk(F.col(ts), width))
+    spans, crowded = grid.cover(held, ["_plot"], [("_from", "_to")], span_days, crowd, levels)
+    crowded = [c.withColumnRenamed("_plot", "plot_id") for c in crowded]
+    keyed = grid.leaf_of(facts, ["plot_id"], [day(F.col(ts))], span_days, crowded)
     holds = (
         (F.col("plot_id") == F.col("_plot"))
-        & (F.col("_span") == F.col("_span_of"))
+        & grid.same_leaf(1)
         & (F.col("valid_from") <= F.col(ts))
         & (F.col("valid_to").isNull() | (F.col(ts) < F.col("valid_to")))
     )
-    return keyed.join(spans, holds, "left").drop("_span", "_span_of", "_plot")
+    return keyed.join(spans, holds, "left").drop(*grid.helper_columns(1), "_plot", "_from", "_to")
 
 
 def confirm_alerts(a: DataFrame, b: DataFrame, window_seconds: int) -> DataFrame:

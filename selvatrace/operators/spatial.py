@@ -9,9 +9,7 @@ finer there first.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,15 +17,17 @@ from selvatrace.functions.geometry import (
     EARTH_RADIUS_M,
     area_ha,
     bounds,
-    cell,
     great_circle_m,
     inside,
     lon_reach_deg,
     metres_to_degrees,
     plot_edges,
 )
+from selvatrace.plans import grid
+from selvatrace.plans.grid import cell
 from selvatrace.plans.ordered import first_rows
 
+BOX_AXES = [("xmin", "xmax"), ("ymin", "ymax")]
 JOIN_TYPES = {"inner": "inner", "left": "left", "semi": "left_semi", "anti": "left_anti"}
 
 
@@ -36,91 +36,10 @@ def cell_id(points: DataFrame, deg: float) -> DataFrame:
     return points.withColumns({"cx": cell(F.col("lon"), deg), "cy": cell(F.col("lat"), deg)})
 
 
-def _cells_of_box(xmin: Column, xmax: Column, ymin: Column, ymax: Column, deg: float) -> tuple[Column, Column]:
-    return F.sequence(cell(xmin, deg), cell(xmax, deg)), F.sequence(cell(ymin, deg), cell(ymax, deg))
-
-
 def cover_cells(plots: DataFrame, deg: float) -> DataFrame:
     """One row per plot and grid cell of its bounding box."""
     boxed = plots.select("plot_id", *bounds(F.col("rings")))
-    xs, ys = _cells_of_box(F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax"), deg)
-    return (
-        boxed.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys)).select("plot_id", "cx", "cy")
-    )
-
-
-SPLIT = 8  # a cell is split this many times along each axis; a power of two splits exactly
-BROADCAST_CELLS = 200_000  # three numbers each, a few megabytes
-
-
-def _split_crowded(boxes: DataFrame, deg: float, crowd: int, levels: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Covers boxes with grid cells and splits the crowded cells.
-
-    A cell that more than ``crowd`` boxes touch is split eightfold along each axis, up to
-    ``levels`` times: in one wide cell full of small boxes every point would otherwise meet
-    every box. It stays whole where the boxes would fill most of its parts, since splitting
-    then only makes copies. Returns one row per box and leaf cell ``(_lvl, _x, _y)``, and the
-    crowded cells of each level. The crowded cells are counted here, to know whether there are
-    any and whether they may be broadcast.
-    """
-    xs, ys = _cells_of_box(F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax"), deg)
-    open_rows = boxes.withColumn("_x", F.explode(xs)).withColumn("_y", F.explode(ys))
-    leaves, crowded_by_level = [], []
-    for level in range(levels):
-        part = deg / SPLIT ** (level + 1)
-        x_from = F.greatest(cell(F.col("xmin"), part), F.col("_x") * SPLIT)
-        x_to = F.least(cell(F.col("xmax"), part), F.col("_x") * SPLIT + SPLIT - 1)
-        y_from = F.greatest(cell(F.col("ymin"), part), F.col("_y") * SPLIT)
-        y_to = F.least(cell(F.col("ymax"), part), F.col("_y") * SPLIT + SPLIT - 1)
-        touched = (x_to - x_from + 1) * (y_to - y_from + 1)
-        crowded = (
-            open_rows.groupBy("_x", "_y")
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum(touched).alias("_touched"))
-            .filter((F.col("_n") > crowd) & (F.col("_touched") * 4 <= F.col("_n") * SPLIT * SPLIT))
-            .select("_x", "_y")
-        )
-        n_crowded = crowded.count()
-        if n_crowded == 0:
-            break
-        if n_crowded <= BROADCAST_CELLS:
-            crowded = F.broadcast(crowded)
-        crowded_by_level.append(crowded)
-        leaves.append(open_rows.join(crowded, ["_x", "_y"], "left_anti").withColumn("_lvl", F.lit(level)))
-        open_rows = (
-            open_rows.join(crowded, ["_x", "_y"], "left_semi")
-            .withColumns({"_xs": F.sequence(x_from, x_to), "_ys": F.sequence(y_from, y_to)})
-            .drop("_x", "_y")
-            .withColumn("_x", F.explode("_xs"))
-            .withColumn("_y", F.explode("_ys"))
-            .drop("_xs", "_ys")
-        )
-    leaves.append(open_rows.withColumn("_lvl", F.lit(len(crowded_by_level))))
-    return reduce(DataFrame.unionByName, leaves), crowded_by_level
-
-
-def _leaf_of_point(points: DataFrame, deg: float, crowded_by_level: list[DataFrame]) -> DataFrame:
-    """Adds the leaf cell ``(_plvl, _px, _py)`` of each point; points are shuffled for this
-    only where the crowded cells are too many to broadcast."""
-    keyed = points.withColumns(
-        {"_plvl": F.lit(0), "_px": cell(F.col("lon"), deg), "_py": cell(F.col("lat"), deg)}
-    )
-    for level, crowded in enumerate(crowded_by_level):
-        part = deg / SPLIT ** (level + 1)
-        marks = crowded.select(F.col("_x").alias("_mx"), F.col("_y").alias("_my"))
-        here = (F.col("_plvl") == level) & (F.col("_px") == F.col("_mx")) & (F.col("_py") == F.col("_my"))
-        split = F.col("_mx").isNotNull()
-        keyed = (
-            keyed.join(marks, here, "left")
-            .withColumns(
-                {
-                    "_plvl": F.when(split, level + 1).otherwise(F.col("_plvl")),
-                    "_px": F.when(split, cell(F.col("lon"), part)).otherwise(F.col("_px")),
-                    "_py": F.when(split, cell(F.col("lat"), part)).otherwise(F.col("_py")),
-                }
-            )
-            .drop("_mx", "_my")
-        )
-    return keyed
+    return grid.touch(boxed, BOX_AXES, deg).select("plot_id", F.col("_c0").alias("cx"), F.col("_c1").alias("cy"))
 
 
 def pip_join(
@@ -137,25 +56,23 @@ def pip_join(
     ``deg``, ``crowd`` and ``levels`` shape the grid and do not change the result.
     """
     boxed = plots.select("plot_id", plot_edges(F.col("rings")).alias("_edges"), *bounds(F.col("rings")))
-    cover, crowded_by_level = _split_crowded(boxed, deg, crowd, levels)
-    width = F.lit(float(deg)) / F.pow(F.lit(float(SPLIT)), F.col("_lvl"))
+    leaves, crowded = grid.cover(boxed, [], BOX_AXES, deg, crowd, levels)
+    width = grid.leaf_width(deg)
     # One cell of slack on each side keeps rounding at a cell border from dropping an edge.
-    left, low, high = (F.col("_x") - 1) * width, (F.col("_y") - 1) * width, (F.col("_y") + 2) * width
+    left, low, high = (F.col("_c0") - 1) * width, (F.col("_c1") - 1) * width, (F.col("_c1") + 2) * width
     clipped = F.filter(
         "_edges",
         lambda e: (F.greatest(e.ax, e.bx) >= left) & (F.greatest(e.ay, e.by) >= low) & (F.least(e.ay, e.by) <= high),
     )
-    cover = cover.withColumn("_edges", clipped)
     holds = (
-        (F.col("_plvl") == F.col("_lvl"))
-        & (F.col("_px") == F.col("_x"))
-        & (F.col("_py") == F.col("_y"))
+        grid.same_leaf(2)
         & F.col("lon").between(F.col("xmin"), F.col("xmax"))
         & F.col("lat").between(F.col("ymin"), F.col("ymax"))
         & inside(F.col("_edges"), F.col("lon"), F.col("lat"))
     )
-    joined = _leaf_of_point(points, deg, crowded_by_level).join(cover, holds, JOIN_TYPES[how])
-    return joined.drop("_plvl", "_px", "_py", "_lvl", "_x", "_y", "xmin", "ymin", "xmax", "ymax", "_edges")
+    keyed = grid.leaf_of(points, [], [F.col("lon"), F.col("lat")], deg, crowded)
+    joined = keyed.join(leaves.withColumn("_edges", clipped), holds, JOIN_TYPES[how])
+    return joined.drop(*grid.helper_columns(2), "xmin", "ymin", "xmax", "ymax", "_edges")
 
 
 def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
@@ -166,27 +83,19 @@ def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame
     side as ``b``. A point of ``a`` has one cell, so no pair can repeat.
     """
     deg = metres_to_degrees(metres)
-    reach = lon_reach_deg(F.col("lat"), metres)
     # The hair over the exact reach covers the rounding of the distance to millimetres.
     slack = 1e-7
-    xs, ys = _cells_of_box(
-        F.col("lon") - reach - slack,
-        F.col("lon") + reach + slack,
-        F.col("lat") - F.lit(deg + slack),
-        F.col("lat") + F.lit(deg + slack),
-        deg,
-    )
-    around = (
-        b.select(F.col("id").alias("b_id"), F.col("lon").alias("_blon"), F.col("lat").alias("_blat"), xs.alias("_xs"), ys.alias("_ys"))
-        .withColumn("_cx", F.explode("_xs"))
-        .withColumn("_cy", F.explode("_ys"))
-        .drop("_xs", "_ys")
+    circles = b.select(F.col("id").alias("b_id"), F.col("lon").alias("_blon"), F.col("lat").alias("_blat"))
+    wide, high = lon_reach_deg(F.col("_blat"), metres) + slack, F.lit(deg + slack)
+    boxed = circles.withColumns(
+        {"xmin": F.col("_blon") - wide, "xmax": F.col("_blon") + wide, "ymin": F.col("_blat") - high, "ymax": F.col("_blat") + high}
     )
+    around = grid.touch(boxed, BOX_AXES, deg).drop("xmin", "xmax", "ymin", "ymax")
     keyed = a.select(
-        F.col("id").alias("a_id"), "lon", "lat", cell(F.col("lon"), deg).alias("_px"), cell(F.col("lat"), deg).alias("_py")
+        F.col("id").alias("a_id"), "lon", "lat", cell(F.col("lon"), deg).alias("_p0"), cell(F.col("lat"), deg).alias("_p1")
     )
     distance = great_circle_m(F.col("lon"), F.col("lat"), F.col("_blon"), F.col("_blat"))
-    near = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & (distance <= F.lit(float(metres)))
+    near = (F.col("_p0") == F.col("_c0")) & (F.col("_p1") == F.col("_c1")) & (distance <= F.lit(float(metres)))
     return keyed.join(around, near).select("a_id", "b_id", distance.alias("metres"))
 
 
@@ -213,7 +122,7 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
         [F.col("b_id")],
         k,
     )
-    widths = [TOP_DEG / SPLIT**i for i in range(levels)]
+    widths = [TOP_DEG / grid.SPLIT**i for i in range(levels)]
     finest = widths[-1]
     counted = places.groupBy(cell(F.col("_blon"), finest).alias("_x"), cell(F.col("_blat"), finest).alias("_y")).agg(
         F.count(F.lit(1)).alias("_n")
@@ -222,7 +131,7 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
     by_level = [counted]
     for _ in range(levels - 1):
         finer = by_level[-1]
-        up = [F.floor(F.col(c) / SPLIT).cast("bigint").alias(c) for c in ("_x", "_y")]
+        up = [F.floor(F.col(c) / grid.SPLIT).cast("bigint").alias(c) for c in ("_x", "_y")]
         by_level.append(finer.groupBy(*up).agg(F.sum("_n").alias("_n")))
     by_level.reverse()
 
@@ -236,7 +145,7 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
     for level in range(levels):
         if level:
             parts = by_level[level].withColumns(
-                {"_px": F.floor(F.col("_x") / SPLIT).cast("bigint"), "_py": F.floor(F.col("_y") / SPLIT).cast("bigint")}
+                {"_px": F.floor(F.col("_x") / grid.SPLIT).cast("bigint"), "_py": F.floor(F.col("_y") / grid.SPLIT).cast("bigint")}
             )
             parents = open_cells.select("a_id", "lon", "lat", F.col("_x").alias("_px"), F.col("_y").alias("_py"))
             open_cells = parents.join(parts, ["_px", "_py"]).drop("_px", "_py")
@@ -279,23 +188,20 @@ def bbox_overlap_join(plots: DataFrame, deg: float, crowd: int = 256, levels: in
     left corner of their overlap, so no distinct is needed.
     """
     boxed = plots.select("plot_id", *bounds(F.col("rings")))
-    cells, _ = _split_crowded(boxed, deg, crowd, levels)
-    width = F.lit(float(deg)) / F.pow(F.lit(float(SPLIT)), F.col("_lvl"))
-    a = cells.withColumnsRenamed({c: f"a_{c}" for c in ("plot_id", "xmin", "ymin", "xmax", "ymax")})
-    b = cells.withColumnsRenamed(
-        {c: f"b_{c}" for c in ("plot_id", "xmin", "ymin", "xmax", "ymax")} | {c: f"_b{c}" for c in ("_lvl", "_x", "_y")}
-    )
+    cells, _ = grid.cover(boxed, [], BOX_AXES, deg, crowd, levels)
+    width = grid.leaf_width(deg)
+    box = ("plot_id", "xmin", "ymin", "xmax", "ymax")
+    a = cells.withColumnsRenamed({c: f"a_{c}" for c in box})
+    b = cells.withColumnsRenamed({c: f"b_{c}" for c in box} | {"_lvl": "_plvl", "_c0": "_p0", "_c1": "_p1"})
     corner_x = F.greatest("a_xmin", "b_xmin")
     corner_y = F.greatest("a_ymin", "b_ymin")
     overlap = (
-        (F.col("_lvl") == F.col("_b_lvl"))
-        & (F.col("_x") == F.col("_b_x"))
-        & (F.col("_y") == F.col("_b_y"))
+        grid.same_leaf(2)
         & (F.col("a_plot_id") < F.col("b_plot_id"))
         & (corner_x <= F.least("a_xmax", "b_xmax"))
         & (corner_y <= F.least("a_ymax", "b_ymax"))
-        & (F.floor(corner_x / width) == F.col("_x"))
-        & (F.floor(corner_y / width) == F.col("_y"))
+        & (F.floor(corner_x / width) == F.col("_c0"))
+        & (F.floor(corner_y / width) == F.col("_c1"))
     )
     return a.join(b, overlap).select("a_plot_id", "b_plot_id")
 

@@ -286,7 +286,7 @@ def asof_tenure(spark: SparkSession, d: str) -> DataFrame:
 
 def tenure_join(spark: SparkSession, d: str) -> DataFrame:
     obs = roles.observations(spark, d).withColumn("ts", F.col("obs_date").cast("timestamp"))
-    held = al.tenure_join(obs, roles.tenures(spark, d), "ts", span_days=180)
+    held = al.tenure_join(obs, roles.tenures(spark, d), "ts", span_days=360.0, crowd=2)
     return held.select("plot_id", "obs_date", "area_ha", F.coalesce("holder_id", F.lit(-1)).alias("holder_id"))
 
 

@@ -65,14 +65,14 @@ def test_confirm_equals_brute_force(spark, window):
     assert sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize("days", [1, 30, 4000])
-def test_tenure_with_overlaps_and_open_ends(spark, days):
+@pytest.mark.parametrize("days,crowd", [(1, 256), (30, 256), (4000, 256), (4000, 0), (300, 3)])
+def test_tenure_with_overlaps_and_open_ends(spark, days, crowd):
     rng = random.Random(days)
     day = 86400
     held = []
     for i in range(60):
         start = rng.randrange(900)
-        held.append((i, rng.randrange(5), start, None if i % 7 == 0 else start + rng.randrange(300)))
+        held.append((i, rng.randrange(5), start, None if i % 7 == 0 else start + rng.choice([2, 9, 300])))
     facts = [(i, rng.randrange(6), rng.randrange(1000)) for i in range(250)]
     tenures = spark.createDataFrame(held, "holder_id bigint, plot_id bigint, a bigint, b bigint").select(
         "plot_id", "holder_id", F.timestamp_seconds(F.lit(T0) + F.col("a") * day).alias("valid_from"),
@@ -85,7 +85,7 @@ def test_tenure_with_overlaps_and_open_ends(spark, days):
     for f, plot, d in facts:
         holders = [h for h, p, s, e in held if p == plot and s <= d and (e is None or d < e)]
         want += [(f, h) for h in holders or [None]]
-    got = [(r.fact, r.holder_id) for r in al.tenure_join(rows, tenures, "ts", days).collect()]
+    got = [(r.fact, r.holder_id) for r in al.tenure_join(rows, tenures, "ts", days, crowd).collect()]
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 

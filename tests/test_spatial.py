@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from selvatrace.functions.geometry import EARTH_RADIUS_M
 from selvatrace.operators import spatial
+from selvatrace.plans import grid
 
 RINGS = "plot_id bigint, rings array<array<struct<x:double,y:double>>>"
 
@@ -121,17 +122,18 @@ def test_crowded_cells_change_nothing(spark, crowded_boxes, deg, crowd):
 def test_crowded_cells_are_really_split(spark, crowded_boxes):
     tiny = {k: s for k, s in crowded_boxes.items() if k % 3 == 0 or k % 40 == 1}
     boxed = make_plots(spark, tiny).select("plot_id", *spatial.bounds(F.col("rings")))
-    cover, by_level = spatial._split_crowded(boxed, 1.0, 4, 2)
+    cover, by_level = grid.cover(boxed, [], spatial.BOX_AXES, 1.0, 4, 2)
     assert len(by_level) == 2
-    whole, _ = spatial._split_crowded(boxed, 1.0, 10**6, 2)
+    whole, _ = grid.cover(boxed, [], spatial.BOX_AXES, 1.0, 10**6, 2)
 
     def candidates(c):
-        return c.groupBy("_lvl", "_x", "_y").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+        return c.groupBy("_lvl", "_c0", "_c1").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
 
     assert candidates(cover) < candidates(whole) / 3
     # Boxes that fill their cell stay in one piece, however many there are.
     same = make_plots(spark, {k: [[(0.1, 0.1), (0.9, 0.1), (0.9, 0.9), (0.1, 0.9)]] for k in range(50)})
-    cover, by_level = spatial._split_crowded(same.select("plot_id", *spatial.bounds(F.col("rings"))), 1.0, 4, 2)
+    boxed = same.select("plot_id", *spatial.bounds(F.col("rings")))
+    cover, by_level = grid.cover(boxed, [], spatial.BOX_AXES, 1.0, 4, 2)
     assert by_level == [] and cover.count() == 50
 
 
