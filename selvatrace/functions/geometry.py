@@ -64,12 +64,16 @@ def inside(edges: Column, px: Column, py: Column) -> Column:
     so a vertex counts once. Points exactly on an edge may fall either way.
     """
 
-    def crosses(e: Column) -> Column:
-        slope = (e.bx - e.ax) * (py - e.ay) / F.nullif(e.by - e.ay, F.lit(0.0))
-        return ((e.ay > py) != (e.by > py)) & (px < slope + e.ax)
-
-    hits = F.aggregate(edges, F.lit(0), lambda n, e: n + F.when(crosses(e), 1).otherwise(0))
-    return hits % 2 == 1
+    # The point travels in the accumulator. Spark loses sight of columns that are named only
+    # inside the lambda and then pushes the test to a side of the join that lacks them.
+    def step(seen: Column, e: Column) -> Column:
+        reach = (e.bx - e.ax) * (seen.py - e.ay) / F.nullif(e.by - e.ay, F.lit(0.0)) + e.ax
+        hit = ((e.ay > seen.py) != (e.by > seen.py)) & (seen.px < reach)
+        n = seen.n + F.when(hit, 1).otherwise(0)
+        return F.struct(n.alias("n"), seen.px.alias("px"), seen.py.alias("py"))
+
+    start = F.struct(F.lit(0).alias("n"), px.alias("px"), py.alias("py"))
+    return F.aggregate(edges, start, step).n % 2 == 1
 
 
 def bounds(rings: Column) -> list[Column]:

@@ -39,7 +39,8 @@ def cell_id(points: DataFrame, deg: float) -> DataFrame:
 def cover_cells(plots: DataFrame, deg: float) -> DataFrame:
     """One row per plot and grid cell of its bounding box."""
     boxed = plots.select("plot_id", *bounds(F.col("rings")))
-    return grid.touch(boxed, BOX_AXES, deg).select("plot_id", F.col("_c0").alias("cx"), F.col("_c1").alias("cy"))
+    cells = grid.touch(boxed, BOX_AXES, deg).select("plot_id", F.col("_c0").alias("cx"), F.col("_c1").alias("cy"))
+    return cells.filter(F.col("cx").isNotNull())
 
 
 def pip_join(

@@ -157,8 +157,8 @@ def cover_cells(spark: SparkSession, d: str) -> DataFrame:
     return spatial.cover_cells(roles.plots(spark, d), 0.1)
 
 
-def _pip(how: str) -> Query:
-    return lambda spark, d: spatial.pip_join(_points(spark, d), roles.plots(spark, d), 1.0, how, crowd=16)
+def _pip(how: str, deg: float, crowd: int) -> Query:
+    return lambda spark, d: spatial.pip_join(_points(spark, d), roles.plots(spark, d), deg, how, crowd)
 
 
 def within_distance_join(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +170,7 @@ def knn_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bbox_overlap_join(spark: SparkSession, d: str) -> DataFrame:
-    return spatial.bbox_overlap_join(roles.plots(spark, d), 1.0, crowd=16)
+    return spatial.bbox_overlap_join(roles.plots(spark, d), 0.25)
 
 
 def polygon_area(spark: SparkSession, d: str) -> DataFrame:
@@ -286,7 +286,7 @@ def asof_tenure(spark: SparkSession, d: str) -> DataFrame:
 
 def tenure_join(spark: SparkSession, d: str) -> DataFrame:
     obs = roles.observations(spark, d).withColumn("ts", F.col("obs_date").cast("timestamp"))
-    held = al.tenure_join(obs, roles.tenures(spark, d), "ts", span_days=360.0, crowd=2)
+    held = al.tenure_join(obs, roles.tenures(spark, d), "ts", span_days=180.0)
     return held.select("plot_id", "obs_date", "area_ha", F.coalesce("holder_id", F.lit(-1)).alias("holder_id"))
 
 
@@ -487,10 +487,11 @@ _QUERIES: dict[str, Query] = {
     )
 }
 _QUERIES |= {
-    "pip_join": _pip("inner"),
-    "pip_join_left": _pip("left"),
-    "pip_join_semi": _pip("semi"),
-    "pip_join_anti": _pip("anti"),
+    "pip_join": _pip("inner", 0.1, 256),
+    "pip_join_crowded": _pip("inner", 1.0, 16),  # wide cells, so that crowded ones are split
+    "pip_join_left": _pip("left", 0.1, 256),
+    "pip_join_semi": _pip("semi", 0.1, 256),
+    "pip_join_anti": _pip("anti", 0.1, 256),
     "admin_rollup": _admin("rollup"),
     "admin_cube": _admin("cube"),
     "admin_each": _admin("each"),

@@ -30,12 +30,15 @@ def leaf_width(width: float) -> Column:
 def touch(boxes: DataFrame, axes: list[tuple[str, str]], width: float) -> DataFrame:
     """One row per box and cell it touches, with the cell in ``_c0``, ``_c1``, ...
 
-    An axis is a pair of columns: the box's low and high end.
+    An axis is a pair of columns: the box's low and high end. A box without ends touches no
+    cell and keeps one row with null cells, which joins nothing. (The outer explode is on
+    purpose: for a plain one Spark first filters on the size of the sequences, and works out
+    the ends of every box twice.)
     """
     spans = {f"_s{i}": F.sequence(cell(F.col(low), width), cell(F.col(high), width)) for i, (low, high) in enumerate(axes)}
     out = boxes.withColumns(spans)
     for i in range(len(axes)):
-        out = out.withColumn(f"_c{i}", F.explode(f"_s{i}"))
+        out = out.withColumn(f"_c{i}", F.explode_outer(f"_s{i}"))
     return out.drop(*spans)
 
 
@@ -81,7 +84,7 @@ def cover(
             {f"_s{i}": F.sequence(*span) for i, span in enumerate(spans)}
         )
         for i, c in enumerate(names):
-            open_rows = open_rows.withColumn(c, F.explode(f"_s{i}"))
+            open_rows = open_rows.withColumn(c, F.explode_outer(f"_s{i}"))
         open_rows = open_rows.drop(*[f"_s{i}" for i in range(len(names))])
     leaves.append(open_rows.withColumn("_lvl", F.lit(len(crowded_by_level))))
     return reduce(DataFrame.unionByName, leaves), crowded_by_level

@@ -48,7 +48,7 @@ def metres(p, q):
     return 2 * EARTH_RADIUS_M * math.asin(min(1, math.sqrt(h)))
 
 
-@pytest.mark.parametrize("deg,crowd", [(0.3, 256), (1.0, 1), (4.0, 0), (50.0, 0)])
+@pytest.mark.parametrize("deg,crowd", [(0.3, 256), (0.3, 10**6), (1.0, 1), (4.0, 0), (50.0, 0)])
 def test_pip_join_on_hand_made_shapes(spark, deg, crowd):
     rng = random.Random(1)
     coords = [(rng.uniform(-1, 10), rng.uniform(-1, 10)) for _ in range(300)]
