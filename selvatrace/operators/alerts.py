@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from selvatrace.plans import grid
-from selvatrace.plans.ordered import first_rows, last_seen, time_chunk
+from selvatrace.plans.ordered import ROWS_PER_CHUNK, first_rows, last_seen, time_chunk
 
 
 def classify_alerts(alerts: DataFrame, bands: list[tuple[str, float, list[str] | None]], otherwise: str) -> DataFrame:
@@ -59,12 +59,15 @@ def incidents(alerts: DataFrame, gap_seconds: int) -> DataFrame:
     )
 
 
-def asof_state(alerts: DataFrame, states: DataFrame, key: list[str], chunk_seconds: int) -> DataFrame:
+def asof_state(
+    alerts: DataFrame, states: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
     """Each alert with the latest state of its key at or before it; null where there is none.
 
     ``alerts`` and ``states`` both carry ``ts``; ``states`` also carries ``state_id``, which
     breaks ties. State columns come back prefixed with ``state_``. Both sides are merged into
-    one ordered scan, so no alert ever meets more than one state.
+    one ordered scan, so no alert ever meets more than one state; keys with more than
+    ``rows_per_chunk`` rows are cut along time.
     """
     state_cols = [c for c in states.columns if c not in {*key, "ts", "state_id"}]
     left = alerts.select(
@@ -79,9 +82,8 @@ def asof_state(alerts: DataFrame, states: DataFrame, key: list[str], chunk_secon
             F.col("ts").alias("state_ts"), "state_id", *[F.col(c).alias(f"state_{c}") for c in state_cols]
         ).alias("_state"),
     )
-    merged = left.unionByName(right, allowMissingColumns=True).withColumn("_chunk", time_chunk(F.col("ts"), chunk_seconds))
-    order = [F.col("ts"), F.col("_side"), F.col("_tie")]
-    seen = last_seen(merged, key, "_chunk", order, "_state", "_seen")
+    merged = left.unionByName(right, allowMissingColumns=True)
+    seen = last_seen(merged, key, ["ts", "_side", "_tie"], "_state", "_seen", rows_per_chunk)
     return seen.filter(F.col("_side") == 1).select("_alert.*", "_seen.*")
 
 

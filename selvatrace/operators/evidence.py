@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from selvatrace.plans.ordered import first_rows, join_on, running_total
+from selvatrace.plans.ordered import ROWS_PER_CHUNK, first_rows, join_on, running_total
 
 
 def technical_status(plots: DataFrame, obs: DataFrame, loss: DataFrame, alerts: DataFrame, min_area: float) -> DataFrame:
@@ -36,7 +36,9 @@ def technical_status(plots: DataFrame, obs: DataFrame, loss: DataFrame, alerts:
     return filled.withColumn("status", status)
 
 
-def dossier(status: DataFrame, alerts: DataFrame, movements: DataFrame, page_rows: int, day_chunk: int) -> DataFrame:
+def dossier(
+    status: DataFrame, alerts: DataFrame, movements: DataFrame, page_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
     """One nested record per plot, also as JSON, in numbered pages of ``page_rows`` entries.
 
     Entries are the plot's alerts and, per supplying site, its movements. A plot with few
@@ -55,9 +57,7 @@ def dossier(status: DataFrame, alerts: DataFrame, movements: DataFrame, page_row
         .agg(F.min("moved_on").alias("on_day"), F.sum("qty").cast("decimal(18,4)").alias("amount"))
         .select("plot_id", "on_day", F.lit("origin").alias("kind"), "ref", F.lit("site").alias("note"), "amount")
     )
-    chunked = entries.withColumn("_chunk", F.floor(F.unix_date("on_day") / day_chunk))
-    order = [F.col("on_day"), F.col("kind"), F.col("ref")]
-    numbered = running_total(chunked, ["plot_id"], "_chunk", order, F.lit(1), "_no")
+    numbered = running_total(entries, ["plot_id"], ["on_day", "kind", "ref"], F.lit(1), "_no", rows_per_chunk)
     entry = F.struct(
         F.date_format("on_day", "yyyy-MM-dd").alias("on_day"), "kind", "ref", "note", F.col("amount").cast("string").alias("amount")
     )

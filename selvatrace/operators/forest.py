@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from selvatrace.plans.ordered import first_rows, join_on, with_lead_in
+from selvatrace.plans.ordered import ROWS_PER_CHUNK, first_rows, join_on, over_previous
 from selvatrace.session import cut_lineage
 
 
@@ -138,23 +138,17 @@ def annual_series(obs: DataFrame) -> DataFrame:
 
 
 def baseline_anomaly(
-    series: DataFrame, key: list[str], order: list[str], value: str, n: int, chunk: Column
+    series: DataFrame, key: list[str], order: list[str], value: str, n: int, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """z-score of each value against the ``n`` values of its key right before it.
 
-    Null while fewer than two earlier values exist or they do not vary. ``chunk`` must rise
-    with ``order``; it splits long series among tasks and does not change the result.
+    Null while fewer than two earlier values exist or they do not vary. Keys with more than
+    ``rows_per_chunk`` values are cut along the first column of ``order``.
     """
-    rows = series.select(*key, *order, F.col(value).cast("double").alias("value"), chunk.alias("_chunk"))
-    window = W.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(-n, -1)
-    scored = (
-        with_lead_in(rows, key, "_chunk", order, n)
-        .withColumn("base_mean", F.avg("value").over(window))
-        .withColumn("base_std", F.stddev_samp("value").over(window))
-        .filter("_own")
-    )
+    rows = series.select(*key, *order, F.col(value).cast("double").alias("value"))
+    base = {"base_mean": F.avg("value"), "base_std": F.stddev_samp("value")}
     z = (F.col("value") - F.col("base_mean")) / F.nullif(F.col("base_std"), F.lit(0.0))
-    return scored.withColumn("z_score", z).drop("_chunk", "_own")
+    return over_previous(rows, key, order, n, base, rows_per_chunk).withColumn("z_score", z)
 
 
 def best_composite(pixels: DataFrame, period: str) -> DataFrame:

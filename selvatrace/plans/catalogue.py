@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from selvatrace.operators import alerts as al
 from selvatrace.operators import chain, evidence, forest, quality, spatial
-from selvatrace.plans.ordered import time_chunk
 from selvatrace.session import SETTINGS, scratch_path
 from selvatrace.sources import layers, roles
 from selvatrace.streaming import alerts as live
@@ -22,7 +21,7 @@ from selvatrace.streaming.sink import drain, drain_upserts
 Query = Callable[[SparkSession, str], DataFrame]
 
 CUTOFF = "2000-12-31"
-HOUR, DAY = 3600, 86400
+HOUR = 3600
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -212,14 +211,16 @@ def annual_series(spark: SparkSession, d: str) -> DataFrame:
     return forest.annual_series(_loss(spark, d))
 
 
-def baseline_anomaly(spark: SparkSession, d: str) -> DataFrame:
-    series = roles.alerts(spark, d)
-    scored = forest.baseline_anomaly(
-        series, ["plot_id"], ["ts", "alert_id"], "area_ha", n=7, chunk=time_chunk(F.col("ts"), 5 * DAY)
-    )
-    return _rounded(scored, 6, "base_mean", "base_std", "z_score").select(
-        "alert_id", "plot_id", "value", "base_mean", "base_std", "z_score"
-    )
+def _anomaly(**options: int) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        scored = forest.baseline_anomaly(
+            roles.alerts(spark, d), ["plot_id"], ["ts", "alert_id"], "area_ha", n=7, **options
+        )
+        return _rounded(scored, 6, "base_mean", "base_std", "z_score").select(
+            "alert_id", "plot_id", "value", "base_mean", "base_std", "z_score"
+        )
+
+    return run
 
 
 def best_composite(spark: SparkSession, d: str) -> DataFrame:
@@ -269,16 +270,19 @@ def incidents(spark: SparkSession, d: str) -> DataFrame:
     return al.incidents(roles.alerts(spark, d), 2 * HOUR)
 
 
-def asof_state(spark: SparkSession, d: str) -> DataFrame:
-    errors = _source(spark, d, "error").select("alert_id", "plot_id", "ts", "area_ha")
-    signups = _source(spark, d, "signup").select("plot_id", "ts", F.col("alert_id").alias("state_id"), "area_ha")
-    return al.asof_state(errors, signups, ["plot_id"], 5 * DAY)
+def _asof(**options: int) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        errors = _source(spark, d, "error").select("alert_id", "plot_id", "ts", "area_ha")
+        signups = _source(spark, d, "signup").select("plot_id", "ts", F.col("alert_id").alias("state_id"), "area_ha")
+        return al.asof_state(errors, signups, ["plot_id"], **options)
+
+    return run
 
 
 def asof_tenure(spark: SparkSession, d: str) -> DataFrame:
     obs = roles.observations(spark, d).select("plot_id", F.col("obs_date").cast("timestamp").alias("ts"), "area_ha")
     states = roles.tenures(spark, d).select("plot_id", F.col("valid_from").alias("ts"), F.col("holder_id").alias("state_id"))
-    found = al.asof_state(obs, states, ["plot_id"], 365 * DAY)
+    found = al.asof_state(obs, states, ["plot_id"])
     return found.groupBy("plot_id", F.coalesce("state_id", F.lit(-1)).alias("holder_id")).agg(
         F.count(F.lit(1)).alias("n_obs"), F.sum("area_ha").alias("area_ha")
     )
@@ -438,7 +442,7 @@ def technical_status(spark: SparkSession, d: str) -> DataFrame:
 
 def dossier(spark: SparkSession, d: str) -> DataFrame:
     status = _status(spark, d).select("plot_id", "status")
-    made = evidence.dossier(status, roles.alerts(spark, d), roles.movements(spark, d), page_rows=50, day_chunk=366)
+    made = evidence.dossier(status, roles.alerts(spark, d), roles.movements(spark, d), page_rows=50)
     return made.select("plot_id", "page", "document")
 
 
@@ -476,8 +480,8 @@ _QUERIES: dict[str, Query] = {
         quality_report, quality_report_sketches,
         cell_id, cover_cells, within_distance_join, knn_join, bbox_overlap_join, polygon_area, cell_density, focal_stats,
         zonal_stats, zonal_stats_by_class, class_area, loss_after_cutoff, transition_matrix, annual_series,
-        baseline_anomaly, best_composite, rank_plots,
-        classify_alerts, dedup_alerts, incidents, asof_state, asof_tenure, tenure_join, confirm_alerts,
+        best_composite, rank_plots,
+        classify_alerts, dedup_alerts, incidents, asof_tenure, tenure_join, confirm_alerts,
         monitoring_gaps, top_alerts,
         stream_tumbling, stream_sliding, stream_incidents, stream_dedup, stream_enrich, stream_confirm,
         stream_status, stream_sink,
@@ -487,6 +491,10 @@ _QUERIES: dict[str, Query] = {
     )
 }
 _QUERIES |= {
+    "baseline_anomaly": _anomaly(),
+    "baseline_anomaly_split": _anomaly(rows_per_chunk=20),  # so few that keys are cut
+    "asof_state": _asof(),
+    "asof_state_split": _asof(rows_per_chunk=8),
     "pip_join": _pip("inner", 0.1, 256),
     "pip_join_crowded": _pip("inner", 1.0, 16),  # wide cells, so that crowded ones are split
     "pip_join_left": _pip("left", 0.1, 256),

@@ -403,6 +403,8 @@ SELECT CAST(j AS BIGINT) AS cls, CAST(sum(n) AS BIGINT) AS n_checked, round(max(
        round(sqrt(sum(w*w*s*(1 - s)/(rn - 1)))*max(a), 6) AS area_std_error
 FROM c GROUP BY j""",
     }
+    body["baseline_anomaly_split"] = body["baseline_anomaly"]
+    body["asof_state_split"] = body["asof_state"]
     body["pip_join_crowded"] = body["pip_join"]
     body["stream_confirm"] = body["confirm_alerts"]
     body["entry"] = f", z AS ({body['zonal_stats']}), l AS ({body['loss_after_cutoff']}) SELECT * FROM z LEFT JOIN l USING (plot_id)"

@@ -13,6 +13,8 @@ from operator import and_, mul
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from selvatrace.session import cut_lineage
+
 SPLIT = 8  # a cell is split this many times along each axis; a power of two splits exactly
 BROADCAST_CELLS = 200_000  # a few numbers each, so a few megabytes
 
@@ -50,8 +52,9 @@ def cover(
     A cell that more than ``crowd`` boxes touch is split eightfold along each axis, up to
     ``levels`` times. It stays whole where the boxes would fill most of its parts: splitting
     would only make copies. Returns one row per box and leaf cell (``_lvl``, ``_c0``, ...) and
-    the crowded cells of each level. These are counted here, to know whether there are any and
-    whether they are few enough to broadcast; otherwise they are joined like any table.
+    the crowded cells of each level. These are found and written out here, a job per level, to
+    know whether there are any and whether they are few enough to broadcast; otherwise they are
+    joined like any table.
     """
     names = [f"_c{i}" for i in range(len(axes))]
     parts_per_cell = SPLIT ** len(axes)
@@ -67,7 +70,7 @@ def cover(
             for c, (low, high) in zip(names, axes, strict=True)
         ]
         touched = reduce(mul, [to - start + 1 for start, to in spans])
-        crowded = (
+        crowded = cut_lineage(
             open_rows.groupBy(*keys, *names)
             .agg(F.count(F.lit(1)).alias("_n"), F.sum(touched).alias("_touched"))
             .filter((F.col("_n") > crowd) & (F.col("_touched") * 4 <= F.col("_n") * parts_per_cell))

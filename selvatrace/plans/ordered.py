@@ -1,13 +1,13 @@
-"""Ordered scans that never put one key into one task.
+"""Ordered scans that never put one busy key into one task.
 
 A window over a key sorts all rows of that key in one task, which fails when the key holds
-a third of the table. Here every key is cut into chunks that rise with the order (a span of
-time, a band of values). What a chunk has to hand on is reduced on the map side to one row
-per (key, chunk); those few rows are scanned per key; and each chunk gets what the chunks
-before it hand on as one more row, the lead-in. One window over (key, chunk) then sees all
-it needs and the lead-in rows are dropped. The full rows are shuffled once and never joined,
-and null keys form a key like any other. The result is the same for every chunk width: the
-width only sets how evenly the work is spread.
+a third of the table. So keys are counted first. Without a busy key the plain window is best.
+Otherwise each busy key is cut into chunks along the order, and every other key stays whole.
+What a chunk has to hand on is reduced on the map side to one row per (key, chunk); those few
+rows are scanned per key; and each chunk gets what the chunks before it hand on as one more
+row, the lead-in. One window over (key, chunk) then sees all it needs and the lead-in rows are
+dropped. The full rows are shuffled once and never joined, and null keys form a key like any
+other. The result is the same for every way of cutting.
 """
 
 from __future__ import annotations
@@ -18,6 +18,12 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from selvatrace.session import cut_lineage
+
+ROWS_PER_CHUNK = 1_000_000  # a key with more rows is cut; one task sorts this many with ease
+BROADCAST_KEYS = 200_000  # a key and two numbers each, so a few megabytes
 
 
 def time_chunk(ts: Column, seconds: int) -> Column:
@@ -25,16 +31,6 @@ def time_chunk(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(int(seconds) * 1_000_000))
 
 
-def fitting_chunk_seconds(df: DataFrame, keys: list[str], ts: str, rows: int, probe_seconds: int = 86400) -> int:
-    """A chunk width at which the busiest key has about ``rows`` rows per chunk.
-
-    Counts rows per key and probe span (combined on the map side) and scales the span by the
-    largest count. Runs a job; the width may be kept, as it never changes a result.
-    """
-    busiest = df.groupBy(*keys, time_chunk(F.col(ts), probe_seconds)).count().agg(F.max("count")).first()[0]
-    return max(1, probe_seconds * rows // max(1, busiest or 1))
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys match each other; the left key columns stay."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -43,8 +39,43 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def _earlier(keys: list[str], chunk: str) -> W:
-    return W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
+def _position(df: DataFrame, along: str) -> Column:
+    kind = df.schema[along].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(along)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(along)
+    return F.col(along).cast("double")
+
+
+def split_busy_keys(
+    df: DataFrame, keys: list[str], along: str, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> tuple[DataFrame, list[str]]:
+    """Cuts keys with more than ``rows_per_chunk`` rows into even stretches of ``along``.
+
+    Returns the rows and the columns to partition by: the keys, and ``_chunk`` where any key is
+    busy. Runs one job that counts rows per key; the busy keys, of which there can be no more
+    than rows divided by ``rows_per_chunk``, are written out once and broadcast while few.
+    """
+    at = _position(df, along)
+    busy = cut_lineage(
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_from"), F.max(at).alias("_to"))
+        .filter((F.col("_n") > rows_per_chunk) & (F.col("_to") > F.col("_from")))
+        .select(*keys, "_from", ((F.col("_to") - F.col("_from")) / F.ceil(F.col("_n") / rows_per_chunk)).alias("_width"))
+    )
+    n_busy = busy.count()
+    if n_busy == 0:
+        return df, keys
+    if n_busy <= BROADCAST_KEYS:
+        busy = F.broadcast(busy)
+    stretch = F.when(F.col("_width").isNull(), 0).otherwise(F.floor((at - F.col("_from")) / F.col("_width")))
+    cut = join_on(df, busy, keys, "left").withColumn("_chunk", stretch).drop("_from", "_width")
+    return cut, [*keys, "_chunk"]
+
+
+def _earlier(keys: list[str]) -> W:
+    return W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
 
 
 def _with_extra(df: DataFrame, extra: DataFrame) -> DataFrame:
@@ -54,83 +85,92 @@ def _with_extra(df: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, keys: list[str], chunk: str, order: list[Column], value: Column, name: str
+    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the key's rows up to and including this one.
 
-    ``order`` must be total within a key.
+    ``order`` must be total within a key; busy keys are cut along its first column.
     """
-    rows = df.withColumn("_value", value)
-    parts = rows.groupBy(*keys, chunk).agg(F.sum("_value").alias("_value"))
-    handed_on = parts.withColumn("_value", F.sum("_value").over(_earlier(keys, chunk))).filter(F.col("_value").isNotNull())
-    here = W.partitionBy(*keys, chunk).orderBy("_own", *order).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        _with_extra(rows, handed_on)
-        .withColumn(name, F.sum("_value").over(here))
-        .filter("_own")
-        .drop("_own", "_value")
+    rows, by = split_busy_keys(df.withColumn("_value", value), keys, order[0], rows_per_chunk)
+    frame = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    if by == keys:
+        return rows.withColumn(name, F.sum("_value").over(frame)).drop("_value")
+    handed_on = (
+        rows.groupBy(*by)
+        .agg(F.sum("_value").alias("_value"))
+        .withColumn("_value", F.sum("_value").over(_earlier(keys)))
+        .filter(F.col("_value").isNotNull())
     )
+    frame = W.partitionBy(*by).orderBy("_own", *order).rowsBetween(W.unboundedPreceding, 0)
+    totals = _with_extra(rows, handed_on).withColumn(name, F.sum("_value").over(frame))
+    return totals.filter("_own").drop("_own", "_value", "_chunk")
 
 
 def last_seen(
-    df: DataFrame, keys: list[str], chunk: str, order: list[Column], value: str, name: str
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: the latest non-null ``value`` of the key at or before this row."""
-    parts = df.groupBy(*keys, chunk).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(value)
-    )
-    handed_on = parts.withColumn(value, F.last(value, ignorenulls=True).over(_earlier(keys, chunk))).filter(
-        F.col(value).isNotNull()
-    )
-    here = W.partitionBy(*keys, chunk).orderBy("_own", *order).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        _with_extra(df, handed_on)
-        .withColumn(name, F.last(value, ignorenulls=True).over(here))
-        .filter("_own")
-        .drop("_own")
+    rows, by = split_busy_keys(df, keys, order[0], rows_per_chunk)
+    newest = F.last(value, ignorenulls=True)
+    frame = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    if by == keys:
+        return rows.withColumn(name, newest.over(frame))
+    handed_on = (
+        rows.groupBy(*by)
+        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(value))
+        .withColumn(value, newest.over(_earlier(keys)))
+        .filter(F.col(value).isNotNull())
     )
+    frame = W.partitionBy(*by).orderBy("_own", *order).rowsBetween(W.unboundedPreceding, 0)
+    return _with_extra(rows, handed_on).withColumn(name, newest.over(frame)).filter("_own").drop("_own", "_chunk")
 
 
 def next_row(
-    df: DataFrame, keys: list[str], chunk: str, order: list[str], cols: list[str], name: str
+    df: DataFrame, keys: list[str], order: list[str], cols: list[str], name: str, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: a struct of ``cols`` from the key's next row, null on its last row."""
-    rows = df.withColumn("_cols", F.struct(*cols))
-    firsts = rows.groupBy(*keys, chunk).agg(F.min_by("_cols", F.struct(*order)).alias("_cols"))
-    handed_on = firsts.withColumn("_cols", F.lead("_cols").over(W.partitionBy(*keys).orderBy(chunk))).filter(
-        F.col("_cols").isNotNull()
+    rows, by = split_busy_keys(df.withColumn("_cols", F.struct(*cols)), keys, order[0], rows_per_chunk)
+    if by == keys:
+        return rows.withColumn(name, F.lead("_cols").over(W.partitionBy(*by).orderBy(*order))).drop("_cols")
+    handed_on = (
+        rows.groupBy(*by)
+        .agg(F.min_by("_cols", F.struct(*order)).alias("_cols"))
+        .withColumn("_cols", F.lead("_cols").over(W.partitionBy(*keys).orderBy("_chunk")))
+        .filter(F.col("_cols").isNotNull())
     )
     # Here the extra row comes from the chunk after, so it goes last.
-    here = W.partitionBy(*keys, chunk).orderBy(F.col("_own").desc(), *order)
-    return (
-        _with_extra(rows, handed_on).withColumn(name, F.lead("_cols").over(here)).filter("_own").drop("_own", "_cols")
-    )
+    frame = W.partitionBy(*by).orderBy(F.col("_own").desc(), *order)
+    found = _with_extra(rows, handed_on).withColumn(name, F.lead("_cols").over(frame))
+    return found.filter("_own").drop("_own", "_cols", "_chunk")
 
 
-def with_lead_in(df: DataFrame, keys: list[str], chunk: str, order: list[str], n: int) -> DataFrame:
-    """Adds to every chunk the ``n`` rows of the key that come right before it.
+def over_previous(
+    df: DataFrame, keys: list[str], order: list[str], n: int, new: dict[str, Column], rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
+    """Adds aggregates over the ``n`` rows of the key right before each row.
 
-    The added rows carry ``_own = false``. A window of up to ``n`` preceding rows over
-    (key, chunk) is then complete, and the added rows are dropped after it. Each chunk hands
-    on at most ``n`` rows and every earlier chunk holds at least one, so looking back over
-    ``n`` chunks is enough.
+    A chunk hands on its last ``n`` rows. Every earlier chunk holds at least one row, so a chunk
+    needs to look back over ``n`` chunks at most to complete its lead-in.
     """
-    rest = [c for c in df.columns if c not in {*keys, chunk}]
-    newest = W.partitionBy(*keys, chunk).orderBy(*[F.col(c).desc() for c in order])
-    tails = (
-        df.withColumn("_rn", F.row_number().over(newest))
-        .filter(F.col("_rn") <= n)
-        .groupBy(*keys, chunk)
-        .agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in rest if c not in order]))).alias("_tail"))
-    )
-    earlier = W.partitionBy(*keys).orderBy(chunk).rowsBetween(-n, -1)
+    rows, by = split_busy_keys(df, keys, order[0], rows_per_chunk)
+    frame = W.partitionBy(*by).orderBy(*order).rowsBetween(-n, -1)
+    wanted = {name: agg.over(frame) for name, agg in new.items()}
+    if by == keys:
+        return rows.withColumns(wanted)
+    rest = [c for c in rows.columns if c not in by]
+    tails = first_rows(rows, by, [F.col(c).desc() for c in order], n)
     lead_in = (
-        tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(earlier)))
+        tails.groupBy(*by)
+        .agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in rest if c not in order]))).alias("_tail"))
+        .withColumn(
+            "_before",
+            F.flatten(F.collect_list("_tail").over(W.partitionBy(*keys).orderBy("_chunk").rowsBetween(-n, -1))),
+        )
         .filter(F.size("_before") > 0)
         .withColumn("_row", F.explode(F.slice("_before", -F.least(F.lit(n), F.size("_before")), F.lit(n))))
-        .select(*keys, chunk, *[F.col("_row")[c].alias(c) for c in rest])
+        .select(*by, *[F.col("_row")[c].alias(c) for c in rest])
     )
-    return _with_extra(df, lead_in)
+    return _with_extra(rows, lead_in).withColumns(wanted).filter("_own").drop("_own", "_chunk")
 
 
 def first_rows(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

@@ -164,7 +164,6 @@ def tenures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("plot_id"),
         F.col("o_orderkey").alias("holder_id"),
         F.col("o_orderdate").cast("timestamp").alias("valid_from"),
-        F.year("o_orderdate").alias("_year"),
     )
-    nxt = next_row(order, ["plot_id"], "_year", ["valid_from", "holder_id"], ["valid_from"], "_next")
+    nxt = next_row(order, ["plot_id"], ["valid_from", "holder_id"], ["valid_from"], "_next")
     return nxt.select("plot_id", "holder_id", "valid_from", F.col("_next.valid_from").alias("valid_to"))

@@ -11,7 +11,7 @@ from selvatrace.operators import evidence
 MOVES = "src bigint, dst bigint, d string, qty decimal(18,4)"
 
 
-def small_dossier(spark, page_rows, day_chunk):
+def small_dossier(spark, page_rows, rows_per_chunk):
     status = spark.createDataFrame([(1, "signal"), (2, "no_signal"), (3, "signal")], "plot_id bigint, status string")
     alerts = spark.range(100).select(
         F.col("id").alias("alert_id"),
@@ -21,12 +21,12 @@ def small_dossier(spark, page_rows, day_chunk):
         F.lit(1).cast("decimal(18,4)").alias("area_ha"),
     )
     moves = spark.createDataFrame([], MOVES).withColumn("moved_on", F.to_date("d"))
-    return evidence.dossier(status, alerts, moves, page_rows, day_chunk).collect()
+    return evidence.dossier(status, alerts, moves, page_rows, rows_per_chunk).collect()
 
 
-@pytest.mark.parametrize("page_rows,day_chunk", [(10, 3), (10, 10000), (1000, 30)])
-def test_dossier_pages_hold_every_entry_once(spark, page_rows, day_chunk):
-    rows = small_dossier(spark, page_rows, day_chunk)
+@pytest.mark.parametrize("page_rows,rows_per_chunk", [(10, 7), (10, 10**6), (1000, 40)])
+def test_dossier_pages_hold_every_entry_once(spark, page_rows, rows_per_chunk):
+    rows = small_dossier(spark, page_rows, rows_per_chunk)
     by_plot = {}
     for r in sorted(rows, key=lambda r: (r.plot_id, r.page)):
         document = json.loads(r.document)

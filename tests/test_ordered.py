@@ -1,4 +1,4 @@
-"""Chunked scans give the plain window's result for every chunk width, hot and null keys included."""
+"""Chunked scans give the plain window's result however keys are cut, hot and null keys included."""
 
 import random
 
@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from selvatrace.operators.forest import baseline_anomaly, rank_plots, zonal_stats
-from selvatrace.plans.ordered import first_rows, fitting_chunk_seconds, last_seen, next_row, running_total, time_chunk
+from selvatrace.plans.ordered import first_rows, last_seen, next_row, running_total, split_busy_keys
 
 START = 1_700_000_000
 
@@ -25,51 +25,54 @@ def series(spark):
     return df.withColumn("ts", F.timestamp_seconds("sec")).cache()
 
 
-def chunked(df, seconds):
-    return df.withColumn("chunk", time_chunk(F.col("ts"), seconds))
-
-
 def as_set(df):
     return sorted(map(str, df.collect()))
 
 
-WIDTHS = [1, 7200, 86400, 10**9]
+SIZES = [1, 7, 100, 250, 10**6]  # rows per chunk: every key cut, only the hot one, none
 
 
-@pytest.mark.parametrize("seconds", WIDTHS)
-def test_running_total(series, seconds):
+@pytest.mark.parametrize("size", SIZES)
+def test_running_total(series, size):
     w = W.partitionBy("k").orderBy("ts", "id").rowsBetween(W.unboundedPreceding, 0)
     plain = series.select("id", F.sum("v").over(w).alias("t"))
-    ours = running_total(chunked(series, seconds), ["k"], "chunk", [F.col("ts"), F.col("id")], F.col("v"), "t")
-    assert as_set(ours.select("id", "t")) == as_set(plain)
+    assert as_set(running_total(series, ["k"], ["ts", "id"], F.col("v"), "t", size).select("id", "t")) == as_set(plain)
 
 
-@pytest.mark.parametrize("seconds", WIDTHS)
-def test_last_seen(series, seconds):
+@pytest.mark.parametrize("size", SIZES)
+def test_last_seen(series, size):
     w = W.partitionBy("k").orderBy("ts", "id").rowsBetween(W.unboundedPreceding, 0)
     plain = series.select("id", F.last("state", ignorenulls=True).over(w).alias("s"))
-    ours = last_seen(chunked(series, seconds), ["k"], "chunk", [F.col("ts"), F.col("id")], "state", "s")
-    assert as_set(ours.select("id", "s")) == as_set(plain)
+    assert as_set(last_seen(series, ["k"], ["ts", "id"], "state", "s", size).select("id", "s")) == as_set(plain)
 
 
-@pytest.mark.parametrize("seconds", WIDTHS)
-def test_next_row(series, seconds):
-    w = W.partitionBy("k").orderBy("ts", "id")
-    plain = series.select("id", F.lead("v").over(w).alias("n"))
-    ours = next_row(chunked(series, seconds), ["k"], "chunk", ["ts", "id"], ["v"], "n")
+@pytest.mark.parametrize("size", SIZES)
+def test_next_row(series, size):
+    plain = series.select("id", F.lead("v").over(W.partitionBy("k").orderBy("ts", "id")).alias("n"))
+    ours = next_row(series, ["k"], ["ts", "id"], ["v"], "n", size)
     assert as_set(ours.select("id", F.col("n.v").alias("n"))) == as_set(plain)
 
 
-@pytest.mark.parametrize("seconds", WIDTHS)
+@pytest.mark.parametrize("size", SIZES)
 @pytest.mark.parametrize("n", [1, 2, 9])
-def test_baseline_anomaly(series, seconds, n):
+def test_baseline_anomaly(series, size, n):
     w = W.partitionBy("k").orderBy("ts", "id").rowsBetween(-n, -1)
     v = F.col("v").cast("double")
     plain = series.select("id", F.round(F.avg(v).over(w), 9).alias("m"), F.round(F.stddev_samp(v).over(w), 9).alias("s"))
-    ours = baseline_anomaly(series, ["k"], ["ts", "id"], "v", n, time_chunk(F.col("ts"), seconds))
+    ours = baseline_anomaly(series, ["k"], ["ts", "id"], "v", n, size)
     assert as_set(ours.select("id", F.round("base_mean", 9).alias("m"), F.round("base_std", 9).alias("s"))) == as_set(plain)
 
 
+def test_only_busy_keys_are_cut(series):
+    cut, by = split_busy_keys(series, ["k"], "ts", 250)
+    assert by == ["k", "_chunk"]
+    parts = {r.k: (r.parts, r.largest) for r in cut.groupBy("k", "_chunk").count().groupBy("k").agg(
+        F.count("_chunk").alias("parts"), F.max("count").alias("largest")).collect()}
+    assert all(parts[k][0] == 1 for k in (2, 3, 4, None))
+    assert parts[1][0] >= 2 and parts[1][1] < 300
+    assert split_busy_keys(series, ["k"], "ts", 10**6)[1] == ["k"]
+
+
 @pytest.mark.parametrize("band", [0.5, 7.0, 1000.0])
 def test_zonal_median(series, band):
     plain = series.groupBy("k").agg(F.percentile("v", 0.5).alias("m"), F.count("v").alias("n"))
@@ -94,12 +97,6 @@ def test_first_rows_cuts_before_the_shuffle(series):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-def test_fitting_chunk_seconds(series):
-    seconds = fitting_chunk_seconds(series, ["k"], "ts", 20, probe_seconds=7200)
-    busiest = chunked(series, seconds).groupBy("k", "chunk").count().agg(F.max("count")).first()[0]
-    assert busiest <= 60
-
-
 @pytest.mark.parametrize("tiles", [1, 4, 7, 500])
 def test_rank_plots_with_long_ties(spark, tiles):
     rng = random.Random(3)

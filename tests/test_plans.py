@@ -59,10 +59,11 @@ def test_rollup_copies_only_sums(spark):
     assert plan.index("Expand") < plan.index("HashAggregate(keys=[admin1", plan.index("Expand"))
 
 
-def test_full_rows_are_shuffled_once_by_the_chunked_scan(spark, without_broadcast):
-    plan = plan_of(catalogue.asof_state(spark, FOLDER))
-    assert "Join" not in plan
-    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(plot_id" in line and "_chunk" in line]
+def test_ordered_scans_shuffle_full_rows_once(spark, without_broadcast):
+    whole = plan_of(entry_points.queries()["asof_state"](spark, FOLDER))
+    assert whole.count("Exchange") == 1 and "Join" not in whole
+    cut = plan_of(entry_points.queries()["asof_state_split"](spark, FOLDER))
+    wide = [line for line in cut.splitlines() if "Exchange hashpartitioning(plot_id" in line and "_chunk" in line]
     assert len(wide) == 2  # the rows themselves, and one row per key and chunk
 
 
