@@ -54,7 +54,7 @@ def split_busy_keys(
     """Cuts keys with more than ``rows_per_chunk`` rows into even stretches of ``along``.
 
     Returns the rows and the columns to partition by: the keys, and ``_chunk`` where any key is
-    busy. Runs one job that counts rows per key; the busy keys, of which there can be no more
+    busy; rows of ordinary keys have none. Runs one job that counts rows per key; the busy keys, of which there can be no more
     than rows divided by ``rows_per_chunk``, are written out once and broadcast while few.
     """
     at = _position(df, along)
@@ -69,7 +69,8 @@ def split_busy_keys(
         return df, keys
     if n_busy <= BROADCAST_KEYS:
         busy = F.broadcast(busy)
-    stretch = F.when(F.col("_width").isNull(), 0).otherwise(F.floor((at - F.col("_from")) / F.col("_width")))
+    # Rows without a position come first in their key, and so does their chunk.
+    stretch = F.when(F.col("_width").isNotNull(), F.coalesce(F.floor((at - F.col("_from")) / F.col("_width")), F.lit(-1)))
     cut = join_on(df, busy, keys, "left").withColumn("_chunk", stretch).drop("_from", "_width")
     return cut, [*keys, "_chunk"]
 
@@ -96,7 +97,8 @@ def running_total(
     if by == keys:
         return rows.withColumn(name, F.sum("_value").over(frame)).drop("_value")
     handed_on = (
-        rows.groupBy(*by)
+        rows.filter(F.col("_chunk").isNotNull())
+        .groupBy(*by)
         .agg(F.sum("_value").alias("_value"))
         .withColumn("_value", F.sum("_value").over(_earlier(keys)))
         .filter(F.col("_value").isNotNull())
@@ -116,7 +118,8 @@ def last_seen(
     if by == keys:
         return rows.withColumn(name, newest.over(frame))
     handed_on = (
-        rows.groupBy(*by)
+        rows.filter(F.col("_chunk").isNotNull())
+        .groupBy(*by)
         .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(value))
         .withColumn(value, newest.over(_earlier(keys)))
         .filter(F.col(value).isNotNull())
@@ -133,7 +136,8 @@ def next_row(
     if by == keys:
         return rows.withColumn(name, F.lead("_cols").over(W.partitionBy(*by).orderBy(*order))).drop("_cols")
     handed_on = (
-        rows.groupBy(*by)
+        rows.filter(F.col("_chunk").isNotNull())
+        .groupBy(*by)
         .agg(F.min_by("_cols", F.struct(*order)).alias("_cols"))
         .withColumn("_cols", F.lead("_cols").over(W.partitionBy(*keys).orderBy("_chunk")))
         .filter(F.col("_cols").isNotNull())
@@ -158,7 +162,7 @@ def over_previous(
     if by == keys:
         return rows.withColumns(wanted)
     rest = [c for c in rows.columns if c not in by]
-    tails = first_rows(rows, by, [F.col(c).desc() for c in order], n)
+    tails = first_rows(rows.filter(F.col("_chunk").isNotNull()), by, [F.col(c).desc() for c in order], n)
     lead_in = (
         tails.groupBy(*by)
         .agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in rest if c not in order]))).alias("_tail"))
