@@ -27,6 +27,17 @@ def row_text(df: DataFrame, cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.when(F.col(c).isNull(), F.lit("-")).otherwise(part(c)) for c in cols])
 
 
-def digest_number(text: Column) -> Column:
-    """First 15 hex digits of the SHA-256 of ``text`` as a number below 2**60."""
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+def digest_sum(text: Column) -> Column:
+    """Sum over all rows of the first 15 hex digits of the SHA-256 of ``text``.
+
+    The 60-bit numbers are summed as three 20-bit pieces: long sums run in generated code, hold
+    for 2**43 rows, and spare a big-decimal addition per row.
+    """
+    number = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+    mask = F.lit(2**20 - 1)
+    pieces = [F.shiftright(number, 20 * i).bitwiseAND(mask) for i in range(3)]
+    total = F.lit(0).cast("decimal(38,0)")
+    for i, piece in enumerate(pieces):
+        weight = F.lit(2 ** (20 * i)).cast("decimal(14,0)")
+        total = total + (F.coalesce(F.sum(piece), F.lit(0)).cast("decimal(20,0)") * weight)
+    return total.cast("decimal(38,0)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from selvatrace.functions.digest import digest_number, row_text
+from selvatrace.functions.digest import digest_sum, row_text
 from selvatrace.plans.ordered import first_rows, join_on
 
 
@@ -34,7 +34,7 @@ def manifest(df: DataFrame, dataset: str, cols: list[str], params: dict[str, str
     settings = F.create_map(*[F.lit(x) for pair in sorted(params.items()) for x in pair]) if params else F.create_map().cast("map<string,string>")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(digest_number(row_text(df, cols))), F.lit(0)).cast("decimal(38,0)").alias("checksum"),
+        digest_sum(row_text(df, cols)).alias("checksum"),
     ).select(F.lit(dataset).alias("dataset"), "n_rows", "checksum", settings.alias("params"))
 
 

@@ -9,6 +9,8 @@ finer there first.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -103,13 +105,14 @@ def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame
 # Width in degrees of the coarsest cells of the nearest-neighbour search: the whole world is
 # nine by five of them, which bounds the table of their counts.
 TOP_DEG = 45.0
+PARTS = 4  # a cell has this many parts along each axis at the next level
 
 
 def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
     """The ``k`` nearest points of ``b`` for each point of ``a``; the smaller id wins ties.
 
     Exact, with no search radius to choose. The search goes down ``levels`` grids, each split
-    eightfold. At every level a point keeps only cells that can still hold one of its nearest:
+    fourfold. At every level a point keeps only cells that can still hold one of its nearest:
     counts per cell give a distance within which ``k`` points are certain, and cells wholly
     beyond it are left out. Points of ``b`` are read only for the cells left at the end. Of
     points at one place only the ``k`` smallest ids can matter, so copies are cut first.
@@ -123,7 +126,7 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
         [F.col("b_id")],
         k,
     )
-    widths = [TOP_DEG / grid.SPLIT**i for i in range(levels)]
+    widths = [TOP_DEG / PARTS**i for i in range(levels)]
     finest = widths[-1]
     counted = places.groupBy(cell(F.col("_blon"), finest).alias("_x"), cell(F.col("_blat"), finest).alias("_y")).agg(
         F.count(F.lit(1)).alias("_n")
@@ -132,7 +135,7 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
     by_level = [counted]
     for _ in range(levels - 1):
         finer = by_level[-1]
-        up = [F.floor(F.col(c) / grid.SPLIT).cast("bigint").alias(c) for c in ("_x", "_y")]
+        up = [F.floor(F.col(c) / PARTS).cast("bigint").alias(c) for c in ("_x", "_y")]
         by_level.append(finer.groupBy(*up).agg(F.sum("_n").alias("_n")))
     by_level.reverse()
 
@@ -146,7 +149,7 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
     for level in range(levels):
         if level:
             parts = by_level[level].withColumns(
-                {"_px": F.floor(F.col("_x") / grid.SPLIT).cast("bigint"), "_py": F.floor(F.col("_y") / grid.SPLIT).cast("bigint")}
+                {"_px": F.floor(F.col("_x") / PARTS).cast("bigint"), "_py": F.floor(F.col("_y") / PARTS).cast("bigint")}
             )
             parents = open_cells.select("a_id", "lon", "lat", F.col("_x").alias("_px"), F.col("_y").alias("_py"))
             open_cells = parents.join(parts, ["_px", "_py"]).drop("_px", "_py")
@@ -162,13 +165,19 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
 def _cells_in_reach(open_cells: DataFrame, deg: float, k: int) -> DataFrame:
     """Drops cells that lie wholly beyond the distance within which ``k`` points are certain.
 
-    Any point of a cell is within ``radius`` of its centre (half its height along the meridian
-    and at most half its width along the parallel), so the centre distance plus or minus that
-    radius bounds the distance to every point inside.
+    Any point of a cell is within ``radius`` of its centre: put half the cell's width and height
+    into the haversine formula, with the cosine at the cell's latitude nearest the equator. So
+    the distance to the centre plus or minus that radius bounds the distance to every point.
     """
-    radius = F.lit(EARTH_RADIUS_M) * F.radians(F.lit(deg)) + F.lit(0.01)
+    half = F.lit(math.sin(math.radians(deg) / 4) ** 2)
+    equatorward = F.greatest(F.lit(0.0), F.abs((F.col("_y") + 0.5) * F.lit(deg)) - F.lit(deg / 2))
+    squared = half * (F.lit(1.0) + F.pow(F.cos(F.radians(equatorward)), F.lit(2.0)))
+    radius = F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(squared)) + F.lit(0.01)
     middle = great_circle_m(
-        F.col("lon"), F.col("lat"), (F.col("_x") + 0.5) * F.lit(deg), (F.col("_y") + 0.5) * F.lit(deg)
+        F.col("lon"),
+        F.col("lat"),
+        (F.col("_x") + 0.5) * F.lit(deg),
+        F.least(F.lit(90.0), (F.col("_y") + 0.5) * F.lit(deg)),  # the pole itself has a cell of its own
     )
     one = W.partitionBy("a_id")
     closest_first = one.orderBy("_far", "_x", "_y").rowsBetween(W.unboundedPreceding, 0)
