@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from selvatrace.functions.digest import digest_sum, row_text
 from selvatrace.plans.ordered import first_rows, join_on
@@ -24,14 +25,15 @@ def validate_split(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame,
 
 def latest_version(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The newest row per key. Rows equal in ``order`` are told apart by their other columns,
-    so the same row wins however the data is partitioned."""
-    rest = [c for c in df.columns if c not in {*key, *order}]
+    so the same row wins however the data is partitioned. (Maps have no order and are left
+    out of that.)"""
+    rest = [f.name for f in df.schema if f.name not in {*key, *order} and not isinstance(f.dataType, T.MapType)]
     return first_rows(df, key, [F.col(c).desc() for c in [*order, *rest]], 1)
 
 
 def manifest(df: DataFrame, dataset: str, cols: list[str], params: dict[str, str]) -> DataFrame:
     """Row count and a checksum that ignores row order but not repeated rows."""
-    settings = F.create_map(*[F.lit(x) for pair in sorted(params.items()) for x in pair]) if params else F.create_map().cast("map<string,string>")
+    settings = F.create_map(*[F.lit(x) for pair in sorted(params.items()) for x in pair]).cast("map<string,string>")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         digest_sum(row_text(df, cols)).alias("checksum"),
@@ -64,8 +66,6 @@ def quality_report(df: DataFrame, cols: list[str], percentiles: list[float] | No
 
     One pass; sketches of bounded size are merged. Percentiles are given for numeric columns.
     """
-    from pyspark.sql import types as T
-
     wanted = percentiles or []
     reports = []
     for name in cols:

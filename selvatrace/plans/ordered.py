@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from selvatrace.session import cut_lineage
 
 ROWS_PER_CHUNK = 1_000_000  # a key with more rows is cut; one task sorts this many with ease
+FEW_ROWS = 100  # rows per key and map task that one task can well take in
+SALTS = 64
 BROADCAST_KEYS = 200_000  # a key and two numbers each, so a few megabytes
 
 
@@ -181,16 +183,15 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], n: int) -> D
     """The first ``n`` rows of every key.
 
     Spark cuts each key to ``n`` rows inside every map task before it shuffles (window group
-    limit) as long as ``n`` is at most its threshold. For a larger ``n`` the cut is made in
-    two rounds over salted keys, so a hot key is still shared among tasks.
+    limit), so a hot key arrives as ``n`` rows per map task. Where that is still much, the cut
+    is made in two rounds over salted keys.
     """
-    spark = df.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(64))
+    if n > FEW_ROWS:
         round_one = W.partitionBy(*keys, "_salt").orderBy(*order)
+        # A hash of the row, not a random number: a task that runs again must salt alike.
+        hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
         df = (
-            df.withColumn("_salt", salt)
+            df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)))
             .withColumn("_rn", F.row_number().over(round_one))
             .filter(F.col("_rn") <= n)
             .drop("_salt", "_rn")

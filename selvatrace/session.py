@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Live incidents are merged inside each map task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # State of large streams belongs on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state."
+    "RocksDBStateStoreProvider",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

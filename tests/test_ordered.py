@@ -81,16 +81,11 @@ def test_zonal_median(series, band):
     assert as_set(ours.select("k", F.col("median").alias("m"), F.col("n_obs").alias("n"))) == as_set(plain)
 
 
-def test_first_rows_beyond_the_group_limit(spark, series):
-    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
-    try:
-        ours = as_set(first_rows(series, ["k"], [F.col("v"), F.col("id")], 40).select("id"))
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
+@pytest.mark.parametrize("n", [1, 40, 150])
+def test_first_rows(series, n):
     w = W.partitionBy("k").orderBy("v", "id")
-    plain = series.withColumn("rn", F.row_number().over(w)).filter("rn <= 40").select("id")
-    assert ours == as_set(plain)
+    plain = series.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n).select("id")
+    assert as_set(first_rows(series, ["k"], [F.col("v"), F.col("id")], n).select("id")) == as_set(plain)
 
 
 def test_first_rows_cuts_before_the_shuffle(series):
