@@ -60,7 +60,7 @@ def incidents(alerts: DataFrame, gap_seconds: int) -> DataFrame:
 
 
 def asof_state(
-    alerts: DataFrame, states: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_CHUNK
+    alerts: DataFrame, states: DataFrame, key: list[str], rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Each alert with the latest state of its key at or before it; null where there is none.
 

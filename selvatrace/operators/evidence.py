@@ -37,7 +37,7 @@ def technical_status(plots: DataFrame, obs: DataFrame, loss: DataFrame, alerts:
 
 
 def dossier(
-    status: DataFrame, alerts: DataFrame, movements: DataFrame, page_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK
+    status: DataFrame, alerts: DataFrame, movements: DataFrame, page_rows: int, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """One nested record per plot, also as JSON, in numbered pages of ``page_rows`` entries.
 

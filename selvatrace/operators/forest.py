@@ -138,7 +138,7 @@ def annual_series(obs: DataFrame) -> DataFrame:
 
 
 def baseline_anomaly(
-    series: DataFrame, key: list[str], order: list[str], value: str, n: int, rows_per_chunk: int = ROWS_PER_CHUNK
+    series: DataFrame, key: list[str], order: list[str], value: str, n: int, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """z-score of each value against the ``n`` values of its key right before it.
 

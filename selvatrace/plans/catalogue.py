@@ -71,17 +71,28 @@ def _source(spark: SparkSession, d: str, name: str) -> DataFrame:
 # Sources, sinks, provenance
 
 
-def read_layer(spark: SparkSession, d: str) -> DataFrame:
+def _layer(spark: SparkSession, lines: DataFrame, fmt: str) -> DataFrame:
     path = scratch_path(spark, "layer")
-    second = F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).otherwise(F.col("c_nationkey").cast("string"))
-    roles.table(spark, d, "customer").select(F.concat_ws(",", F.col("c_custkey").cast("string"), second)).write.text(path)
-    good, bad = layers.read_layer(spark, path, "csv", "c_custkey bigint, c_nationkey int")
+    lines.write.text(path)
+    good, bad = layers.read_layer(spark, path, fmt, "c_custkey bigint, c_nationkey int")
     none = F.lit(-1)
     return good.select("c_custkey", "c_nationkey", F.lit("").alias("bad_row")).unionByName(
         bad.select(none.cast("bigint").alias("c_custkey"), none.alias("c_nationkey"), F.col(layers.BAD_ROW).alias("bad_row"))
     )
 
 
+def read_layer(spark: SparkSession, d: str) -> DataFrame:
+    second = F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).otherwise(F.col("c_nationkey").cast("string"))
+    lines = roles.table(spark, d, "customer").select(F.concat_ws(",", F.col("c_custkey").cast("string"), second))
+    return _layer(spark, lines, "csv")
+
+
+def read_layer_json(spark: SparkSession, d: str) -> DataFrame:
+    whole = F.to_json(F.struct("c_custkey", "c_nationkey"))
+    torn = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"))
+    return _layer(spark, roles.table(spark, d, "customer").select(F.when(F.col("c_acctbal") < 0, torn).otherwise(whole)), "json")
+
+
 def parse_polygons(spark: SparkSession, d: str) -> DataFrame:
     pairs = F.transform("rings", lambda ring: F.transform(ring, lambda v: F.array(v.x, v.y)))
     text = F.to_json(F.struct(F.lit("Polygon").alias("type"), pairs.alias("coordinates")))
@@ -476,7 +487,7 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        read_layer, parse_polygons, validate_split, latest_version, manifest, run_diff, write_evidence,
+        read_layer, read_layer_json, parse_polygons, validate_split, latest_version, manifest, run_diff, write_evidence,
         quality_report, quality_report_sketches,
         cell_id, cover_cells, within_distance_join, knn_join, bbox_overlap_join, polygon_area, cell_density, focal_stats,
         zonal_stats, zonal_stats_by_class, class_area, loss_after_cutoff, transition_matrix, annual_series,

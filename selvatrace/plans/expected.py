@@ -149,6 +149,9 @@ def oracle_sql() -> dict[str, str]:
         "read_layer": """
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM customer WHERE c_acctbal >= 0
 UNION ALL SELECT -1, -1, CAST(c_custkey AS VARCHAR) || ',' || c_mktsegment FROM customer WHERE c_acctbal < 0""",
+        "read_layer_json": """
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT -1, -1, '{"c_custkey":' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0""",
         "parse_polygons": """
 SELECT plot_id, CAST(0 AS BIGINT) AS ring_no, CAST(no AS BIGINT) AS vertex_no, x, y FROM vertex""",
         "validate_split": """

@@ -51,14 +51,17 @@ def _position(df: DataFrame, along: str) -> Column:
 
 
 def split_busy_keys(
-    df: DataFrame, keys: list[str], along: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, keys: list[str], along: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> tuple[DataFrame, list[str]]:
     """Cuts keys with more than ``rows_per_chunk`` rows into even stretches of ``along``.
 
     Returns the rows and the columns to partition by: the keys, and ``_chunk`` where any key is
     busy; rows of ordinary keys have none. Runs one job that counts rows per key; the busy keys, of which there can be no more
-    than rows divided by ``rows_per_chunk``, are written out once and broadcast while few.
+    than rows divided by ``rows_per_chunk``, are written out once and broadcast while few. The
+    job reads only the key and ``along``; None spares it where no key can be busy.
     """
+    if rows_per_chunk is None:
+        return df, keys
     at = _position(df, along)
     busy = cut_lineage(
         df.groupBy(*keys)
@@ -88,7 +91,7 @@ def _with_extra(df: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the key's rows up to and including this one.
 
@@ -111,7 +114,7 @@ def running_total(
 
 
 def last_seen(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: the latest non-null ``value`` of the key at or before this row."""
     rows, by = split_busy_keys(df, keys, order[0], rows_per_chunk)
@@ -131,7 +134,7 @@ def last_seen(
 
 
 def next_row(
-    df: DataFrame, keys: list[str], order: list[str], cols: list[str], name: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, keys: list[str], order: list[str], cols: list[str], name: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: a struct of ``cols`` from the key's next row, null on its last row."""
     rows, by = split_busy_keys(df.withColumn("_cols", F.struct(*cols)), keys, order[0], rows_per_chunk)
@@ -151,7 +154,7 @@ def next_row(
 
 
 def over_previous(
-    df: DataFrame, keys: list[str], order: list[str], n: int, new: dict[str, Column], rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, keys: list[str], order: list[str], n: int, new: dict[str, Column], rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds aggregates over the ``n`` rows of the key right before each row.
 

@@ -141,7 +141,7 @@ def as_ids(spark, coords):
     return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(coords)], "id bigint, lon double, lat double")
 
 
-@pytest.mark.parametrize("base_lat", [0.0, -34.0, 71.0])
+@pytest.mark.parametrize("base_lat", [0.0, -34.0, 71.0, -88.5])
 def test_within_distance(spark, base_lat):
     rng = random.Random(2)
     a = [(rng.uniform(-1, 1), base_lat + rng.uniform(-1, 1)) for _ in range(150)]
