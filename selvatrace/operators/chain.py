@@ -69,7 +69,11 @@ def exposure(edges: DataFrame, own: DataFrame, steps: int) -> DataFrame:
     intake = totals.groupBy("dst").agg(F.sum("_qty").alias("_all"))
     shares = cut_lineage(
         totals.join(intake, "dst").select(
-            "src", "dst", (F.col("_qty").cast("decimal(20,4)") / F.col("_all").cast("decimal(20,4)")).cast("decimal(19,18)").alias("_share")
+            "src",
+            "dst",
+            (F.col("_qty").cast("decimal(20,4)") / F.col("_all").cast("decimal(20,4)"))
+            .cast("decimal(19,18)")
+            .alias("_share"),
         )
     )
     ends = shares.select(F.explode(F.array("src", "dst")).alias("node")).distinct()

@@ -39,7 +39,8 @@ def technical_status(plots: DataFrame, obs: DataFrame, loss: DataFrame, alerts:
 def dossier(
     status: DataFrame, alerts: DataFrame, movements: DataFrame, page_rows: int, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
-    """One nested record per plot, also as JSON, in numbered pages of ``page_rows`` entries.
+    """One nested record per plot of ``status``, also as JSON, in numbered pages of ``page_rows``
+    entries.
 
     Entries are the plot's alerts and, per supplying site, its movements. A plot with few
     entries has one page; a plot with a third of all alerts has many, so no record outgrows a
@@ -59,11 +60,17 @@ def dossier(
     )
     numbered = running_total(entries, ["plot_id"], ["on_day", "kind", "ref"], F.lit(1), "_no", rows_per_chunk)
     entry = F.struct(
-        F.date_format("on_day", "yyyy-MM-dd").alias("on_day"), "kind", "ref", "note", F.col("amount").cast("string").alias("amount")
+        F.date_format("on_day", "yyyy-MM-dd").alias("on_day"),
+        "kind",
+        "ref",
+        "note",
+        F.col("amount").cast("string").alias("amount"),
     )
     # Each plot adds a row without an entry to its first page, so a plot without any has a page.
     paged = numbered.select(
-        "plot_id", (F.floor((F.col("_no") - 1) / page_rows) + 1).alias("page"), F.struct("_no", entry.alias("_entry")).alias("_numbered")
+        "plot_id",
+        (F.floor((F.col("_no") - 1) / page_rows) + 1).alias("page"),
+        F.struct("_no", entry.alias("_entry")).alias("_numbered"),
     ).unionByName(status.select("plot_id", F.lit(1).cast("bigint").alias("page")), allowMissingColumns=True)
     pages = (
         paged.groupBy("plot_id", "page")

@@ -94,7 +94,12 @@ def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame
     circles = b.select(F.col("id").alias("b_id"), F.col("lon").alias("_blon"), F.col("lat").alias("_blat"))
     wide, high = lon_reach_deg(F.col("_blat"), metres) + slack, F.lit(deg + slack)
     boxed = circles.withColumns(
-        {"xmin": F.col("_blon") - wide, "xmax": F.col("_blon") + wide, "ymin": F.col("_blat") - high, "ymax": F.col("_blat") + high}
+        {
+            "xmin": F.col("_blon") - wide,
+            "xmax": F.col("_blon") + wide,
+            "ymin": F.col("_blat") - high,
+            "ymax": F.col("_blat") + high,
+        }
     )
     around = (
         grid.touch(boxed, BOX_AXES, width)

@@ -90,7 +90,8 @@ def read_layer(spark: SparkSession, d: str) -> DataFrame:
 def read_layer_json(spark: SparkSession, d: str) -> DataFrame:
     whole = F.to_json(F.struct("c_custkey", "c_nationkey"))
     torn = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"))
-    return _layer(spark, roles.table(spark, d, "customer").select(F.when(F.col("c_acctbal") < 0, torn).otherwise(whole)), "json")
+    lines = roles.table(spark, d, "customer").select(F.when(F.col("c_acctbal") < 0, torn).otherwise(whole))
+    return _layer(spark, lines, "json")
 
 
 def parse_polygons(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +126,9 @@ def latest_version(spark: SparkSession, d: str) -> DataFrame:
 def manifest(spark: SparkSession, d: str) -> DataFrame:
     cols = ["plot_id", "obs_date", "cls", "area_ha"]
     made = quality.manifest(roles.observations(spark, d), "observation", cols, {"cutoff": CUTOFF})
-    return made.select("dataset", "n_rows", F.col("checksum").cast("string").alias("checksum"), F.col("params")["cutoff"].alias("cutoff"))
+    return made.select(
+        "dataset", "n_rows", F.col("checksum").cast("string").alias("checksum"), F.col("params")["cutoff"].alias("cutoff")
+    )
 
 
 def run_diff(spark: SparkSession, d: str) -> DataFrame:

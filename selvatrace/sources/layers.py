@@ -44,7 +44,10 @@ def parse_polygons(df: DataFrame, key: str, geojson: str) -> DataFrame:
     Ring 0 is the outer ring, the rest are holes.
     """
     shape = F.from_json(geojson, GEOJSON)
-    vertex = lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
+
+    def vertex(p: Column) -> Column:
+        return F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
+
     rings = F.transform(shape["coordinates"], lambda ring: F.transform(ring, vertex))
     return df.select(key, F.when(shape["type"] == "Polygon", rings).alias("rings"))
 
