@@ -70,3 +70,34 @@ def test_ordered_scans_shuffle_full_rows_once(spark, without_broadcast):
 def test_events_hold_distinct_times(spark):
     alerts = roles.alerts(spark, FOLDER)
     assert alerts.select("ts").distinct().count() == alerts.count()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "semi", "anti"])
+def test_a_cell_hot_with_points_is_split_at_run_time(spark, without_broadcast, how):
+    from pyspark.sql import functions as F
+
+    from selvatrace.operators import spatial
+
+    hot = F.col("id") % 3 == 0
+    place = [F.when(hot, 0.05).otherwise(F.pmod(F.xxhash64("id", F.lit(s)), F.lit(1000)) / 100) for s in (1, 2)]
+    points = spark.range(0, 120_000, 1, 8).select("id", place[0].alias("lon"), place[1].alias("lat"))
+    plots = roles.plots(spark, FOLDER).select(
+        "plot_id", F.transform("rings", lambda r: F.transform(r, lambda v: F.struct((v.x + 65).alias("x"), (v.y + 35).alias("y")))).alias("rings")
+    )
+    small = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        joined = spatial.pip_join(points, plots, 0.1, how)
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
