@@ -52,29 +52,35 @@ def pip_join(
 
     A point has one leaf cell, so no pair can repeat. A row of the cover holds only the edges
     that matter in its cell: a ray runs right from the point, so an edge above, below or left
-    of the cell cannot be crossed. A plot of many thousand vertices thus costs a point only the
-    edges level with its cell. The box test comes before ray casting and spares it for most
+    of the cell cannot be crossed. Edges are sorted into rows of cells first and then into the
+    cells of a row, so a plot of many thousand vertices is not copied whole to every cell, and
+    costs a point only the edges level with its cell. The box test comes before ray casting and spares it for most
     candidates. A cell hot with points is split by Spark's skew join, which can split the left
     side of all four join types. ``points`` carries ``lon`` and ``lat`` and no ``plot_id``;
     ``deg``, ``crowd`` and ``levels`` shape the grid and do not change the result.
     """
     boxed = plots.select("plot_id", plot_edges(F.col("rings")).alias("_edges"), *bounds(F.col("rings")))
-    leaves, crowded = grid.cover(boxed, [], BOX_AXES, deg, crowd, levels)
-    width = grid.leaf_width(deg)
-    # One cell of slack on each side keeps rounding at a cell border from dropping an edge.
-    left, low, high = (F.col("_c0") - 1) * width, (F.col("_c1") - 1) * width, (F.col("_c1") + 2) * width
-    clipped = F.filter(
-        "_edges",
-        lambda e: (F.greatest(e.ax, e.bx) >= left) & (F.greatest(e.ay, e.by) >= low) & (F.least(e.ay, e.by) <= high),
-    )
+
+    def narrow(df: DataFrame, axis: int, width: float) -> DataFrame:
+        # One cell of slack on each side keeps rounding at a cell border from dropping an edge.
+        if axis == 0:
+            low, high = (F.col("_c0") - 1) * F.lit(width), (F.col("_c0") + 2) * F.lit(width)
+            kept = F.filter("_edges", lambda e: (F.greatest(e.ay, e.by) >= low) & (F.least(e.ay, e.by) <= high))
+        else:
+            left = (F.col("_c1") - 1) * F.lit(width)
+            kept = F.filter("_edges", lambda e: F.greatest(e.ax, e.bx) >= left)
+        return df.withColumn("_edges", kept)
+
+    rows_first = [("ymin", "ymax"), ("xmin", "xmax")]
+    leaves, crowded = grid.cover(boxed, [], rows_first, deg, crowd, levels, narrow)
     holds = (
         grid.same_leaf(2)
         & F.col("lon").between(F.col("xmin"), F.col("xmax"))
         & F.col("lat").between(F.col("ymin"), F.col("ymax"))
         & inside(F.col("_edges"), F.col("lon"), F.col("lat"))
     )
-    keyed = grid.leaf_of(points, [], [F.col("lon"), F.col("lat")], deg, crowded)
-    joined = keyed.join(leaves.withColumn("_edges", clipped), holds, JOIN_TYPES[how])
+    keyed = grid.leaf_of(points, [], [F.col("lat"), F.col("lon")], deg, crowded)
+    joined = keyed.join(leaves, holds, JOIN_TYPES[how])
     return joined.drop(*grid.helper_columns(2), "xmin", "ymin", "xmax", "ymax", "_edges")
 
 

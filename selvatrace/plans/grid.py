@@ -7,6 +7,7 @@ point there would meet every box. Such crowded cells are split, and only they.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_, mul
 
@@ -18,6 +19,8 @@ from selvatrace.session import cut_lineage
 SPLIT = 8  # a cell is split this many times along each axis; a power of two splits exactly
 BROADCAST_CELLS = 200_000  # a few numbers each, so a few megabytes
 
+Narrow = Callable[[DataFrame, int, float], DataFrame]
+
 
 def cell(coord: Column, width: float) -> Column:
     """Index of the cell of ``width`` that holds ``coord``."""
@@ -29,23 +32,31 @@ def leaf_width(width: float) -> Column:
     return F.lit(float(width)) / F.pow(F.lit(float(SPLIT)), F.col("_lvl"))
 
 
-def touch(boxes: DataFrame, axes: list[tuple[str, str]], width: float) -> DataFrame:
+def touch(boxes: DataFrame, axes: list[tuple[str, str]], width: float, narrow: Narrow | None = None) -> DataFrame:
     """One row per box and cell it touches, with the cell in ``_c0``, ``_c1``, ...
 
     An axis is a pair of columns: the box's low and high end. A box without ends touches no
     cell and keeps one row with null cells, which joins nothing. (The outer explode is on
     purpose: for a plain one Spark first filters on the size of the sequences, and works out
-    the ends of every box twice.)
+    the ends of every box twice.) ``narrow`` is called after each axis, with the number of the axis
+    and the width, to cut what a row carries down to its cell before the next copy is made.
     """
     spans = {f"_s{i}": F.sequence(cell(F.col(low), width), cell(F.col(high), width)) for i, (low, high) in enumerate(axes)}
     out = boxes.withColumns(spans)
     for i in range(len(axes)):
         out = out.withColumn(f"_c{i}", F.explode_outer(f"_s{i}"))
+        out = narrow(out, i, width) if narrow else out
     return out.drop(*spans)
 
 
 def cover(
-    boxes: DataFrame, keys: list[str], axes: list[tuple[str, str]], width: float, crowd: int, levels: int
+    boxes: DataFrame,
+    keys: list[str],
+    axes: list[tuple[str, str]],
+    width: float,
+    crowd: int,
+    levels: int,
+    narrow: Narrow | None = None,
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Covers boxes with cells per key and splits the crowded ones.
 
@@ -58,7 +69,7 @@ def cover(
     """
     names = [f"_c{i}" for i in range(len(axes))]
     parts_per_cell = SPLIT ** len(axes)
-    open_rows = touch(boxes, axes, width)
+    open_rows = touch(boxes, axes, width, narrow)
     leaves, crowded_by_level = [], []
     for level in range(levels):
         part = width / SPLIT ** (level + 1)
@@ -88,6 +99,7 @@ def cover(
         )
         for i, c in enumerate(names):
             open_rows = open_rows.withColumn(c, F.explode_outer(f"_s{i}"))
+            open_rows = narrow(open_rows, i, part) if narrow else open_rows
         open_rows = open_rows.drop(*[f"_s{i}" for i in range(len(names))])
     leaves.append(open_rows.withColumn("_lvl", F.lit(len(crowded_by_level))))
     return reduce(DataFrame.unionByName, leaves), crowded_by_level

@@ -57,9 +57,10 @@ def split_busy_keys(
 
     Returns the rows and the columns to partition by: the keys, and ``_chunk`` where any key is
     busy; rows of ordinary keys have none. A busy key whose rows all lie at one point of
-    ``along`` cannot be cut. Runs one job that counts rows per key; the busy keys, of which there can be no more
-    than rows divided by ``rows_per_chunk``, are written out once and broadcast while few. The
-    job reads only the key and ``along``; None spares it where no key can be busy.
+    ``along`` cannot be cut. Runs one job that counts rows per key; the busy keys, of which
+    there can be no more than rows divided by ``rows_per_chunk``, are written out once and
+    broadcast while few. The job reads only the key and ``along``; None spares it where no key
+    can be busy.
     """
     if rows_per_chunk is None:
         return df, keys

@@ -79,6 +79,32 @@ def test_pip_join_on_hand_made_shapes(spark, deg, crowd):
     assert sorted((r.pt, r.plot_id) for r in again) == sorted(want)
 
 
+@pytest.mark.parametrize("deg,crowd", [(0.05, 256), (0.5, 0)])
+def test_pip_join_with_many_vertices(spark, deg, crowd):
+    rng = random.Random(8)
+    spokes = [2 * math.pi * i / 700 for i in range(700)]
+    star = [(math.cos(t) * r, math.sin(t) * r) for t, r in zip(spokes, [rng.uniform(0.4, 1.0) for _ in spokes], strict=True)]
+    coords = [(rng.uniform(-1, 1), rng.uniform(-1, 1)) for _ in range(600)]
+    got = spatial.pip_join(points_of(spark, coords), make_plots(spark, {1: [star]}), deg, crowd=crowd).collect()
+    want = [i for i, p in enumerate(coords) if even_odd([star], *p)]
+    assert sorted(r.pt for r in got) == want and len(want) > 100
+
+
+def test_a_plot_is_not_copied_whole_to_its_cells(spark, monkeypatch):
+    ring = [(math.cos(2 * math.pi * i / 400), math.sin(2 * math.pi * i / 400)) for i in range(400)]
+    seen = []
+    original = grid.cover
+
+    def spy(*args):
+        seen.append(original(*args))
+        return seen[0]
+
+    monkeypatch.setattr(grid, "cover", spy)
+    spatial.pip_join(points_of(spark, [(0.0, 0.0)]), make_plots(spark, {1: [ring]}), 0.05)
+    cells = seen[0][0].select(F.size("_edges").alias("n")).agg(F.count("n").alias("cells"), F.avg("n").alias("n")).first()
+    assert cells.cells > 1500 and cells.n < 40
+
+
 @pytest.fixture(scope="module")
 def crowded_boxes():
     """A few wide boxes, and a third of all boxes tiny and in one corner of one cell."""
