@@ -10,8 +10,8 @@ The lexicon has given words and learned ones: beginnings of words whose share of
 documents is surely larger than of the others. Their weights are the logarithm of that ratio. Learning
 sees at most about ``FIT_ROWS`` labelled rows, chosen by a hash of the id.
 
-Defined results: a null or empty text has no entries and gets the score of a text without any; without labels of both
-classes only the given words count, with default weights; null ids are scored like others; repeated rows give a row
+Defined results: a null or empty text has no entries and gets the score of a text without any; with hardly any labels of
+one class only the given words count, with default weights; null ids are scored like others; repeated rows give a row
 each; repeated or contradictory labels count each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,6 +33,8 @@ from selvatrace.llm.common import about, bucket, logistic, pick
 
 #: Most labelled rows that learning uses, about.
 FIT_ROWS = 12_000
+#: With fewer labelled rows of either class nothing is learned.
+LEAST_ROWS = 5
 #: Most learned entries.
 ENTRIES = 2_000
 SHORTEST, LONGEST = 3, 10
@@ -141,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows = rows.persist()
     sizes = {r["y"] > 0: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     clean, toxic = sizes.get(False, 0), sizes.get(True, 0)
-    if not clean or not toxic:
+    if min(clean, toxic) < LEAST_ROWS:
         rows.unpersist()
         return Lexicon(dict.fromkeys(GIVEN, GIVEN_WEIGHT), _CURVE)
     log = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
