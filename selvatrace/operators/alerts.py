@@ -88,7 +88,7 @@ def asof_state(
 
 
 def tenure_join(
-    facts: DataFrame, tenures: DataFrame, ts: str, span_days: float, crowd: int = 256, levels: int = 2
+    facts: DataFrame, tenures: DataFrame, ts: str, span_days: float, crowd: int = 256, levels: int = grid.FINEST
 ) -> DataFrame:
     """Each fact with the holder of its plot at that time: ``valid_from <= ts < valid_to``.
 

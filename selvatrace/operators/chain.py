@@ -31,15 +31,20 @@ def unlinked_lots(lots: DataFrame, movements: DataFrame) -> DataFrame:
     return lots.join(movements.select("lot_id").distinct(), "lot_id", "left_anti")
 
 
-def reach(edges: DataFrame, max_depth: int) -> DataFrame:
+def reach(edges: DataFrame, max_depth: int, origins: DataFrame | None = None) -> DataFrame:
     """Every ``(origin, node)`` pair within ``max_depth`` steps and the least depth.
 
+    ``origins`` (one column, ``origin``) names the nodes to start from. Without it all nodes do, and the
+    result grows with their square.
+
     Each step joins only the pairs that were new in the step before, keeps those not seen yet,
     and writes them to the shared folder, so cycles end and the plan does not grow. A node
     that reaches itself lies on a cycle and is reported.
     """
     steps = cut_lineage(edges.select("src", "dst").distinct())
     fresh = steps.select(F.col("src").alias("origin"), F.col("dst").alias("node"), F.lit(1).alias("depth"))
+    if origins is not None:
+        fresh = fresh.join(origins.select("origin").distinct(), "origin", "left_semi")
     rounds = [fresh]
     for depth in range(2, max_depth + 1):
         if fresh.isEmpty():
@@ -132,10 +137,20 @@ def origin_completeness(movements: DataFrame, known_sites: DataFrame) -> DataFra
 
 
 def hop_delay(movements: DataFrame) -> DataFrame:
-    """Per lot and day with movements: how many, and the days since its previous such day.
+    """Per movement: its place among the lot's movements of the day, and the days since the lot's previous movement.
 
-    Movements are counted per lot and day first, so a lot's series is bounded by its days.
+    The first movement of a day carries the delay since the lot's previous day, the others 0. Movements
+    are counted per lot and day before days are ordered, and expanded after, so no window sees a lot's rows.
     """
+    days = hop_days(movements)
+    nth = F.explode(F.sequence(F.lit(1), F.col("n_moves").cast("int"))).alias("nth")
+    return days.select("lot_id", "moved_on", nth, "delay_days").withColumn(
+        "delay_days", F.when(F.col("nth") == 1, F.col("delay_days")).otherwise(0)
+    )
+
+
+def hop_days(movements: DataFrame) -> DataFrame:
+    """Per lot and day with movements: how many, and the days since its previous such day."""
     days = movements.groupBy("lot_id", "moved_on").agg(F.count(F.lit(1)).alias("n_moves"))
     before = F.lag("moved_on").over(W.partitionBy("lot_id").orderBy("moved_on"))
     return days.withColumn("delay_days", F.datediff("moved_on", before))

@@ -105,15 +105,17 @@ def accuracy_report(checked: DataFrame, class_areas: DataFrame) -> DataFrame:
     The stratified estimator of Olofsson et al. (2014), doi:10.1016/j.rse.2014.02.015: with
     W_i the share of the mapped area in class i, class j covers ``sum_i W_i n_ij / n_i`` of the
     area, with variance ``sum_i W_i^2 (n_ij/n_i)(1 - n_ij/n_i)/(n_i - 1)``.
-    ``class_areas`` is (mapped, area). After the first count only class pairs are left.
+    ``class_areas`` is (mapped, area). A class with area and no checked row is ``unsampled`` and has no
+    estimate; its area is then missing from the others' sum. After the first count only class pairs are left.
     """
     seen = checked.groupBy("mapped", "truth").agg(F.count(F.lit(1)).alias("_n"))
     # Every class gets its diagonal cell, so a class that was never confirmed shows 0.
     diagonal = seen.select(F.explode(F.array("mapped", "truth")).alias("mapped")).select(
         "mapped", F.col("mapped").alias("truth"), F.lit(0).cast("bigint").alias("_n")
     )
-    counts = seen.unionByName(diagonal).groupBy("mapped", "truth").agg(F.sum("_n").alias("_n"))
     areas = class_areas.groupBy("mapped").agg(F.sum("area").cast("double").alias("_area"))
+    mapped = areas.select("mapped", F.col("mapped").alias("truth"), F.lit(0).cast("bigint").alias("_n"))
+    counts = seen.unionByName(diagonal).unionByName(mapped).groupBy("mapped", "truth").agg(F.sum("_n").alias("_n"))
     total = areas.agg(F.sum("_area").alias("_total")).scalar()
     weights = areas.select("mapped", (F.col("_area") / total).alias("_w"))
     hit = F.col("mapped").eqNullSafe(F.col("truth"))
@@ -136,13 +138,15 @@ def accuracy_report(checked: DataFrame, class_areas: DataFrame) -> DataFrame:
             F.sum(F.when(hit, F.col("_p")).otherwise(0.0)).alias("_hits"),
             F.sum("_p").alias("_p"),
             F.sqrt(F.sum("_var")).alias("_se"),
+            F.coalesce(F.max(F.when(hit, (F.col("_w") > 0) & (F.col("_row") == 0))), F.lit(False)).alias("unsampled"),
         )
         .select(
             "cls",
             "n_checked",
             "users_accuracy",
             (F.col("_hits") / F.nullif(F.col("_p"), F.lit(0.0))).alias("producers_accuracy"),
-            (F.col("_p") * total).alias("area_estimate"),
-            (F.col("_se") * total).alias("area_std_error"),
+            F.when(~F.col("unsampled"), F.col("_p") * total).alias("area_estimate"),
+            F.when(~F.col("unsampled"), F.col("_se") * total).alias("area_std_error"),
+            "unsampled",
         )
     )

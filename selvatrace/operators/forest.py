@@ -16,7 +16,7 @@ from selvatrace.session import cut_lineage
 
 
 def zonal_stats(obs: DataFrame, zone: list[str], value: str, band: float) -> DataFrame:
-    """Count, sum, mean, min, max and exact median of ``value`` per zone.
+    """Count, nulls, sum, mean, min, max and exact median of ``value`` per zone; a zone of nulls only stays.
 
     Observations are first reduced to one row per zone and distinct value. Counts per band of
     width ``band`` then say which band holds the median and how many values lie below it; that
@@ -25,15 +25,15 @@ def zonal_stats(obs: DataFrame, zone: list[str], value: str, band: float) -> Dat
     """
     v = F.col(value)
     hist = (
-        obs.filter(v.isNotNull())
-        .groupBy(*zone, value)
+        obs.groupBy(*zone, value)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_band", F.floor(v / F.lit(band)).cast("bigint"))
     )
     per_zone = W.partitionBy(*zone)
     below = per_zone.orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
     middle_bands = (
-        hist.groupBy(*zone, "_band")
+        hist.filter(v.isNotNull())
+        .groupBy(*zone, "_band")
         .agg(F.sum("_n").alias("_in_band"))
         .withColumn("_below", F.coalesce(F.sum("_in_band").over(below), F.lit(0)))
         .withColumn("_all", F.sum("_in_band").over(per_zone))
@@ -59,13 +59,14 @@ def zonal_stats(obs: DataFrame, zone: list[str], value: str, band: float) -> Dat
     return (
         ranked.groupBy(*zone)
         .agg(
-            F.sum("_n").alias("n_obs"),
+            F.coalesce(F.sum(F.when(v.isNotNull(), F.col("_n"))), F.lit(0)).alias("n_obs"),
+            F.coalesce(F.sum(F.when(v.isNull(), F.col("_n"))), F.lit(0)).alias("n_null"),
             F.sum(v * F.col("_n")).alias("total"),
             F.min(v).alias("smallest"),
             F.max(v).alias("largest"),
             ((at("_lo") + at("_hi")) / F.lit(2.0)).alias("median"),
         )
-        .withColumn("mean", F.col("total").cast("double") / F.col("n_obs").cast("double"))
+        .withColumn("mean", F.col("total").cast("double") / F.nullif(F.col("n_obs").cast("double"), F.lit(0.0)))
     )
 
 
@@ -114,10 +115,11 @@ def transition_matrix(obs: DataFrame, key: list[str]) -> DataFrame:
 def annual_series(obs: DataFrame) -> DataFrame:
     """Area per plot and year with a running total; years without observations show 0.
 
+    Undated observations belong to no year and are left out; ``validate_split`` can name them.
     The series runs from a plot's first to its last year. Each yearly row fills the gap that
     follows it, so no calendar has to be joined.
     """
-    yearly = obs.groupBy("plot_id", F.year("obs_date").alias("_year")).agg(F.sum("area_ha").alias("_area"))
+    yearly = obs.filter(F.col("obs_date").isNotNull()).groupBy("plot_id", F.year("obs_date").alias("_year")).agg(F.sum("area_ha").alias("_area"))
     by_year = W.partitionBy("plot_id").orderBy("_year")
     last_filled = F.coalesce(F.lead("_year").over(by_year) - 1, F.col("_year"))
     running = by_year.rowsBetween(W.unboundedPreceding, 0)

@@ -45,10 +45,11 @@ def run_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
     Grouping by the whole row nets equal rows out on the map side, nulls included, and only
     the rows that differ go on to be sorted out by key. Repeated keys stay linear: no old row
-    is ever paired with a new one. ``copies`` counts how often a row is missing or extra.
+    is ever paired with a new one. A column that only one run has is null in the other. ``copies`` counts how often a row is missing or extra.
     """
-    cols = old.columns
-    both = old.select(*cols, F.lit(-1).alias("_by")).unionByName(new.select(*cols, F.lit(1).alias("_by")))
+    before, after = old.withColumn("_by", F.lit(-1)), new.withColumn("_by", F.lit(1))
+    both = before.unionByName(after, allowMissingColumns=True)
+    cols = [c for c in both.columns if c != "_by"]
     differing = both.groupBy(*cols).agg(F.sum("_by").alias("_net")).filter(F.col("_net") != 0)
     kinds = differing.groupBy(*key).agg(F.max(F.col("_net") > 0).alias("_came"), F.max(F.col("_net") < 0).alias("_went"))
     change = F.when(F.col("_came") & F.col("_went"), "changed").when(F.col("_came"), "added").otherwise("removed")

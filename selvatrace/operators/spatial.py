@@ -46,7 +46,7 @@ def cover_cells(plots: DataFrame, deg: float) -> DataFrame:
 
 
 def pip_join(
-    points: DataFrame, plots: DataFrame, deg: float, how: str = "inner", crowd: int = 256, levels: int = 2
+    points: DataFrame, plots: DataFrame, deg: float, how: str = "inner", crowd: int = 256, levels: int = grid.FINEST
 ) -> DataFrame:
     """Points joined to the plots that hold them: inner, left, semi or anti.
 
@@ -230,7 +230,7 @@ def _cells_in_reach(open_cells: DataFrame, deg: float, k: int) -> DataFrame:
     )
 
 
-def bbox_overlap_join(plots: DataFrame, deg: float, crowd: int = 256, levels: int = 2) -> DataFrame:
+def bbox_overlap_join(plots: DataFrame, deg: float, crowd: int = 256, levels: int = grid.FINEST) -> DataFrame:
     """Pairs of plots whose bounding boxes overlap, each pair once, smaller id first.
 
     Two boxes can share many cells; the pair is kept only in the leaf cell that holds the lower

@@ -142,12 +142,12 @@ def run_diff(spark: SparkSession, d: str) -> DataFrame:
 def write_evidence(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "evidence")
     obs = roles.observations(spark, d)
-    layers.write_evidence(obs, path, ["cls"], ["plot_id", "obs_date", "area_ha"], files=8)
+    layers.write_evidence(obs, path, ["cls"], ["plot_id", "obs_date", "area_ha"])
     return spark.read.schema(obs.schema).parquet(path)
 
 
 def _order_report(spark: SparkSession, d: str) -> DataFrame:
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     return quality.quality_report(roles.table(spark, d, "orders"), cols, [0.25, 0.5, 0.75])
 
 
@@ -156,7 +156,16 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_report_sketches(spark: SparkSession, d: str) -> DataFrame:
-    return _order_report(spark, d).select("column_name", "approx_distinct", F.to_json("percentiles").alias("percentiles"))
+    """Exact distinct counts, and whether the sketches lie within three of their standard errors (5 %)."""
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    orders = roles.table(spark, d, "orders")
+    exact = orders.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("n_distinct")) for c in cols]).alias("_r"))
+    off = F.abs(F.col("approx_distinct") - F.col("n_distinct"))
+    return (
+        _order_report(spark, d)
+        .join(exact.select(F.inline("_r")), "column_name")
+        .select("column_name", "n_distinct", (off <= F.greatest(F.lit(1.0), 0.15 * F.col("n_distinct"))).alias("close"))
+    )
 
 
 # Spatial
@@ -417,7 +426,7 @@ def reach(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reach_dense(spark: SparkSession, d: str) -> DataFrame:
-    return chain.reach(roles.nation_movements(spark, d).select("src", "dst"), 3)
+    return chain.reach(roles.nation_movements(spark, d).select("src", "dst"), 8)
 
 
 def exposure(spark: SparkSession, d: str) -> DataFrame:

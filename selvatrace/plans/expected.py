@@ -121,9 +121,9 @@ _SETS = """, large AS (SELECT * FROM alert WHERE area_ha > 50)
 SELECT plot_id FROM large WHERE source = 'error' {op} SELECT plot_id FROM large WHERE source = 'purchase'"""
 
 _ZONAL = """
-SELECT {zone}, count(*) AS n_obs, CAST(sum(area_ha) AS DOUBLE) AS total, CAST(min(area_ha) AS DOUBLE) AS smallest,
+SELECT {zone}, count(area_ha) AS n_obs, count(*) - count(area_ha) AS n_null, CAST(sum(area_ha) AS DOUBLE) AS total, CAST(min(area_ha) AS DOUBLE) AS smallest,
        CAST(max(area_ha) AS DOUBLE) AS largest, median(CAST(area_ha AS DOUBLE)) AS median,
-       CAST(sum(area_ha) AS DOUBLE)/CAST(count(*) AS DOUBLE) AS mean
+       CAST(sum(area_ha) AS DOUBLE)/CAST(count(area_ha) AS DOUBLE) AS mean
 FROM observation GROUP BY {zone}"""
 
 _LOSS = """
@@ -184,7 +184,12 @@ SELECT plot_id, {_day("obs_date")} AS obs_date, cls, CAST(area_ha AS DOUBLE) AS
         + "\nUNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, "
             f"CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest FROM orders"
-            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        ),
+        "quality_report_sketches": "\n"
+        + "\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, TRUE AS close FROM orders"
+            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
         ),
         "cell_id": """
 SELECT alert_id, CAST(floor(lon/0.5::DOUBLE) AS BIGINT) AS cx, CAST(floor(lat/0.5::DOUBLE) AS BIGINT) AS cy FROM alert""",
@@ -349,7 +354,7 @@ SELECT src AS origin, dst AS node, CAST(min(depth) AS BIGINT) AS depth FROM walk
         "reach_dense": """
 , route AS (SELECT DISTINCT src, dst FROM nation_movement),
 walk AS (SELECT src, dst, 1 AS depth FROM route
-  UNION SELECT w.src, r.dst, w.depth + 1 FROM walk w JOIN route r ON w.dst = r.src WHERE w.depth < 3)
+  UNION SELECT w.src, r.dst, w.depth + 1 FROM walk w JOIN route r ON w.dst = r.src WHERE w.depth < 8)
 SELECT src AS origin, dst AS node, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst""",
         "exposure": """
 , totals AS (SELECT src, dst, CAST(sum(qty) AS DOUBLE) AS qty FROM nation_movement GROUP BY src, dst),
@@ -369,10 +374,12 @@ SELECT dst, CAST(sum(qty) AS DOUBLE) AS qty,
        CAST(sum(CASE WHEN site_id IS NOT NULL THEN qty ELSE 0 END) AS DOUBLE)/nullif(CAST(sum(qty) AS DOUBLE), 0) AS share_known
 FROM movement LEFT JOIN (SELECT site_id FROM site WHERE admin1 IN ('AFRICA', 'ASIA')) ON src = site_id GROUP BY dst""",
         "hop_delay": f"""
-, days AS (SELECT lot_id, moved_on, count(*) AS n_moves FROM movement GROUP BY 1, 2)
-SELECT lot_id, {_day("moved_on")} AS moved_on, n_moves,
-       CAST(coalesce(days.moved_on - lag(days.moved_on) OVER (PARTITION BY lot_id ORDER BY days.moved_on), -1) AS BIGINT) AS delay_days
-FROM days""",
+, numbered AS (SELECT lot_id, moved_on, row_number() OVER (PARTITION BY lot_id, moved_on) AS nth,
+  max(moved_on) OVER (PARTITION BY lot_id ORDER BY moved_on RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS before
+  FROM movement)
+SELECT lot_id, {_day("moved_on")} AS moved_on, nth,
+       CASE WHEN nth > 1 THEN 0 ELSE CAST(coalesce(CAST(moved_on AS DATE) - CAST(before AS DATE), -1) AS BIGINT) END AS delay_days
+FROM numbered""",
         "technical_status": _STATUS + "SELECT * FROM status",
         "dossier": _STATUS
         + """, entry AS (
@@ -403,7 +410,8 @@ tot AS (SELECT sum(area) AS a FROM w),
 c AS (SELECT n.i, n.j, n.n, area/a AS w, n.n/r.n AS s, r.n AS rn, a FROM n JOIN r ON n.i = r.i JOIN w ON n.i = w.i, tot)
 SELECT CAST(j AS BIGINT) AS cls, CAST(sum(n) AS BIGINT) AS n_checked, round(max(s) FILTER (i = j), 6) AS users_accuracy,
        round(sum(w*s) FILTER (i = j)/sum(w*s), 6) AS producers_accuracy, round(sum(w*s)*max(a), 6) AS area_estimate,
-       round(sqrt(sum(w*w*s*(1 - s)/(rn - 1)))*max(a), 6) AS area_std_error
+       round(sqrt(sum(w*w*s*(1 - s)/(rn - 1)))*max(a), 6) AS area_std_error,
+       j NOT IN (SELECT i FROM r) AND j IN (SELECT i FROM w) AS unsampled
 FROM c GROUP BY j""",
     }
     body["baseline_anomaly_split"] = body["baseline_anomaly"]

@@ -25,7 +25,6 @@ from selvatrace.session import cut_lineage
 ROWS_PER_CHUNK = 1_000_000  # a key with more rows is cut; one task sorts this many with ease
 FEW_ROWS = 100  # rows per key and map task that one task can well take in
 SALTS = 64
-BROADCAST_KEYS = 200_000  # a key and two numbers each, so a few megabytes
 
 
 def time_chunk(ts: Column, seconds: int) -> Column:
@@ -41,45 +40,34 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def _position(df: DataFrame, along: str) -> Column:
-    kind = df.schema[along].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(along)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(along)
-    return F.col(along).cast("double")
-
-
 def split_busy_keys(
-    df: DataFrame, keys: list[str], along: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
+    df: DataFrame, keys: list[str], order: list[str], rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> tuple[DataFrame, list[str]]:
-    """Cuts keys with more than ``rows_per_chunk`` rows into even stretches of ``along``.
+    """Cuts keys with more than ``rows_per_chunk`` rows into chunks of about as many rows along ``order``.
 
     Returns the rows and the columns to partition by: the keys, and ``_chunk`` where any key is
-    busy; rows of ordinary keys have none. A busy key whose rows all lie at one point of
-    ``along`` cannot be cut. Runs one job that counts rows per key; the busy keys, of which
-    there can be no more than rows divided by ``rows_per_chunk``, are written out once and
-    broadcast while few. The job reads only the key and ``along``; None spares it where no key
-    can be busy.
+    busy; rows of ordinary keys have none. Busy rows are laid out by ranges of key and order, whose bounds Spark
+    takes from a sample of those rows, so neither a stray time nor a busy day widens a chunk; the
+    layout is written out, as its partition numbers are the chunks. Only rows equal in all of ``order`` stay together.
+    Runs a job that counts rows per key, and one over busy rows; the busy keys, of which
+    there can be no more than rows divided by ``rows_per_chunk``, are joined like any table. None spares
+    both where no key can be busy.
     """
     if rows_per_chunk is None:
         return df, keys
-    at = _position(df, along)
     busy = cut_lineage(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_from"), F.max(at).alias("_to"))
-        .filter((F.col("_n") > rows_per_chunk) & (F.col("_to") > F.col("_from")))
-        .select(*keys, "_from", ((F.col("_to") - F.col("_from")) / F.ceil(F.col("_n") / rows_per_chunk)).alias("_width"))
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_chunk)
     )
-    n_busy = busy.count()
-    if n_busy == 0:
+    n_rows = busy.agg(F.sum("_n")).first()[0]
+    if n_rows is None:
         return df, keys
-    if n_busy <= BROADCAST_KEYS:
-        busy = F.broadcast(busy)
-    # Rows without a position come first in their key, and so does their chunk.
-    stretch = F.when(F.col("_width").isNotNull(), F.coalesce(F.floor((at - F.col("_from")) / F.col("_width")), F.lit(-1)))
-    cut = join_on(df, busy, keys, "left").withColumn("_chunk", stretch).drop("_from", "_width")
-    return cut, [*keys, "_chunk"]
+    marked = join_on(df, busy, keys, "left")
+    # Half as many again: bounds from a sample are not exact.
+    chunks = -(-3 * n_rows // (2 * rows_per_chunk))
+    laid = marked.filter(F.col("_n").isNotNull()).drop("_n").repartitionByRange(chunks, *keys, *order)
+    hot = cut_lineage(laid.withColumn("_chunk", F.spark_partition_id()))
+    calm = marked.filter(F.col("_n").isNull()).drop("_n").withColumn("_chunk", F.lit(None).cast("int"))
+    return calm.unionByName(hot), [*keys, "_chunk"]
 
 
 def _earlier(keys: list[str]) -> W:
@@ -97,9 +85,9 @@ def running_total(
 ) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the key's rows up to and including this one.
 
-    ``order`` must be total within a key; busy keys are cut along its first column.
+    ``order`` must be total within a key; busy keys are cut along it.
     """
-    rows, by = split_busy_keys(df.withColumn("_value", value), keys, order[0], rows_per_chunk)
+    rows, by = split_busy_keys(df.withColumn("_value", value), keys, order, rows_per_chunk)
     frame = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     if by == keys:
         return rows.withColumn(name, F.sum("_value").over(frame)).drop("_value")
@@ -119,7 +107,7 @@ def last_seen(
     df: DataFrame, keys: list[str], order: list[str], value: str, name: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: the latest non-null ``value`` of the key at or before this row."""
-    rows, by = split_busy_keys(df, keys, order[0], rows_per_chunk)
+    rows, by = split_busy_keys(df, keys, order, rows_per_chunk)
     newest = F.last(value, ignorenulls=True)
     frame = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     if by == keys:
@@ -139,7 +127,7 @@ def next_row(
     df: DataFrame, keys: list[str], order: list[str], cols: list[str], name: str, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Adds ``name``: a struct of ``cols`` from the key's next row, null on its last row."""
-    rows, by = split_busy_keys(df.withColumn("_cols", F.struct(*cols)), keys, order[0], rows_per_chunk)
+    rows, by = split_busy_keys(df.withColumn("_cols", F.struct(*cols)), keys, order, rows_per_chunk)
     if by == keys:
         return rows.withColumn(name, F.lead("_cols").over(W.partitionBy(*by).orderBy(*order))).drop("_cols")
     handed_on = (
@@ -163,7 +151,7 @@ def over_previous(
     A chunk hands on its last ``n`` rows. Every earlier chunk holds at least one row, so a chunk
     needs to look back over ``n`` chunks at most to complete its lead-in.
     """
-    rows, by = split_busy_keys(df, keys, order[0], rows_per_chunk)
+    rows, by = split_busy_keys(df, keys, order, rows_per_chunk)
     frame = W.partitionBy(*by).orderBy(*order).rowsBetween(-n, -1)
     wanted = {name: agg.over(frame) for name, agg in new.items()}
     if by == keys:

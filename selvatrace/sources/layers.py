@@ -10,11 +10,14 @@ BAD_ROW = "_bad_row"
 GEOJSON = "type string, coordinates array<array<array<double>>>"
 
 
-def read_layer(spark: SparkSession, path: str, fmt: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def read_layer(
+    spark: SparkSession, path: str, fmt: str, schema: str, header: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Rows of a parquet, CSV or JSON layer, and the rows that do not fit the schema.
 
     The bad rows come back as their raw text in ``_bad_row`` instead of failing the run or
-    turning into nulls unseen. A parquet file carries its types, so it has none.
+    turning into nulls unseen. A parquet file carries its types, so it has none. With ``header``, lines of a CSV
+    layer equal to its first line are no rows.
     """
     if fmt == "parquet":
         good = spark.read.schema(schema).parquet(path)
@@ -24,6 +27,9 @@ def read_layer(spark: SparkSession, path: str, fmt: str, schema: str) -> tuple[D
     # Read as text and parse here: the schema's own columns may then be pruned freely, which
     # the readers forbid for a query on the bad-row column alone.
     text = spark.read.text(path)
+    first = text.first() if header and fmt == "csv" else None
+    if first is not None:
+        text = text.filter(F.col("value") != first["value"])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW}
     if fmt == "json":
         parsed = F.from_json("value", f"{schema}, {BAD_ROW} string", options)
@@ -66,16 +72,17 @@ def polygon_rules(rings: Column) -> dict[str, Column]:
     }
 
 
-def write_evidence(df: DataFrame, path: str, parts: list[str], order: list[str], files: int) -> None:
+def write_evidence(df: DataFrame, path: str, parts: list[str], order: list[str], files: int | None = None) -> None:
     """Writes ``df`` partitioned by ``parts`` with rows in ``order`` inside each file.
 
     The ranges are cut by ``parts`` and ``order`` together, so a part that holds most of the
-    rows is spread over several tasks and files.
+    rows is spread over several tasks and files. Without ``files`` their number follows the data: Spark's shuffle
+    partitions, merged by size at run time.
     """
     keys = [F.col(c) for c in [*parts, *order]]
+    ranges = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     (
-        df.repartitionByRange(files, *keys)
-        .sortWithinPartitions(*keys)
+        ranges.sortWithinPartitions(*keys)
         .write.mode("errorifexists")
         .partitionBy(*parts)
         .parquet(path)

@@ -35,9 +35,9 @@ def read_upserts(spark: SparkSession, path: str, key: list[str], schema: str) ->
     return first_rows(rows, key, [F.col("batch_id").desc()], 1).drop("batch_id")
 
 
-def finish(query: StreamingQuery, seconds: int) -> None:
-    """Waits for a stream with an end; raises what stopped it, or if it takes too long."""
-    done = query.awaitTermination(seconds)
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Waits for a stream with an end; raises what stopped it, or if it takes longer than ``seconds``, if given."""
+    done = query.awaitTermination(seconds) if seconds is not None else (query.awaitTermination() or True)
     failure = query.exception()
     if failure is not None:
         raise failure
@@ -46,7 +46,7 @@ def finish(query: StreamingQuery, seconds: int) -> None:
         raise TimeoutError(f"stream still running after {seconds} s")
 
 
-def drain(stream: DataFrame, name: str, seconds: int = 600) -> DataFrame:
+def drain(stream: DataFrame, name: str, seconds: int | None = None) -> DataFrame:
     """Runs an append-mode stream over what is there now and returns the files it wrote."""
     spark = stream.sparkSession
     out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-progress")
@@ -62,7 +62,7 @@ def drain(stream: DataFrame, name: str, seconds: int = 600) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def drain_upserts(stream: DataFrame, name: str, key: list[str], seconds: int = 600) -> DataFrame:
+def drain_upserts(stream: DataFrame, name: str, key: list[str], seconds: int | None = None) -> DataFrame:
     """Runs an update-mode stream over what is there now and returns its newest rows."""
     spark = stream.sparkSession
     out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-progress")

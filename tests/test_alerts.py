@@ -132,3 +132,8 @@ def test_focal_equals_brute_force(spark, radius):
         near = [v for a, b, v in cells if abs(a - x) <= radius and abs(b - y) <= radius]
         want[(x, y)] = (sum(near), len(near))
     assert {(r.cx, r.cy): (r.focal_sum, r.focal_n) for r in focal_stats(df, radius).collect()} == want
+
+
+def test_undated_observations_enter_no_total(spark):
+    obs = spark.createDataFrame([(1, "2000-05-01", 3.0), (1, None, 5.0)], "plot_id int, d string, area_ha double").withColumn("obs_date", F.to_date("d"))
+    assert [(r.year, r.area_ha, r.running_ha) for r in annual_series(obs).collect()] == [(2000, 3.0, 3.0)]

@@ -83,8 +83,10 @@ def test_mass_balance_of_a_closed_graph_is_zero(spark):
 def test_hop_delay_and_links(spark):
     rows = [(1, "2000-01-01"), (1, "2000-01-01"), (1, "2000-01-31"), (2, "2000-01-05")]
     moves = spark.createDataFrame(rows, "lot_id bigint, d string").withColumn("moved_on", F.to_date("d"))
-    got = sorted((r.lot_id, r.n_moves, r.delay_days) for r in chain.hop_delay(moves).collect() if r.delay_days)
+    got = sorted((r.lot_id, r.n_moves, r.delay_days) for r in chain.hop_days(moves).collect() if r.delay_days)
     assert got == [(1, 1, 30)]
+    each = sorted((r.lot_id, str(r.moved_on), r.nth, r.delay_days) for r in chain.hop_delay(moves).collect())
+    assert each == [(1, "2000-01-01", 1, None), (1, "2000-01-01", 2, 0), (1, "2000-01-31", 1, 30), (2, "2000-01-05", 1, None)]
     lots = spark.createDataFrame([(1,), (2,), (3,), (None,)], "lot_id bigint")
     assert [r.lot_id for r in chain.linked_lots(lots, moves).orderBy("lot_id").collect()] == [1, 2]
     assert {r.lot_id for r in chain.unlinked_lots(lots, moves).collect()} == {3, None}
@@ -94,3 +96,9 @@ def test_origin_completeness(spark):
     moves = edges_of(spark, [(1, 9, 3), (2, 9, 1), (2, 8, 4)])
     known = spark.createDataFrame([(1,), (1,)], "site_id bigint")
     assert {r.dst: r.share_known for r in chain.origin_completeness(moves, known).collect()} == {9: 0.75, 8: 0.0}
+
+
+def test_reach_from_given_origins(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 1)], "src int, dst int")
+    got = {(r.origin, r.node, r.depth) for r in chain.reach(edges, 2, spark.createDataFrame([(5,), (9,)], "origin int")).collect()}
+    assert got == {(5, 1, 1), (5, 2, 2)}

@@ -74,3 +74,10 @@ def test_accuracy_by_hand(spark):
             assert got[c].producers_accuracy == pytest.approx(w[c] * share[c] / p)
         else:
             assert got[c].producers_accuracy is None
+
+
+def test_unsampled_class_is_told(spark):
+    checked = spark.createDataFrame([(1, 1)] * 3 + [(2, 2)] * 3, "mapped int, truth int")
+    areas = spark.createDataFrame([(1, 10.0), (2, 10.0), (3, 80.0)], "mapped int, area double")
+    got = {r.cls: (r.unsampled, r.area_estimate) for r in evidence.accuracy_report(checked, areas).collect()}
+    assert got == {1: (False, 10.0), 2: (False, 10.0), 3: (True, None)}

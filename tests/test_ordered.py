@@ -65,13 +65,21 @@ def test_baseline_anomaly(series, size, n):
 
 
 def test_only_busy_keys_are_cut(series):
-    cut, by = split_busy_keys(series, ["k"], "ts", 250)
+    cut, by = split_busy_keys(series, ["k"], ["ts", "id"], 250)
     assert by == ["k", "_chunk"]
     parts = {r.k: (r.parts, r.largest) for r in cut.groupBy("k", "_chunk").count().groupBy("k").agg(
         F.count(F.lit(1)).alias("parts"), F.max("count").alias("largest")).collect()}
     assert all(parts[k][0] == 1 for k in (2, 3, 4, None))
     assert parts[1][0] >= 2 and parts[1][1] < 300
-    assert split_busy_keys(series, ["k"], "ts", 10**6)[1] == ["k"]
+    assert split_busy_keys(series, ["k"], ["ts", "id"], 10**6)[1] == ["k"]
+
+
+@pytest.mark.parametrize("when", ["CASE WHEN id = 0 THEN 0 ELSE 1700000000 + id END", "1700000000"])
+def test_stray_times_and_busy_days_make_no_large_chunk(spark, when):
+    rows = spark.range(20_000).select("id", F.lit(1).alias("k"), F.timestamp_seconds(F.expr(when)).alias("ts"))
+    cut, by = split_busy_keys(rows.repartition(8), ["k"], ["ts", "id"], 2_000)
+    sizes = [r["count"] for r in cut.groupBy(*by).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 4_000
 
 
 @pytest.mark.parametrize("band", [0.5, 7.0, 1000.0])
@@ -121,3 +129,9 @@ def test_rank_plots_with_long_ties(spark, tiles):
         assert as_set(ours) == as_set(plain)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_zone_of_nulls_stays(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, None), (2, None)], "z int, v double")
+    got = {r.z: (r.n_obs, r.n_null, r.median, r["mean"]) for r in zonal_stats(df, ["z"], "v", 1.0).collect()}
+    assert got == {1: (1, 1, 2.0, 2.0), 2: (0, 1, None, None)}

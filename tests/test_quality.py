@@ -146,3 +146,11 @@ def test_fixed_schema_of_every_table_matches_the_files(spark):
     for name, ddl in SCHEMAS.items():
         stored = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").schema
         assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in T.StructType.fromDDL(ddl)]
+
+
+def test_run_diff_sees_new_columns(spark):
+    old = spark.createDataFrame([(1, "a")], "key int, v string")
+    new = spark.createDataFrame([(1, "a", 7)], "key int, v string, extra int")
+    got = {(r.side, r.change, r.extra) for r in quality.run_diff(old, new, ["key"]).collect()}
+    assert got == {("old", "changed", None), ("new", "changed", 7)}
+    assert {(r.side, r.extra) for r in quality.run_diff(new, old, ["key"]).collect()} == {("old", 7), ("new", None)}

@@ -20,7 +20,7 @@ def test_query_agrees_with_sql(spark, tables, name):
     df = QUERIES[name](spark, FOLDER)
     got = rows_of(df.columns, df.collect())
     if name not in SQL:
-        assert name == "quality_report_sketches" and len(got) == 5
+        assert entry_points.WITH_TEXT and (name == "pipeline" or name.startswith("op"))  # tested on their own
         return
     cursor = tables.execute(SQL[name])
     names = [c[0] for c in cursor.description]
@@ -28,13 +28,6 @@ def test_query_agrees_with_sql(spark, tables, name):
     assert differs(got, rows_of(names, cursor.fetchall())) is None
 
 
-def test_sketches_are_close_to_exact(spark):
-    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
-    for row in QUERIES["quality_report_sketches"](spark, FOLDER).collect():
-        exact = orders.select(row.column_name).distinct().count()
-        assert abs(row.approx_distinct - exact) <= max(1, 0.15 * exact)
-
-
 def test_entry_runs(spark):
     assert entry_points.entry(spark).count() > 0
 
