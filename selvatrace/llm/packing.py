@@ -40,6 +40,8 @@ WINDOW = 64 * SEQUENCE
 CLOSING = 0
 #: Sources share queues by hash beyond this number, which bounds what the driver sees.
 QUEUES = 4096
+#: Rows of the table of queue totals per task, three numbers each, that are broadcast.
+BROADCAST_ROWS = 200_000
 #: Bytes of text whose distinct words are encoded together.
 PART_BYTES = 16 << 20
 #: White space other than single blanks and line ends between words may group differently: no parts then.
@@ -227,7 +229,8 @@ def packed(
     spark = docs.sparkSession
     held = tokens(docs, vocabulary, key, text, source, QUEUES)
     by_task = held.groupBy("queue", "task").agg(F.sum("n").alias("n"))
-    totals = {r["queue"]: r["n"] for r in by_task.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    per_queue = by_task.groupBy("queue").agg(F.sum("n").alias("n"), F.count("*").alias("tasks")).collect()
+    totals = {r["queue"]: r["n"] for r in per_queue}
     weights = dict(totals)
     if targets:
         named = spark.createDataFrame(list(targets.items()), "source string, share double")
@@ -240,6 +243,8 @@ def packed(
     # Running totals over tasks: one row per queue and task.
     earlier = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_task.select("queue", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
+    if sum(r["tasks"] for r in per_queue) <= BROADCAST_ROWS:  # else Spark shuffles both sides
+        offsets = F.broadcast(offsets)
     placed = held.join(offsets, ["queue", "task"]).select(
         key, "queue", (F.col("before") + F.col("ahead")).alias("position"), "ids"
     )
