@@ -13,15 +13,15 @@ from selvatrace.plans.ordered import ROWS_PER_CHUNK, first_rows, last_seen, time
 def classify_alerts(alerts: DataFrame, bands: list[tuple[str, float, list[str] | None]], otherwise: str) -> DataFrame:
     """Adds ``severity``: the first band whose area and source fit.
 
-    A band is (label, smallest area, sources or None for any).
+    A band is (label, smallest area, sources or None for any). An alert without an area is ``unknown``.
     """
-    label = None
+    label = F.when(F.col("area_ha").isNull(), "unknown")
     for name, at_least, sources in bands:
         fits = F.col("area_ha") >= F.lit(at_least).cast("decimal(18,4)")
         if sources is not None:
             fits = fits & F.col("source").isin(sources)
-        label = F.when(fits, name) if label is None else label.when(fits, name)
-    return alerts.withColumn("severity", F.lit(otherwise) if label is None else label.otherwise(otherwise))
+        label = label.when(fits, name)
+    return alerts.withColumn("severity", label.otherwise(otherwise))
 
 
 def dedup_alerts(alerts: DataFrame, key: list[str]) -> DataFrame:

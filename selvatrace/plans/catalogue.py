@@ -71,9 +71,9 @@ def _source(spark: SparkSession, d: str, name: str) -> DataFrame:
 # Sources, sinks, provenance
 
 
-def _layer(spark: SparkSession, lines: DataFrame, fmt: str) -> DataFrame:
+def _layer(spark: SparkSession, rows: DataFrame, fmt: str) -> DataFrame:
     path = scratch_path(spark, "layer")
-    lines.write.text(path)
+    rows.write.format("parquet" if fmt == "parquet" else "text").save(path)
     good, bad = layers.read_layer(spark, path, fmt, "c_custkey bigint, c_nationkey int")
     none = F.lit(-1)
     return good.select("c_custkey", "c_nationkey", F.lit("").alias("bad_row")).unionByName(
@@ -87,6 +87,10 @@ def read_layer(spark: SparkSession, d: str) -> DataFrame:
     return _layer(spark, lines, "csv")
 
 
+def read_layer_parquet(spark: SparkSession, d: str) -> DataFrame:
+    return _layer(spark, roles.table(spark, d, "customer").select("c_custkey", "c_nationkey"), "parquet")
+
+
 def read_layer_json(spark: SparkSession, d: str) -> DataFrame:
     whole = F.to_json(F.struct("c_custkey", "c_nationkey"))
     torn = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"))
@@ -325,6 +329,7 @@ def confirm_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 def _set(op: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
+        # Among alerts of every size each plot has both sources, and the difference would be empty.
         large = roles.alerts(spark, d).filter(F.col("area_ha") > 50)
         return al.source_sets(
             large.filter(F.col("source") == "error"), large.filter(F.col("source") == "purchase"), op
@@ -499,7 +504,7 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        read_layer, read_layer_json, parse_polygons, validate_split, latest_version, manifest, run_diff, write_evidence,
+        read_layer, read_layer_json, read_layer_parquet, parse_polygons, validate_split, latest_version, manifest, run_diff, write_evidence,
         quality_report, quality_report_sketches,
         cell_id, cover_cells, within_distance_join, knn_join, bbox_overlap_join, polygon_area, cell_density, focal_stats,
         zonal_stats, zonal_stats_by_class, class_area, loss_after_cutoff, transition_matrix, annual_series,

@@ -152,6 +152,8 @@ UNION ALL SELECT -1, -1, CAST(c_custkey AS VARCHAR) || ',' || c_mktsegment FROM
         "read_layer_json": """
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM customer WHERE c_acctbal >= 0
 UNION ALL SELECT -1, -1, '{"c_custkey":' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0""",
+        "read_layer_parquet": """
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM customer""",
         "parse_polygons": """
 SELECT plot_id, CAST(0 AS BIGINT) AS ring_no, CAST(no AS BIGINT) AS vertex_no, x, y FROM vertex""",
         "validate_split": """
@@ -269,7 +271,7 @@ SELECT admin1, CAST(area_ha AS DOUBLE) AS area_ha, plot_id,
 FROM lost JOIN plot_admin USING (plot_id)""",
         "classify_alerts": """
 SELECT alert_id, source, CAST(area_ha AS DOUBLE) AS area_ha,
-       CASE WHEN area_ha >= 100 OR (area_ha >= 50 AND source IN ('error', 'purchase')) THEN 'severe'
+       CASE WHEN area_ha IS NULL THEN 'unknown' WHEN area_ha >= 100 OR (area_ha >= 50 AND source IN ('error', 'purchase')) THEN 'severe'
             WHEN area_ha >= 20 THEN 'moderate' ELSE 'low' END AS severity FROM alert""",
         "dedup_alerts": f"""
 SELECT plot_id, source, {_day("ts")} AS day, alert_id, {_time("ts")} AS ts FROM alert

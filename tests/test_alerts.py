@@ -137,3 +137,8 @@ def test_focal_equals_brute_force(spark, radius):
 def test_undated_observations_enter_no_total(spark):
     obs = spark.createDataFrame([(1, "2000-05-01", 3.0), (1, None, 5.0)], "plot_id int, d string, area_ha double").withColumn("obs_date", F.to_date("d"))
     assert [(r.year, r.area_ha, r.running_ha) for r in annual_series(obs).collect()] == [(2000, 3.0, 3.0)]
+
+
+def test_alert_without_area_is_unknown(spark):
+    df = spark.createDataFrame([(1, None, "fire")], "alert_id int, area_ha decimal(18,4), source string")
+    assert al.classify_alerts(df, [("big", 40.0, None)], "small").first().severity == "unknown"

