@@ -18,7 +18,7 @@ from selvatrace.session import cut_lineage
 
 SPLIT = 8  # a cell is split this many times along each axis; a power of two splits exactly
 BROADCAST_CELLS = 200_000  # a few numbers each, so a few megabytes
-FINEST = 8  # splits after which a degree is 6 nanodegrees and half a year is a second
+FINEST = 2  # default number of splits; each one more repeats the search for crowded cells
 
 Narrow = Callable[[DataFrame, int, float], DataFrame]
 
@@ -62,7 +62,7 @@ def cover(
     """Covers boxes with cells per key and splits the crowded ones.
 
     A cell that more than ``crowd`` boxes touch is split eightfold along each axis, again and again
-    while it is crowded; after ``levels`` times a part is finer than coordinates are. It stays whole where the boxes would fill most of its parts: splitting
+    while it is crowded, up to ``levels`` times. It stays whole where the boxes would fill most of its parts: splitting
     would only make copies. Returns one row per box and leaf cell (``_lvl``, ``_c0``, ...) and
     the crowded cells of each level. These are found and written out here, a job per level, to
     know whether there are any and whether they are few enough to broadcast; otherwise they are
