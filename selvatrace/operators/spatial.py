@@ -10,6 +10,7 @@ finer there first.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,6 +29,7 @@ from selvatrace.functions.geometry import (
 from selvatrace.plans import grid
 from selvatrace.plans.grid import cell
 from selvatrace.plans.ordered import first_rows
+from selvatrace.session import cut_lineage
 
 BOX_AXES = [("xmin", "xmax"), ("ymin", "ymax")]
 JOIN_TYPES = {"inner": "inner", "left": "left", "semi": "left_semi", "anti": "left_anti"}
@@ -61,7 +63,7 @@ def pip_join(
     """
     boxed = plots.select("plot_id", plot_edges(F.col("rings")).alias("_edges"), *bounds(F.col("rings")))
 
-    def narrow(df: DataFrame, axis: int, width: float) -> DataFrame:
+    def narrow(df: DataFrame, axis: int, width: float | Column) -> DataFrame:
         # One cell of slack on each side keeps rounding at a cell border from dropping an edge.
         if axis == 0:
             low, high = (F.col("_c0") - 1) * F.lit(width), (F.col("_c0") + 2) * F.lit(width)
@@ -145,88 +147,113 @@ def _metres_to_cell(lon: Column, lat: Column, width: float) -> Column:
 # nine by five of them, which bounds the table of their counts.
 TOP_DEG = 45.0
 PARTS = 4  # a cell has this many parts along each axis at the next level
+DEEPEST = 12  # levels after which a cell is about a metre wide
 
 
-def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int) -> DataFrame:
+def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int = DEEPEST, crowd: int = 128) -> DataFrame:
     """The ``k`` nearest points of ``b`` for each point of ``a``; the smaller id wins ties.
 
-    Exact, with no search radius to choose. The search goes down ``levels`` grids, each split
-    fourfold. At every level a point keeps only cells that can still hold one of its nearest:
-    counts per cell give a distance within which ``k`` points are certain, and cells wholly
-    beyond it are left out. Points of ``b`` are read only for the cells left at the end. Of
-    points at one place only the ``k`` smallest ids can matter, so copies are cut first.
+    Exact, with no search radius to choose. The search pairs cells that hold points of ``a`` with
+    cells that hold points of ``b``, and goes down grids that are each split fourfold. At every level a cell of ``a`` keeps
+    only cells that can still hold one of its points' nearest: counts per cell give a distance within which ``k``
+    points are certain, and cells wholly beyond it are left out. A cell of ``a`` is settled once the cells
+    it keeps hold no more than ``crowd`` points (or eight times ``k``), and only the others go on. So each point meets about that many
+    others however dense or sparse ``b`` is around it. Of points at one place only the ``k`` smallest ids can
+    matter, so copies are cut first.
 
-    Each level needs shuffles, but a point carries a handful of cells through them however
-    dense or sparse ``b`` is around it. More levels suit a denser ``b``.
+    The search runs here, over counts per cell, two joins a level; the points are read for the counts and for the
+    last join. ``levels`` bounds the depth; neither it nor ``crowd`` changes the result.
     """
+    finest = TOP_DEG / PARTS ** (levels - 1)
     places = first_rows(
         b.select(F.col("id").alias("b_id"), F.col("lon").alias("_blon"), F.col("lat").alias("_blat")),
         ["_blon", "_blat"],
         [F.col("b_id")],
         k,
+    ).withColumns({"_x": cell(F.col("_blon"), finest), "_y": cell(F.col("_blat"), finest)})
+    origin = a.select(F.col("id").alias("a_id"), "lon", "lat").withColumns(
+        {"_ax": cell(F.col("lon"), finest), "_ay": cell(F.col("lat"), finest)}
     )
-    widths = [TOP_DEG / PARTS**i for i in range(levels)]
-    finest = widths[-1]
-    counted = places.groupBy(cell(F.col("_blon"), finest).alias("_x"), cell(F.col("_blat"), finest).alias("_y")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    # Coarser counts are summed from the finest ones, so a cell and its parts always agree.
-    by_level = [counted]
-    for _ in range(levels - 1):
-        finer = by_level[-1]
-        up = [F.floor(F.col(c) / PARTS).cast("bigint").alias(c) for c in ("_x", "_y")]
-        by_level.append(finer.groupBy(*up).agg(F.sum("_n").alias("_n")))
-    by_level.reverse()
-
-    origin = a.select(F.col("id").alias("a_id"), "lon", "lat")
-    # Not a size guess: cells off the globe are cut, which leaves at most 9 x 5.
-    by_level[0] = by_level[0].filter(F.col("_x").between(-4, 4) & F.col("_y").between(-2, 2))
-    world = origin.withColumn("_x", F.explode(F.sequence(F.lit(-4).cast("bigint"), F.lit(4).cast("bigint")))).withColumn(
+    held = cut_lineage(places.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
+    asked = cut_lineage(origin.select("_ax", "_ay").distinct())
+
+    def up(name: str, level: int) -> Column:
+        # Coarser cells come from the finest ones, so a cell and its parts always agree.
+        return F.floor(F.col(name) / PARTS ** (levels - 1 - level)).cast("bigint")
+
+    def theirs(level: int) -> DataFrame:
+        return held.groupBy(up("_x", level).alias("_x"), up("_y", level).alias("_y")).agg(F.sum("_n").alias("_n"))
+
+    def ours(level: int) -> DataFrame:
+        return asked.select(up("_ax", level).alias("_ax"), up("_ay", level).alias("_ay")).distinct()
+
+    # Cells off the globe are cut, which leaves at most 9 x 5 on either side.
+    world = ours(0).withColumn("_x", F.explode(F.sequence(F.lit(-4).cast("bigint"), F.lit(4).cast("bigint")))).withColumn(
         "_y", F.explode(F.sequence(F.lit(-2).cast("bigint"), F.lit(2).cast("bigint")))
     )
-    open_cells = world.join(F.broadcast(by_level[0]), ["_x", "_y"])
+    rows = world.join(theirs(0), ["_x", "_y"])
+    settled = []
     for level in range(levels):
-        if level:
-            parts = by_level[level].withColumns(
-                {"_px": F.floor(F.col("_x") / PARTS).cast("bigint"), "_py": F.floor(F.col("_y") / PARTS).cast("bigint")}
-            )
-            parents = open_cells.select("a_id", "lon", "lat", F.col("_x").alias("_px"), F.col("_y").alias("_py"))
-            open_cells = parents.join(parts, ["_px", "_py"]).drop("_px", "_py")
-        open_cells = _cells_in_reach(open_cells, widths[level], k)
-    candidates = places.withColumns({"_x": cell(F.col("_blon"), finest), "_y": cell(F.col("_blat"), finest)})
-    pairs = open_cells.join(candidates, ["_x", "_y"]).select(
-        "a_id", "b_id", great_circle_m(F.col("lon"), F.col("lat"), F.col("_blon"), F.col("_blat")).alias("metres")
+        rows = cut_lineage(_cells_in_reach(rows, TOP_DEG / PARTS**level, k))
+        done = (F.col("_left") <= max(crowd, 8 * k)) | F.lit(level == levels - 1)
+        settled.append(rows.filter(done).select(F.lit(level).alias("_lvl"), "_ax", "_ay", "_x", "_y"))
+        parents = rows.filter(~done).select(*[F.col(c).alias(f"_p{c}") for c in ("_ax", "_ay", "_x", "_y")])
+        if parents.isEmpty():
+            break
+        above = {f"_p{c}": F.floor(F.col(c) / PARTS).cast("bigint") for c in ("_ax", "_ay", "_x", "_y")}
+        mine = ours(level + 1).withColumns({c: above[c] for c in ("_p_ax", "_p_ay")})
+        other = theirs(level + 1).withColumns({c: above[c] for c in ("_p_x", "_p_y")})
+        rows = parents.join(mine, ["_p_ax", "_p_ay"]).join(other, ["_p_x", "_p_y"]).drop(*above)
+    found = reduce(DataFrame.unionByName, settled)
+    used = range(len(settled))
+
+    def at_levels(points: DataFrame, x: str, y: str) -> DataFrame:
+        cells = F.array(*[F.struct(F.lit(i).alias("l"), up(x, i).alias("x"), up(y, i).alias("y")) for i in used])
+        placed = points.withColumn("_at", F.explode(cells))
+        return placed.withColumns({"_lvl": F.col("_at.l"), x: F.col("_at.x"), y: F.col("_at.y")}).drop("_at")
+
+    candidates = at_levels(places, "_x", "_y").join(found, ["_lvl", "_x", "_y"]).drop("_x", "_y")
+    pairs = (
+        at_levels(origin, "_ax", "_ay")
+        .join(candidates, ["_lvl", "_ax", "_ay"])
+        .select("a_id", "b_id", great_circle_m(F.col("lon"), F.col("lat"), F.col("_blon"), F.col("_blat")).alias("metres"))
     )
     nearest = W.partitionBy("a_id").orderBy("metres", "b_id")
     return pairs.withColumn("rank_no", F.row_number().over(nearest)).filter(F.col("rank_no") <= k)
 
 
-def _cells_in_reach(open_cells: DataFrame, deg: float, k: int) -> DataFrame:
-    """Drops cells that lie wholly beyond the distance within which ``k`` points are certain.
+def _centre_and_radius(x: str, y: str, deg: float) -> tuple[Column, Column, Column]:
+    """A cell's centre, and a distance within which all its points are of it.
 
-    Any point of a cell is within ``radius`` of its centre: put half the cell's width and height
-    into the haversine formula, with the cosine at the cell's latitude nearest the equator. So
-    the distance to the centre plus or minus that radius bounds the distance to every point.
+    Put half the cell's width and height into the haversine formula, with the cosine at the
+    cell's latitude nearest the equator.
     """
     half = F.lit(math.sin(math.radians(deg) / 4) ** 2)
-    equatorward = F.greatest(F.lit(0.0), F.abs((F.col("_y") + 0.5) * F.lit(deg)) - F.lit(deg / 2))
+    equatorward = F.greatest(F.lit(0.0), F.abs((F.col(y) + 0.5) * F.lit(deg)) - F.lit(deg / 2))
     squared = half * (F.lit(1.0) + F.pow(F.cos(F.radians(equatorward)), F.lit(2.0)))
     radius = F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(squared)) + F.lit(0.01)
-    middle = great_circle_m(
-        F.col("lon"),
-        F.col("lat"),
-        (F.col("_x") + 0.5) * F.lit(deg),
-        F.least(F.lit(90.0), (F.col("_y") + 0.5) * F.lit(deg)),  # the pole itself has a cell of its own
-    )
-    one = W.partitionBy("a_id")
+    lat = F.least(F.lit(90.0), (F.col(y) + 0.5) * F.lit(deg))  # the pole itself has a cell of its own
+    return (F.col(x) + 0.5) * F.lit(deg), lat, radius
+
+
+def _cells_in_reach(rows: DataFrame, deg: float, k: int) -> DataFrame:
+    """Drops cells ``(_x, _y)`` wholly beyond the distance within which ``k`` points are certain for every point of
+    the cell ``(_ax, _ay)``, and adds how many points the others hold.
+
+    The distance between the centres plus or minus both radii bounds the distance between any two points.
+    """
+    lon, lat, radius = _centre_and_radius("_x", "_y", deg)
+    alon, alat, aradius = _centre_and_radius("_ax", "_ay", deg)
+    one = W.partitionBy("_ax", "_ay")
     closest_first = one.orderBy("_far", "_x", "_y").rowsBetween(W.unboundedPreceding, 0)
     return (
-        open_cells.withColumn("_mid", middle)
-        .withColumn("_far", F.col("_mid") + radius)
+        rows.withColumns({"_mid": great_circle_m(alon, alat, lon, lat), "_both": radius + aradius})
+        .withColumn("_far", F.col("_mid") + F.col("_both"))
         .withColumn("_sure", F.sum("_n").over(closest_first))
         .withColumn("_limit", F.min(F.when(F.col("_sure") >= k, F.col("_far"))).over(one))
-        .filter(F.col("_limit").isNull() | (F.col("_mid") - radius <= F.col("_limit")))
-        .select("a_id", "lon", "lat", "_x", "_y")
+        .filter(F.col("_limit").isNull() | (F.col("_mid") - F.col("_both") <= F.col("_limit")))
+        .withColumn("_left", F.sum("_n").over(one))
+        .select("_ax", "_ay", "_x", "_y", "_left")
     )
 
 

@@ -192,7 +192,7 @@ def within_distance_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def knn_join(spark: SparkSession, d: str) -> DataFrame:
-    return spatial.knn_join(_plot_centres(spark, d), _site_points(spark, d), k=3, levels=4)
+    return spatial.knn_join(_plot_centres(spark, d), _site_points(spark, d), k=3)
 
 
 def bbox_overlap_join(spark: SparkSession, d: str) -> DataFrame:

@@ -18,9 +18,9 @@ from selvatrace.session import cut_lineage
 
 SPLIT = 8  # a cell is split this many times along each axis; a power of two splits exactly
 BROADCAST_CELLS = 200_000  # a few numbers each, so a few megabytes
-FINEST = 2  # default number of splits; each one more repeats the search for crowded cells
+FINEST = 8  # splits after which a degree is six nanodegrees, finer than coordinates are
 
-Narrow = Callable[[DataFrame, int, float], DataFrame]
+Narrow = Callable[[DataFrame, int, float | Column], DataFrame]
 
 
 def cell(coord: Column, width: float) -> Column:
@@ -50,6 +50,52 @@ def touch(boxes: DataFrame, axes: list[tuple[str, str]], width: float, narrow: N
     return out.drop(*spans)
 
 
+def _parts(axes: list[tuple[str, str]], part: float) -> list[tuple[Column, Column]]:
+    """Per axis, the first and last part of width ``part`` that a box touches within its cell."""
+    return [
+        (
+            F.greatest(cell(F.col(low), part), F.col(f"_c{i}") * SPLIT),
+            F.least(cell(F.col(high), part), F.col(f"_c{i}") * SPLIT + SPLIT - 1),
+        )
+        for i, (low, high) in enumerate(axes)
+    ]
+
+
+def crowded_cells(
+    boxes: DataFrame, keys: list[str], axes: list[tuple[str, str]], width: float, crowd: int, levels: int
+) -> list[DataFrame]:
+    """The cells to split, level by level.
+
+    These are found here, a job per level, to know whether there are any and whether they are few enough to
+    broadcast. Only the ends of boxes are counted, and from the second level on only those in crowded cells.
+    """
+    names = [f"_c{i}" for i in range(len(axes))]
+    ends = [end for axis in axes for end in axis]
+    rows = touch(boxes.select(*keys, *ends), axes, width)
+    found = []
+    for level in range(levels):
+        spans = _parts(axes, width / SPLIT ** (level + 1))
+        touched = reduce(mul, [to - start + 1 for start, to in spans])
+        alike = reduce(and_, [F.min(end) == F.max(end) for end in ends])
+        crowded = cut_lineage(
+            rows.groupBy(*keys, *names)
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(touched).alias("_touched"), alike.alias("_alike"))
+            .filter((F.col("_n") > crowd) & (F.col("_touched") * 4 <= F.col("_n") * SPLIT ** len(axes)) & ~F.col("_alike"))
+            .select(*keys, *names)
+        )
+        n_crowded = crowded.count()
+        if n_crowded == 0:
+            break
+        found.append(F.broadcast(crowded) if n_crowded <= BROADCAST_CELLS else crowded)
+        rows = rows.join(found[-1], [*keys, *names], "left_semi").withColumns(
+            {f"_s{i}": F.sequence(*span) for i, span in enumerate(spans)}
+        )
+        for i, c in enumerate(names):
+            rows = rows.withColumn(c, F.explode(f"_s{i}"))
+        rows = cut_lineage(rows.select(*keys, *ends, *names))
+    return found
+
+
 def cover(
     boxes: DataFrame,
     keys: list[str],
@@ -62,48 +108,28 @@ def cover(
     """Covers boxes with cells per key and splits the crowded ones.
 
     A cell that more than ``crowd`` boxes touch is split eightfold along each axis, again and again
-    while it is crowded, up to ``levels`` times. It stays whole where the boxes would fill most of its parts: splitting
-    would only make copies. Returns one row per box and leaf cell (``_lvl``, ``_c0``, ...) and
-    the crowded cells of each level. These are found and written out here, a job per level, to
-    know whether there are any and whether they are few enough to broadcast; otherwise they are
-    joined like any table.
+    while it is crowded; after ``levels`` times a part is finer than coordinates are. It stays whole where the
+    boxes would fill most of its parts, or are all the same: splitting would only make copies. Returns one row per
+    box and leaf cell (``_lvl``, ``_c0``, ...) and the crowded cells of each level. The boxes themselves are read
+    once for the cover, which follows the crowded cells down without shuffling where these can be broadcast.
     """
     names = [f"_c{i}" for i in range(len(axes))]
-    parts_per_cell = SPLIT ** len(axes)
-    open_rows = touch(boxes, axes, width, narrow)
-    leaves, crowded_by_level = [], []
-    for level in range(levels):
-        part = width / SPLIT ** (level + 1)
-        spans = [
-            (
-                F.greatest(cell(F.col(low), part), F.col(c) * SPLIT),
-                F.least(cell(F.col(high), part), F.col(c) * SPLIT + SPLIT - 1),
-            )
-            for c, (low, high) in zip(names, axes, strict=True)
-        ]
-        touched = reduce(mul, [to - start + 1 for start, to in spans])
-        crowded = cut_lineage(
-            open_rows.groupBy(*keys, *names)
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum(touched).alias("_touched"))
-            .filter((F.col("_n") > crowd) & (F.col("_touched") * 4 <= F.col("_n") * parts_per_cell))
-            .select(*keys, *names)
-        )
-        n_crowded = crowded.count()
-        if n_crowded == 0:
-            break
-        if n_crowded <= BROADCAST_CELLS:
-            crowded = F.broadcast(crowded)
-        crowded_by_level.append(crowded)
-        leaves.append(open_rows.join(crowded, [*keys, *names], "left_anti").withColumn("_lvl", F.lit(level)))
-        open_rows = open_rows.join(crowded, [*keys, *names], "left_semi").withColumns(
-            {f"_s{i}": F.sequence(*span) for i, span in enumerate(spans)}
+    found = crowded_cells(boxes, keys, axes, width, crowd, levels)
+    rows = touch(boxes, axes, width, narrow).withColumn("_lvl", F.lit(0))
+    for level, crowded in enumerate(found):
+        marks = crowded.withColumnsRenamed({c: f"_m{c}" for c in [*keys, *names]})
+        here = [F.col("_lvl") == level, *[F.col(c) == F.col(f"_m{c}") for c in [*keys, *names]]]
+        split = F.col("_m_c0").isNotNull()
+        spans = _parts(axes, width / SPLIT ** (level + 1))
+        rows = rows.join(marks, reduce(and_, here), "left").withColumns(
+            {f"_s{i}": F.when(split, F.sequence(*span)).otherwise(F.array(f"_c{i}")) for i, span in enumerate(spans)}
+            | {"_lvl": F.when(split, level + 1).otherwise(F.col("_lvl"))}
         )
         for i, c in enumerate(names):
-            open_rows = open_rows.withColumn(c, F.explode_outer(f"_s{i}"))
-            open_rows = narrow(open_rows, i, part) if narrow else open_rows
-        open_rows = open_rows.drop(*[f"_s{i}" for i in range(len(names))])
-    leaves.append(open_rows.withColumn("_lvl", F.lit(len(crowded_by_level))))
-    return reduce(DataFrame.unionByName, leaves), crowded_by_level
+            rows = rows.withColumn(c, F.explode_outer(f"_s{i}"))
+            rows = narrow(rows, i, leaf_width(width)) if narrow else rows
+        rows = rows.drop(*marks.columns, *[f"_s{i}" for i in range(len(names))])
+    return rows, found
 
 
 def leaf_of(

@@ -163,6 +163,37 @@ def test_crowded_cells_are_really_split(spark, crowded_boxes):
     assert by_level == [] and cover.count() == 50
 
 
+def test_a_crowded_cell_is_split_however_deep_it_lies(spark):
+    rng = random.Random(8)
+    boxes = [(i, x, x + 1e-7, y, y + 1e-7) for i, (x, y) in enumerate((rng.uniform(0, 5e-4), rng.uniform(0, 5e-4)) for _ in range(600))]
+    boxed = spark.createDataFrame(boxes, "plot_id long, xmin double, xmax double, ymin double, ymax double")
+    cover, by_level = grid.cover(boxed, [], spatial.BOX_AXES, 1.0, 16, grid.FINEST)
+    assert 4 <= len(by_level) < grid.FINEST
+    assert cover.groupBy("_lvl", "_c0", "_c1").count().agg(F.max("count")).first()[0] <= 16
+    # Copies of one box can never be told apart.
+    copies = boxed.select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("plot_id"), "xmin", "xmax", "ymin", "ymax").filter("xmin < 1e-5")
+    one = copies.join(F.broadcast(copies.limit(1).drop("plot_id")), ["xmin", "xmax", "ymin", "ymax"], "left_semi")
+    assert grid.cover(one, [], spatial.BOX_AXES, 1.0, 16, grid.FINEST)[1] == []
+
+
+def test_dense_points_meet_few_others(spark, monkeypatch):
+    rng = random.Random(9)
+    coords = [(10 + rng.uniform(0, 0.5), 50 + rng.uniform(0, 0.5)) for _ in range(2000)]
+    left = []
+    original = spatial._cells_in_reach
+
+    def spy(*args):
+        left.append(original(*args))
+        return left[-1]
+
+    monkeypatch.setattr(spatial, "_cells_in_reach", spy)
+    got = spatial.knn_join(as_ids(spark, coords), as_ids(spark, coords), 2, crowd=64)
+    assert len(left) < spatial.DEEPEST
+    assert left[-1].agg(F.max("_left")).first()[0] <= 64
+    first = {r.a_id: r.b_id for r in got.filter("rank_no = 1").collect()}
+    assert first == {i: i for i in range(2000)}
+
+
 def as_ids(spark, coords):
     return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(coords)], "id bigint, lon double, lat double")
 
@@ -178,8 +209,8 @@ def test_within_distance(spark, base_lat):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10**6), k=st.integers(1, 6), levels=st.integers(1, 5))
-def test_knn_equals_brute_force(spark, seed, k, levels):
+@given(seed=st.integers(0, 10**6), k=st.integers(1, 6), levels=st.sampled_from([1, 3, 5, 12]), crowd=st.sampled_from([1, 128]))
+def test_knn_equals_brute_force(spark, seed, k, levels, crowd):
     rng = random.Random(seed)
     heap = (rng.uniform(-170, 170), rng.uniform(-80, 80))
     b = [heap] * 10  # copies at one place
@@ -190,7 +221,7 @@ def test_knn_equals_brute_force(spark, seed, k, levels):
     for i, p in enumerate(a):
         ranked = sorted((round(metres(p, q), 2), j) for j, q in enumerate(b))
         want.append([d for d, _ in ranked[:k]])
-    got = spatial.knn_join(as_ids(spark, a), as_ids(spark, b), k, levels).collect()
+    got = spatial.knn_join(as_ids(spark, a), as_ids(spark, b), k, levels, crowd).collect()
     for i in range(len(a)):
         mine = sorted((r for r in got if r.a_id == i), key=lambda r: r.rank_no)
         assert [r.rank_no for r in mine] == list(range(1, k + 1))
