@@ -7,7 +7,8 @@ phrase covers it. The entries' weights add up, are set against the text's length
 curve turns both into a score.
 
 The lexicon has given words and learned ones: beginnings of words whose share of toxic training
-documents is surely larger than of the others. Their weights are the logarithm of that ratio. Learning
+documents is surely larger than of the others. Their weights are the logarithm of that ratio. Of beginnings that one set of
+counts cannot tell apart only the longest is kept, so that no other word shares a needlessly short one. Learning
 sees at most about ``FIT_ROWS`` labelled rows, chosen by a hash of the id.
 
 Defined results: a null or empty text has no entries and gets the score of a text without any; with hardly any labels of
@@ -153,13 +154,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .groupBy("entry")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter("toxic >= 3")
-        .select("entry", log.alias("weight"), (log - 1.96 * unsure).alias("sure"))
+        .select("entry", "clean", "toxic", log.alias("weight"), (log - 1.96 * unsure).alias("sure"))
         .filter("sure > 1.5")
         .orderBy(F.desc("sure"), "entry")
         .limit(ENTRIES)
         .collect()
     )
-    weights = dict.fromkeys(GIVEN, GIVEN_WEIGHT) | {r["entry"]: float(r["weight"]) for r in learned}
+    longer = {(r["entry"][:-1], r["clean"], r["toxic"]) for r in learned}
+    told = [r for r in learned if (r["entry"], r["clean"], r["toxic"]) not in longer]
+    weights = dict.fromkeys(GIVEN, GIVEN_WEIGHT) | {r["entry"]: float(r["weight"]) for r in told}
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, table = automaton(weights), _Fold()
