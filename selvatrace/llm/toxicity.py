@@ -140,6 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learns from labelled rows whose CRC-32 of the id is no multiple of ``folds``."""
     known = pick(labels, key, label).filter(F.col(label).isNotNull() & F.col(key).isNotNull() & (bucket(F.col(key), folds) != 0))
     known = about(known, key, known.count(), FIT_ROWS)
+    if known.count() <= 4 * FIT_ROWS:  # more only where many labels share an id; then Spark chooses
+        known = F.broadcast(known)
     rows = pick(docs, key, text).join(known, key).select(text, F.col(label).cast("int").alias("y")).repartition(16)
     rows = rows.persist()
     sizes = {r["y"] > 0: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
