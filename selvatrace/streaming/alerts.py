@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from selvatrace.session import cut_lineage
+
 
 def stream_tumbling(stream: DataFrame, width: str, delay: str) -> DataFrame:
     """Alerts and area per source and fixed window."""
@@ -53,10 +55,10 @@ def _salted(left: DataFrame, right: DataFrame, spread_by: str, salts: int) -> tu
 def stream_enrich(stream: DataFrame, plot_facts: DataFrame, salts: int) -> DataFrame:
     """Attaches what is known of the plot; alerts on unknown plots are kept.
 
-    ``plot_facts`` holds one row per plot. A hot plot is shared by ``salts`` tasks; 1 is right
+    ``plot_facts`` holds one row per plot and is written out once here, as every micro-batch reads it. A hot plot is shared by ``salts`` tasks; 1 is right
     where the facts are small enough for Spark to broadcast them.
     """
-    left, right = _salted(stream, plot_facts.withColumnRenamed("plot_id", "_plot"), "alert_id", salts)
+    left, right = _salted(stream, cut_lineage(plot_facts.withColumnRenamed("plot_id", "_plot")), "alert_id", salts)
     same = (F.col("plot_id") == F.col("_plot")) & (F.col("_salt") == F.col("_salt_r"))
     return left.join(right, same, "left").drop("_plot", "_salt", "_salt_r")
 

@@ -10,11 +10,13 @@ from selvatrace.plans.ordered import first_rows
 from selvatrace.session import scratch_path
 
 
-def stream_sink(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+def stream_sink(stream: DataFrame, path: str, mode: str = "update") -> StreamingQuery:
     """Starts a stream that upserts into ``path``; read it back with ``read_upserts``.
 
     Each micro-batch goes into a folder named after its id. A batch that runs again after a
-    failure overwrites its own folder, so every batch counts exactly once.
+    failure overwrites its own folder, so every batch counts exactly once. The stream's progress lies
+    beside the batches, under a name that readers of the folder skip: numbers of batches then never start afresh
+    among older ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -22,7 +24,7 @@ def stream_sink(stream: DataFrame, path: str, checkpoint: str, mode: str = "upda
 
     return (
         stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{path}/_progress")
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
@@ -65,8 +67,8 @@ def drain(stream: DataFrame, name: str, seconds: int | None = None) -> DataFrame
 def drain_upserts(stream: DataFrame, name: str, key: list[str], seconds: int | None = None) -> DataFrame:
     """Runs an update-mode stream over what is there now and returns its newest rows."""
     spark = stream.sparkSession
-    out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-progress")
-    finish(stream_sink(stream, out, checkpoint), seconds)
+    out = scratch_path(spark, name)
+    finish(stream_sink(stream, out), seconds)
     return read_upserts(spark, out, key, _ddl(stream))
 
 

@@ -79,12 +79,12 @@ def test_confirm_across_batches(spark, folder, salts):
 
 
 def test_status_is_upserted_and_restarts_continue(spark, folder):
-    out, progress = scratch_path(spark, "status"), scratch_path(spark, "status-progress")
+    out = scratch_path(spark, "status")
     status = live.stream_status(_after(spark, folder, [(1, 1, 0, "a"), (2, 2, 0, "a")]), 2.0)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in status.schema)
-    finish(stream_sink(status, out, progress), 120)
+    finish(stream_sink(status, out), 120)
     put(spark, folder, [(3, 1, HOUR, "b")])
-    finish(stream_sink(status, out, progress), 120)  # takes up where the first run stopped
+    finish(stream_sink(status, out), 120)  # takes up where the first run stopped
     got = {r.plot_id: (r.n_alerts, r.last_source, r.status) for r in read_upserts(spark, out, ["plot_id"], schema).collect()}
     assert got == {1: (2, "b", "active"), 2: (1, "a", "watch")}
     again = spark.read.parquet(f"{out}/batch_id=0")
