@@ -109,3 +109,24 @@ def test_stage_decisions(spark, docs):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 4, 5, 7] and any(r.doc_id is None for r in kept)
     clean = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["secret_scan"](spark, docs, FOLDER).collect()}
     assert clean[7].text == "٣ été Ünï 漢字 😀 <assign>" and clean[7].n_chars == 23 and clean[1].text is None
+
+
+def test_stages_decide_by_row(spark):
+    """Several rows without an id, and ids on different texts, beside an id that repeats."""
+    hit = spark.read.parquet(f"{FOLDER}/benchmark.parquet").filter("size(split(text, ' ')) > 12").first().text
+    rows = [
+        (None, "the first of the nameless"), (None, "another one without a name"), (None, "another one without a name"),
+        (1, "a text on its own"), (1, "quite a different text"), (1, "quite a different text"), (2, "a text on its own"),
+        (3, "this one is clean"), (3, f"before {hit} after"), (None, f"quite some other words here, more than a few, stand above {hit}"), (None, "a text on its own"),
+    ]
+    given = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["simhash_dedup"](spark, given, FOLDER).collect()
+    gone = [rows[2], rows[5], rows[6], rows[10]]
+    told = lambda x: sorted(x, key=str)
+    want = list(rows)
+    for r in gone:
+        want.remove(r)
+    assert told((r.doc_id, r.text) for r in left) == told(want)
+    left = stages["decontamination"](spark, given, FOLDER).collect()
+    assert sorted(r.n_chars for r in left) == [0, 1, 2, 3, 4, 5, 6, 7, 10]
