@@ -1,6 +1,6 @@
 """Allow or block URLs: rules first, then logistic regression on hashed character n-grams.
 
-Method. A small labelled table of URLs trains the regression: 3-, 4- and 5-grams of host and path, marked by
+Method. A small labelled table of URLs, made from general words, trains the regression: 3-, 4- and 5-grams of host and path, marked by
 which of the two they come from and hashed into a fixed number of features. Rules
 name a host, with all its subdomains, and the start of a path; the longest that fits wins over the model.
 
@@ -25,39 +25,34 @@ FEATURES = 4096
 SIZES = (3, 4, 5)
 ROUNDS = 300
 
-#: The small labelled table: parts of addresses that are sold or abused (1), and of ordinary ones (0).
-LABELLED_HOSTS = {
+#: The small labelled table: general words of addresses that are sold or abused (1), and of ordinary ones (0).
+WORDS = {
     1: (
-        "casino-win.com", "win-casino.net", "best-casino.org", "online-casino-bonus.com", "poker-bets.net", "slots-jackpot.org",
-        "cheap-pills.com", "pills-online.net", "cheap-meds.org", "buy-viagra.com", "spam-farm.org", "link-farm.net", "seo-farm.com",
-        "content-farm.org", "ads-track.net", "track-ads.com", "adserver-click.org", "click-tracker.net", "banner-ads.com",
-        "popup-ads.net", "free-porn.com", "xxx-videos.net", "hot-singles.org", "replica-watches.com", "payday-loans.net",
-        "adult-chat.com", "adult-x-videos.net", "free-bets.net", "x-rated.org", "crypto-double.com", "free-download-crack.net", "warez-keygen.org", "get-rich-quick.com", "win-prize-now.net",
-    ),
+        "casino poker slots jackpot roulette betting bets lottery blackjack pills viagra cialis pharmacy meds cheap replica discount "
+        "porn xxx adult sexy singles webcam escort ads adserver banner popup click tracker tracking spam seo backlinks loans payday "
+        "debt crypto forex profit crack keygen warez torrent prize win winner bonus free rich"
+    ).split(),
     0: (
-        "example.com", "example.org", "example.net", "blog.river.com", "www.library.org", "news.daily.net", "m.weather.com",
-        "university.edu", "city-council.org", "museum.net", "docs.python.org", "recipes.kitchen.com", "garden.org", "www.school.net",
-        "hospital.org", "science.journal.com", "maps.city.net", "forum.hiking.org", "history.archive.org", "blog.thering.com",
-        "www.therti.org", "m.thou.net", "ththan.com", "tiontion.org", "blog.erhand.net", "www.shop-books.com", "travel.guide.net",
-        "ththere.com", "thother.net", "heathen.org", "thethin.com", "then-there.org", "tithe.net", "northerly.com", "shether.org",
-        "sports.results.org", "cinema.reviews.com", "music.notes.net",
-    ),
-}
-LABELLED_PATHS = {
-    1: ("/bonus", "/win/now", "/cheap/buy", "/click?id=1", "/en/1", "/de/22/", "/promo.html", ""),
-    0: ("/en/12", "/de/345/", "/article.html", "/2020/05/story", "/about", "/fr/6?page=2", "/index.html", ""),
+        "river library news weather university council museum docs recipes kitchen garden school hospital science journal maps city "
+        "forum hiking history archive books travel guide sports results cinema reviews music notes family health energy water bridge "
+        "mountain village theatre orchestra painting bakery coffee bicycle railway airport harbor court parliament education research "
+        "physics biology climate nature forest bird house paper letter"
+    ).split(),
 }
+ENDS = (".com", ".org", ".net", ".info", ".co.uk")
+FRONTS = ("", "www.", "blog.", "m.", "")
+PATHS = ("", "/", "/index.html", "/about", "/2020/05/story", "/item?id=7")
 
 
-def labelled() -> list[tuple[str, str, int]]:
-    """(host, path, label): hosts, alone and below www, blog and example domains, with the paths of their label."""
+def labelled(words: dict[int, list[str]] = WORDS) -> list[tuple[str, str, int]]:
+    """(host, path, label): each word alone and before three others of its label. What stands around them, and the
+    paths, are the same for both labels."""
     out = []
-    for label, hosts in LABELLED_HOSTS.items():
-        for host in hosts:
-            name = host.rsplit(".", 1)[0]
-            for i, path in enumerate(LABELLED_PATHS[label]):
-                wrapped = (host, f"www.{host}", f"{name}.example.org", f"www.{name}.example.com")[i % 4]
-                out.append((wrapped, path, label))
+    for label, own in words.items():
+        for i, word in enumerate(own):
+            names = [word, *(f"{word}{'-' if (i + s) % 2 else ''}{own[(i + s) % len(own)]}" for s in (1, 7, 16))]
+            for j, name in enumerate(names, i):
+                out.append((FRONTS[j % len(FRONTS)] + name + ENDS[j * 3 % len(ENDS)], PATHS[j % len(PATHS)], label))
     return out
 
 
