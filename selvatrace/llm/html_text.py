@@ -42,6 +42,9 @@ TAGS = (
 ).split()
 BLOCK = frozenset(TAGS)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a head holds; all else ends it. Blocks that may lie in elements without text of their own.
+IN_HEAD = frozenset("html head base link meta title style script noscript template".split())
+INSIDE = {"select": frozenset(("div", "button")), **dict.fromkeys(("template", "object", "canvas"), BLOCK)}
 #: Elements that end an open one of the same kind, and those that such a search does not leave.
 SIBLINGS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",)}
 GOOD = frozenset("article content post body entry main story text".split())
@@ -94,10 +97,20 @@ class Page:
             del stack[depth:]
             here = stack[-1][1]
 
+        ends: dict[str, int] = {}
+
+        def unclosed(name: str) -> bool:
+            """Whether no end tag of that name follows."""
+            if name not in ends:
+                ends[name] = max((m.start() for m in re.finditer(rf"</{name}[\s>]", source, re.IGNORECASE)), default=-1)
+            return ends[name] < at
+
         end = len(source)
         while at < end:
             m = _TOKEN.search(source, at)
             stop = m.start() if m else end
+            if silent and stack[-1][0] == "head" and source[at:stop].strip():
+                close_to(len(stack) - 1)
             if stop > at and not silent:
                 piece = source[at:stop]
                 buffer.append(piece)
@@ -121,6 +134,8 @@ class Page:
                         flush()
                     close_to(depth)
                 continue
+            if stack[-1][0] == "head" and name not in IN_HEAD:
+                close_to(len(stack) - 1)
             if name in VOID:
                 if name in ("br", "hr"):
                     buffer.append(" ")
@@ -129,6 +144,13 @@ class Page:
                 continue
             if name in BLOCK:
                 flush()
+                if silent:
+                    for depth, (outer, _) in enumerate(stack):
+                        if outer == "svg" and opened.get("foreignobject") and not unclosed(outer):
+                            break
+                        if outer in SILENT and outer not in RAW and (name not in INSIDE.get(outer, ()) or unclosed(outer)):
+                            close_to(depth)
+                            break
                 # An open paragraph or heading with nothing but inline elements above it ends here.
                 depth = len(stack) - 1
                 while stack[depth][0] not in BLOCK:
