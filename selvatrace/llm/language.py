@@ -9,7 +9,8 @@ Most texts have one language. A constant label, the best of these, is the optimu
 than half the penalty on any stretch of words: n stretches of others cost at least n - 1 switches, and one alone
 gains nothing. This is checked with running sums first, and only other texts go through the recursion.
 
-Learning uses at most about ``FIT_ROWS`` texts with a language, chosen by a hash of the id.
+Learning uses about ``FIT_ROWS`` texts with a language, chosen by a hash of the id, but of each language about
+``LEAST_ROWS`` if it has so many. Every language of these is kept; beyond 256 languages trigrams share buckets.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and no spans; so is every text if nothing was learned;
 words of a script that no language uses count for none; ties go to the language first by name; repeated rows give a row
@@ -27,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from selvatrace.llm.common import about, bucket, pick, slabs
+from selvatrace.llm.common import bucket, pick, slabs
 
 FIT_ROWS = 6_000
-#: Most languages, so that the table of trigrams stays small.
-LANGUAGES = 64
-BUCKETS_LOG2 = 15
+LEAST_ROWS = 50
+BUCKETS_LOG2, FEWEST_LOG2 = 15, 10
+#: Numbers in the table of trigrams, up to which its buckets are not halved.
+TABLE_LOG2 = 23
 PENALTY = 12.0
 #: Most that one word can speak against a language, so that names and typos start no switch.
 WORD_LIMIT = 6.0
@@ -88,12 +90,23 @@ class Model:
     allowed: np.ndarray  # scripts by languages
 
 
+def sampled(rows: DataFrame, key: str, lang: str) -> DataFrame:
+    """About ``FIT_ROWS`` rows, by a hash of the key; of a language about ``LEAST_ROWS`` at least, or all."""
+    held = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
+    total = sum(held.values())
+    if total <= FIT_ROWS:
+        return rows
+    cuts = [(name, int((1 << 20) * max(FIT_ROWS / total, min(1, LEAST_ROWS / n)))) for name, n in held.items()]
+    of = F.broadcast(rows.sparkSession.createDataFrame(cuts, f"`{lang}` string, cut int"))
+    return rows.join(of, lang).filter(F.pmod(F.xxhash64(F.lit(7), key), F.lit(1 << 20)) < F.col("cut"))
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, held_out: int = 2) -> Model:
     """Learns from texts with a language whose CRC-32 of the id is not ``held_out`` modulo ``folds``."""
     rows = pick(docs, key, text, lang).filter(
         F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull() & (bucket(F.col(key), folds) != held_out)
     )
-    rows = about(rows, key, rows.select(key).count(), FIT_ROWS).select(text, lang)
+    rows = sampled(rows, key, lang).select(text, lang)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -108,16 +121,20 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at)), "at": pa.array(at), "n": pa.array(held[at])})
 
     counts = rows.mapInArrow(count, "lang string, at bigint, n bigint").groupBy("lang", "at").agg(F.sum("n").alias("n")).persist()
-    names = [
-        r["lang"]
-        for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    ]
-    names.sort()
-    found = counts.filter(F.col("lang").isin(names)).toPandas()
+    names = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    bits = BUCKETS_LOG2
+    while bits > FEWEST_LOG2 and len(names) << bits > 1 << TABLE_LOG2:
+        bits -= 1
+    # Bucket numbers are the first bits of a hash; those of scripts follow the last bucket.
+    place = F.when(F.col("at") < 1 << BUCKETS_LOG2, F.shiftright("at", BUCKETS_LOG2 - bits)).otherwise(
+        F.col("at") - (1 << BUCKETS_LOG2) + (1 << bits)
+    )
+    found = counts.groupBy("lang", place.alias("at")).agg(F.sum("n").alias("n")).toPandas()
     counts.unpersist()
-    held = np.zeros((len(names), (1 << BUCKETS_LOG2) + N_SCRIPTS))
-    held[[names.index(x) for x in found["lang"]], found["at"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=float)
-    grams, scripts = held[:, : 1 << BUCKETS_LOG2] + 0.1, held[:, 1 << BUCKETS_LOG2 :]
+    number = {name: i for i, name in enumerate(names)}
+    held = np.zeros((len(names), (1 << bits) + N_SCRIPTS))
+    held[[number[x] for x in found["lang"]], found["at"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=float)
+    grams, scripts = held[:, : 1 << bits] + 0.1, held[:, 1 << bits :]
     table = np.log(grams / grams.sum(axis=1, keepdims=True)).T.astype(np.float32)
     shares = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
     return Model(names, np.ascontiguousarray(table), (shares >= SCRIPT_SHARE).T)
@@ -127,7 +144,8 @@ def word_scores(model: Model, firsts: np.ndarray, hashed: np.ndarray, scripts: n
     """Words by languages: at most 0, the best language of a word at 0."""
     if not len(firsts):
         return np.zeros((0, len(model.languages)), dtype=np.float32)
-    scores = np.add.reduceat(model.table[hashed], firsts, axis=0)
+    shift = np.uint32((1 << BUCKETS_LOG2).bit_length() - len(model.table).bit_length())
+    scores = np.add.reduceat(model.table[hashed >> shift], firsts, axis=0)
     allowed = model.allowed[scripts]
     none = ~allowed.any(axis=1)
     scores[~allowed] = -np.inf
@@ -157,8 +175,8 @@ def viterbi(texts: list[np.ndarray], penalty: float = PENALTY) -> list[np.ndarra
     flat = np.concatenate([texts[i] for i in order])
     offsets = np.concatenate([[0], np.cumsum(lengths[order])[:-1]])
     running = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")  # texts longer than t
-    stay = np.arange(flat.shape[1], dtype=np.int16)
-    back = np.empty(flat.shape, dtype=np.int16)
+    stay = np.arange(flat.shape[1], dtype=np.int16 if flat.shape[1] < 1 << 15 else np.int32)
+    back = np.empty(flat.shape, dtype=stay.dtype)
     value = flat[offsets].astype(np.float64)
     for t in range(1, len(running)):
         n = running[t]
