@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selvatrace.llm import (
+    conversations,
     decontaminate,
+    divergence,
     html_text,
     language,
+    mixing,
     packing,
     quality,
     quality_model,
@@ -20,7 +23,7 @@ from selvatrace.llm import (
     toxicity,
     urls,
 )
-from selvatrace.llm.common import bucket
+from selvatrace.llm.common import bucket, pick
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,9 +111,38 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, d: str) -> DataFrame:
+    out = mixing.mix(_table(spark, d, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "epochs")
+
+
+def op12_divergence_audit(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(_table(spark, d, "documents"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``turns`` with faults that follow from a checksum of conversation and turn; ``n``: 0 for a row that is lost, 2 for
+    one that is repeated, otherwise 1."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fault = F.crc32(name.cast("binary")) % 20
+    return turns.select(
+        "conv_id", "turn",
+        F.when(fault == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("n"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    turns = damaged(pick(_table(spark, d, "conversations"), "conv_id", "turn", "role", "text"))
+    return conversations.summary(turns, n="n")
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_html_extraction, op2_quality_classifier, op3_language_id, op4_toxicity, op5_secret_scan, op6_simhash,
         op7_quality_rules, op8_url_filter, op9_packing, op10_decontamination,
+        op11_mixing, op12_divergence_audit, op13_conversation_repair,
     )
     return {f.__name__: f for f in own}
