@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from selvatrace.plans import grid
-from selvatrace.plans.ordered import ROWS_PER_CHUNK, first_rows, last_seen, time_chunk
+from selvatrace.plans.ordered import ROWS_PER_CHUNK, first_rows, last_seen, running_total, time_chunk
 
 
 def classify_alerts(alerts: DataFrame, bands: list[tuple[str, float, list[str] | None]], otherwise: str) -> DataFrame:
@@ -88,39 +90,71 @@ def asof_state(
 
 
 def tenure_join(
-    facts: DataFrame, tenures: DataFrame, ts: str, span_days: float, crowd: int = 256, levels: int = grid.FINEST
-) -> DataFrame:
+    facts: DataFrame, tenures: DataFrame, ts: str, span_days: float, crowd: int = 256, levels: int = grid.FINEST,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+) -> DataFrame:
     """Each fact with the holder of its plot at that time: ``valid_from <= ts < valid_to``.
 
-    Facts without a holder are kept, and tenures may overlap. Tenures are cut into spans of
+    Facts without a holder are kept, and tenures may overlap. Tenures with an end are cut into spans of
     ``span_days`` and joined on (plot, span), so a fact meets only the tenures of its own span
     and a hot plot is spread over time; a span crowded with short tenures is cut finer. A fact
-    lies in one span, so nothing is matched twice. A tenure without an end runs to the last
-    fact. ``span_days``, ``crowd`` and ``levels`` do not change the result.
+    lies in one span, so nothing is matched twice. Tenures without an end have no span to be cut into: they are
+    numbered by their beginning, one ordered scan tells each fact how many of its plot have begun, and it meets exactly
+    these, by number (``open_tenures``). So no copy of a tenure depends on how late the latest fact is.
+    ``span_days``, ``crowd``, ``levels`` and ``rows_per_chunk`` do not change the result.
     """
-    open_end = facts.agg(F.max(ts)).scalar()
 
     def day(c: Column) -> Column:
         return F.unix_micros(c).cast("double") / F.lit(86400e6)
 
-    held = tenures.filter(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))).select(
-        F.col("plot_id").alias("_plot"),
-        "holder_id",
-        "valid_from",
-        "valid_to",
-        day(F.col("valid_from")).alias("_from"),
-        day(F.coalesce(F.col("valid_to"), F.greatest(open_end, F.col("valid_from")))).alias("_to"),
-    )
+    facts, endless = open_tenures(facts, tenures, ts, rows_per_chunk)
+    held = closed_spans(tenures, day)
     spans, crowded = grid.cover(held, ["_plot"], [("_from", "_to")], span_days, crowd, levels)
     crowded = [c.withColumnRenamed("_plot", "plot_id") for c in crowded]
     keyed = grid.leaf_of(facts, ["plot_id"], [day(F.col(ts))], span_days, crowded)
+    # One row to meet the spans, and one for each tenure that has begun.
+    nth = F.explode(F.sequence(F.lit(0).cast("bigint"), "_begun"))
+    keyed = keyed.withColumn("_nth", nth).withColumns(
+        {"_plvl": F.when(F.col("_nth") > 0, ENDLESS).otherwise(F.col("_plvl")), "_p0": F.when(F.col("_nth") > 0, F.col("_nth")).otherwise(F.col("_p0"))}
+    )
     holds = (
         (F.col("plot_id") == F.col("_plot"))
         & grid.same_leaf(1)
         & (F.col("valid_from") <= F.col(ts))
         & (F.col("valid_to").isNull() | (F.col(ts) < F.col("valid_to")))
     )
-    return keyed.join(spans, holds, "left").drop(*grid.helper_columns(1), "_plot", "_from", "_to")
+    met = keyed.join(spans.unionByName(endless, allowMissingColumns=True), holds, "left")
+    met = met.filter(F.col("_plot").isNotNull() | (F.col("_begun") == 0))
+    return met.drop(*grid.helper_columns(1), "_plot", "_from", "_to", "_begun", "_nth")
+
+
+ENDLESS = -1  # the level of cells that tenures without an end stand in, one for each
+
+
+def closed_spans(tenures: DataFrame, day: Callable[[Column], Column]) -> DataFrame:
+    """The tenures with an end, that last any time, with both ends in days."""
+    return tenures.filter(F.col("valid_from") < F.col("valid_to")).select(
+        F.col("plot_id").alias("_plot"),
+        "holder_id",
+        "valid_from",
+        "valid_to",
+        day(F.col("valid_from")).alias("_from"),
+        day(F.col("valid_to")).alias("_to"),
+    )
+
+
+def open_tenures(facts: DataFrame, tenures: DataFrame, ts: str, rows_per_chunk: int | None) -> tuple[DataFrame, DataFrame]:
+    """``facts`` with ``_begun``, the number of tenures without an end that have begun on their plot, and these tenures,
+    each in the cell of its number. Both sides are merged into one ordered scan; busy plots are cut along time."""
+    still = tenures.filter("valid_to IS NULL AND valid_from IS NOT NULL AND plot_id IS NOT NULL").select(
+        "plot_id", F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), F.struct("holder_id", "valid_from", "valid_to").alias("_tenure")
+    )
+    merged = facts.withColumns({"_at": F.col(ts), "_side": F.lit(1)}).unionByName(still, allowMissingColumns=True)
+    order = ["_at", "_side", "_tenure"]
+    begun = running_total(merged, ["plot_id"], order, (F.col("_side") == 0).cast("bigint"), "_begun", rows_per_chunk)
+    numbered = running_total(still, ["plot_id"], order, F.lit(1).cast("bigint"), "_no", rows_per_chunk)
+    cells = numbered.select(F.col("plot_id").alias("_plot"), "_tenure.*", F.lit(ENDLESS).alias("_lvl"), F.col("_no").alias("_c0"))
+    return begun.filter("_side = 1").select(*facts.columns, "_begun"), cells
 
 
 def confirm_alerts(a: DataFrame, b: DataFrame, window_seconds: int) -> DataFrame:

@@ -1,13 +1,15 @@
 """Ordered scans that never put one busy key into one task.
 
 A window over a key sorts all rows of that key in one task, which fails when the key holds
-a third of the table. So keys are counted first. Without a busy key the plain window is best.
-Otherwise each busy key is cut into chunks along the order, and every other key stays whole.
-What a chunk has to hand on is reduced on the map side to one row per (key, chunk); those few
-rows are scanned per key; and each chunk gets what the chunks before it hand on as one more
-row, the lead-in. One window over (key, chunk) then sees all it needs and the lead-in rows are
-dropped. The full rows are shuffled once and never joined, and null keys form a key like any
-other. The result is the same for every way of cutting.
+a third of the table. So busy keys are looked for first, with a sketch of bounded size. Without
+one the plain window is best. Otherwise the rows of busy keys are laid out by ranges of key and
+order, and every other key stays whole. How many ranges there are follows from the bytes of those
+rows and from the cluster, never from the number of keys; a border cuts one key at most, so few keys
+have anything to hand on. What a chunk (a key's rows in one range) has to hand on is reduced on the
+map side to one row, or to the few that the scan looks back on; these are scanned per key; and each
+chunk gets what the chunks before it hand on as more rows, the lead-in. One window over (key, chunk)
+then sees all it needs and the lead-in rows are dropped. The full rows are shuffled once and never
+joined, and null keys form a key like any other. The result is the same for every way of cutting.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from pyspark.sql import types as T
 from selvatrace.session import cut_lineage
 
 ROWS_PER_CHUNK = 1_000_000  # a key with more rows is cut; one task sorts this many with ease
+RANGE_BYTES = 128 << 20  # what a range holds at most, if rows are as wide as their types suggest
+RANGES_PER_PARTITION = 4  # and ranges made for the sake of rows, per shuffle partition
+TRACKED = 1 << 16  # numbers of the sketch of busy keys; one that holds a 16,000th of all rows is never missed
+MOST_BUSY = 1 << 14
 FEW_ROWS = 100  # rows per key and map task that one task can well take in
 SALTS = 64
 
@@ -40,33 +46,58 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def _width(kind: T.DataType) -> int:
+    """Bytes of a value, about."""
+    if isinstance(kind, T.StructType):
+        return sum(_width(f.dataType) for f in kind.fields)
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
+    return fixed.get(type(kind), 8 if isinstance(kind, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)) else 32)
+
+
+def range_count(df: DataFrame, n_rows: int, rows_per_chunk: int) -> int:
+    """Ranges for ``n_rows`` rows like those of ``df``: enough that each is of bounded size, and beyond that as many as
+    ``rows_per_chunk`` asks for, up to a few per shuffle partition."""
+    by_bytes = -(-n_rows * _width(df.schema) // RANGE_BYTES)
+    # Half as many again: borders from a sample are not exact.
+    by_rows = -(-3 * n_rows // (2 * rows_per_chunk))
+    at_once = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(by_bytes, min(by_rows, at_once), 2)
+
+
+def busy_keys(df: DataFrame, keys: list[str], rows_per_chunk: int) -> tuple[DataFrame, int]:
+    """Hashes ``_busy`` of the keys with more than ``rows_per_chunk`` rows, and how many rows these have, about.
+
+    A sketch of frequent items is merged from all tasks; it holds ``TRACKED`` numbers whatever the number of keys, and
+    names ``MOST_BUSY`` keys at most, the largest. A key too small for it, with less than a 16,000th of all rows, stays whole.
+    """
+    top = F.expr(f"approx_top_k(_hash, {MOST_BUSY}, {TRACKED})")
+    found = df.select(F.xxhash64(*keys).alias("_hash")).agg(top.alias("_top")).select(F.inline("_top"))
+    busy = cut_lineage(found.filter(F.col("count") > rows_per_chunk).withColumnRenamed("item", "_busy"))
+    return busy.select("_busy"), busy.agg(F.sum("count")).first()[0] or 0
+
+
 def split_busy_keys(
     df: DataFrame, keys: list[str], order: list[str], rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> tuple[DataFrame, list[str]]:
-    """Cuts keys with more than ``rows_per_chunk`` rows into chunks of about as many rows along ``order``.
+    """Cuts keys with more than ``rows_per_chunk`` rows into chunks along ``order``.
 
     Returns the rows and the columns to partition by: the keys, and ``_chunk`` where any key is
     busy; rows of ordinary keys have none. Busy rows are laid out by ranges of key and order, whose bounds Spark
     takes from a sample of those rows, so neither a stray time nor a busy day widens a chunk; the
     layout is written out, as its partition numbers are the chunks. Only rows equal in all of ``order`` stay together.
-    Runs a job that counts rows per key, and one over busy rows; the busy keys, of which
-    there can be no more than rows divided by ``rows_per_chunk``, are joined like any table. None spares
-    both where no key can be busy.
+    Runs a job that sketches keys, and one over busy rows. None spares both where no key can be busy.
     """
     if rows_per_chunk is None:
         return df, keys
-    busy = cut_lineage(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_chunk)
-    )
-    n_rows = busy.agg(F.sum("_n")).first()[0]
-    if n_rows is None:
+    busy, n_rows = busy_keys(df, keys, rows_per_chunk)
+    if not n_rows:
         return df, keys
-    marked = join_on(df, busy, keys, "left")
-    # Half as many again: bounds from a sample are not exact.
-    chunks = -(-3 * n_rows // (2 * rows_per_chunk))
-    laid = marked.filter(F.col("_n").isNotNull()).drop("_n").repartitionByRange(chunks, *keys, *order)
+    # At most MOST_BUSY numbers.
+    marked = df.join(F.broadcast(busy), F.xxhash64(*keys) == F.col("_busy"), "left")
+    ranges = range_count(df, n_rows, rows_per_chunk)
+    laid = marked.filter(F.col("_busy").isNotNull()).drop("_busy").repartitionByRange(ranges, *keys, *order)
     hot = cut_lineage(laid.withColumn("_chunk", F.spark_partition_id()))
-    calm = marked.filter(F.col("_n").isNull()).drop("_n").withColumn("_chunk", F.lit(None).cast("int"))
+    calm = marked.filter(F.col("_busy").isNull()).drop("_busy").withColumn("_chunk", F.lit(None).cast("int"))
     return calm.unionByName(hot), [*keys, "_chunk"]
 
 
@@ -148,27 +179,35 @@ def over_previous(
 ) -> DataFrame:
     """Adds aggregates over the ``n`` rows of the key right before each row.
 
-    A chunk hands on its last ``n`` rows. Every earlier chunk holds at least one row, so a chunk
-    needs to look back over ``n`` chunks at most to complete its lead-in.
+    Rows are numbered along their key from the sizes of its chunks. A chunk that begins at number s is led in by the rows
+    numbered s - n to s - 1, whichever chunks hold them: each takes exactly these, by their numbers, from the last rows
+    of the chunks that others follow.
     """
     rows, by = split_busy_keys(df, keys, order, rows_per_chunk)
     frame = W.partitionBy(*by).orderBy(*order).rowsBetween(-n, -1)
     wanted = {name: agg.over(frame) for name, agg in new.items()}
     if by == keys:
         return rows.withColumns(wanted)
-    rest = [c for c in rows.columns if c not in by]
-    tails = first_rows(rows.filter(F.col("_chunk").isNotNull()), by, [F.col(c).desc() for c in order], n)
-    lead_in = (
-        tails.groupBy(*by)
-        .agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in rest if c not in order]))).alias("_tail"))
-        .withColumn(
-            "_before",
-            F.flatten(F.collect_list("_tail").over(W.partitionBy(*keys).orderBy("_chunk").rowsBetween(-n, -1))),
-        )
-        .filter(F.size("_before") > 0)
-        .withColumn("_row", F.explode(F.slice("_before", -F.least(F.lit(n), F.size("_before")), F.lit(n))))
-        .select(*by, *[F.col("_row")[c].alias(c) for c in rest])
+    hot = rows.filter(F.col("_chunk").isNotNull())
+    along = W.partitionBy(*keys).orderBy("_chunk")
+    sizes = hot.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    begins = F.coalesce(F.sum("_size").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # The few chunks of keys that a border cuts.
+    cut = cut_lineage(
+        sizes.select(*by, begins.alias("_begin"), "_size", F.lead("_chunk").over(along).isNotNull().alias("_followed"))
+        .filter((F.col("_begin") > 0) | F.col("_followed"))
+    )
+    last = W.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
+    tails = (
+        join_on(hot, cut.filter("_followed"), by)
+        .withColumn("_back", F.row_number().over(last))
+        .filter(F.col("_back") <= n)
+        .withColumn("_no", F.col("_begin") + F.col("_size") - F.col("_back"))
+        .drop("_begin", "_size", "_followed", "_back", "_chunk")
     )
+    begin = F.col("_begin")
+    needed = cut.filter(begin > 0).select(*by, F.explode(F.sequence(F.greatest(begin - n, F.lit(0)), begin - 1)).alias("_no"))
+    lead_in = join_on(tails, needed, [*keys, "_no"]).drop("_no")
     return _with_extra(rows, lead_in).withColumns(wanted).filter("_own").drop("_own", "_chunk")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from selvatrace.operators import alerts as al
 from selvatrace.operators.forest import annual_series, focal_stats, transition_matrix
+from selvatrace.plans import grid
 
 T0 = 1_700_000_000
 
@@ -65,8 +66,8 @@ def test_confirm_equals_brute_force(spark, window):
     assert sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize("days,crowd", [(1, 256), (30, 256), (4000, 256), (4000, 0), (300, 3)])
-def test_tenure_with_overlaps_and_open_ends(spark, days, crowd):
+@pytest.mark.parametrize("days,crowd,chunk", [(1, 256, 10**6), (30, 256, 10**6), (4000, 256, 20), (4000, 0, 10**6), (300, 3, 5)])
+def test_tenure_with_overlaps_and_open_ends(spark, days, crowd, chunk):
     rng = random.Random(days)
     day = 86400
     held = []
@@ -85,10 +86,35 @@ def test_tenure_with_overlaps_and_open_ends(spark, days, crowd):
     for f, plot, d in facts:
         holders = [h for h, p, s, e in held if p == plot and s <= d and (e is None or d < e)]
         want += [(f, h) for h in holders or [None]]
-    got = [(r.fact, r.holder_id) for r in al.tenure_join(rows, tenures, "ts", days, crowd).collect()]
+    got = [(r.fact, r.holder_id) for r in al.tenure_join(rows, tenures, "ts", days, crowd, rows_per_chunk=chunk).collect()]
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_a_fact_far_ahead_makes_no_copies(spark):
+    """One fact in the year 9999 among facts of 2023: neither the cover nor the rows joined to grow with it."""
+    day = 86400
+    held = [(i, i % 50, 10 * i, None if i % 2 else 10 * i + 5) for i in range(200)] + [(900, None, 1, None), (901, 3, None, None), (902, 4, None, 7)]
+    tenures = spark.createDataFrame(held, "holder_id bigint, plot_id bigint, a bigint, b bigint").select(
+        "plot_id", "holder_id", F.timestamp_seconds(F.lit(T0) + F.col("a") * day).alias("valid_from"),
+        F.timestamp_seconds(F.lit(T0) + F.col("b") * day).alias("valid_to"),
+    )
+    days = lambda c: F.unix_micros(c).cast("double") / 86400e6
+    spans, _ = grid.cover(al.closed_spans(tenures, days), ["_plot"], [("_from", "_to")], 1.0, 256, grid.FINEST)
+    assert spans.count() == 100 * 6  # six days touched by each tenure with an end
+    facts = [(i, i % 50, T0 + (i + 1) * day) for i in range(100)] + [(100, 7, 253_000_000_000), (101, None, T0), (102, 99, None)]
+    rows = spark.createDataFrame(facts, "fact bigint, plot_id bigint, s bigint").select("fact", "plot_id", F.timestamp_seconds("s").alias("ts"))
+    got = {}
+    for r in al.tenure_join(rows, tenures, "ts", 1.0).collect():
+        got.setdefault(r.fact, []).append(r.holder_id)
+    for f, plot, s in facts:
+        want = [h for h, p, a, b in held if p == plot and p is not None and a is not None and s is not None
+                and T0 + a * day <= s and (b is None or s < T0 + b * day)]
+        assert sorted(got[f], key=str) == sorted(want or [None], key=str)
+    begun, cells = al.open_tenures(rows, tenures, "ts", None)
+    assert begun.filter("fact = 100").first()._begun == sum(p == 7 and b is None for _, p, _, b in held)
+    assert cells.count() == 100  # one row for each tenure without an end, whatever the facts
+
+
 def test_classify_takes_the_first_band_that_fits(spark):
     df = alerts_of(spark, [(1, 1, T0, "fire", 9.0), (2, 1, T0, "cut", 9.0), (3, 1, T0, "cut", 50.0), (4, 1, T0, "cut", 1.0)])
     out = al.classify_alerts(df, [("big", 40.0, None), ("hot", 5.0, ["fire"]), ("mid", 5.0, None)], "small")

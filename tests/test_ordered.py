@@ -7,7 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from selvatrace.operators.forest import baseline_anomaly, rank_plots, zonal_stats
-from selvatrace.plans.ordered import first_rows, last_seen, next_row, running_total, split_busy_keys
+from selvatrace.plans.ordered import (
+    RANGE_BYTES,
+    RANGES_PER_PARTITION,
+    busy_keys,
+    first_rows,
+    last_seen,
+    next_row,
+    over_previous,
+    range_count,
+    running_total,
+    split_busy_keys,
+)
 
 START = 1_700_000_000
 
@@ -82,6 +93,37 @@ def test_stray_times_and_busy_days_make_no_large_chunk(spark, when):
     assert sum(sizes) == 20_000 and max(sizes) <= 4_000
 
 
+def test_ranges_follow_bytes_and_cluster(spark):
+    """Many busy keys make no more ranges than tasks are wanted for; wide rows make as many as their bytes need."""
+    rows = spark.range(30_000).select("id", (F.col("id") % 3000).alias("k"), F.timestamp_seconds("id").alias("ts"))
+    cut, by = split_busy_keys(rows.repartition(8), ["k"], ["ts", "id"], 5)
+    most = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert cut.select("_chunk").distinct().count() <= most
+    # A border cuts one key at most.
+    assert cut.groupBy("k").agg(F.count_distinct("_chunk").alias("n")).filter("n > 1").count() < most
+    assert [range_count(rows, n, 10**9) for n in (10, 10**9, 10**11)] == [2, -(-24 * 10**9 // RANGE_BYTES), -(-24 * 10**11 // RANGE_BYTES)]
+
+
+def test_sketch_names_the_busy_keys(spark):
+    """A third of the rows on one key, ten keys of a thousand, and 40,000 keys of one row; null is a key too."""
+    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") < 20_000, F.col("id") % 10).otherwise(F.col("id"))
+    rows = spark.range(80_000).select(key.alias("k")).repartition(8)
+    busy, n_rows = busy_keys(rows, ["k"], 1000)
+    got = {r._busy for r in busy.collect()}
+    want = rows.groupBy("k").count().filter("count > 1000").select(F.xxhash64("k").alias("h"))
+    assert got == {r.h for r in want.collect()} and len(got) == 11 and 39_000 < n_rows < 42_000
+    assert busy_keys(rows, ["k"], 10**6)[1] == 0
+
+
+@pytest.mark.parametrize("n", [3, 50, 400])
+def test_lead_in_spans_chunks_shorter_than_it(series, n):
+    """The rows looked back on may lie several chunks before."""
+    w = W.partitionBy("k").orderBy("ts", "id").rowsBetween(-n, -1)
+    plain = series.select("id", F.sum("v").over(w).alias("s"), F.count("v").over(w).alias("c"))
+    ours = over_previous(series, ["k"], ["ts", "id"], n, {"s": F.sum("v"), "c": F.count("v")}, 7)
+    assert as_set(ours.select("id", "s", "c")) == as_set(plain)
+
+
 @pytest.mark.parametrize("band", [0.5, 7.0, 1000.0])
 def test_zonal_median(series, band):
     plain = series.groupBy("k").agg(F.percentile("v", 0.5).alias("m"), F.count("v").alias("n"))
