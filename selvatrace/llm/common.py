@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selvatrace.session import scratch_path
@@ -21,9 +23,28 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return bare.select(*[F.col(f"c{have.index(n)}").alias(n) for n in names])
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+#: Tables written within each open ``workspace``.
+_WORKSPACES: list[list[str]] = []
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Tables written within it go when it ends, but for those that are to last. What is made of the others must have been
+    written by then."""
+    _WORKSPACES.append([])
+    try:
+        yield
+    finally:
+        for path in _WORKSPACES.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, name: str, compression: str = "zstd", lasting: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
+    if _WORKSPACES and not lasting:
+        _WORKSPACES[-1].append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -52,6 +73,20 @@ def slabs(texts: list[bytes] | list[str], most: int = SLAB_BYTES) -> Iterator[tu
         yield start, len(texts)
 
 
+def small_batches(spark: SparkSession, most: int = 1000) -> None:
+    """From now on at most ``most`` rows go to Python at once: texts are long, and two or three copies of a batch are held."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= most:
+        spark.conf.set(name, str(most))
+
+
+def small(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``most`` rows, so that what is made of one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, most):
+            yield b.slice(at, most)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A well mixed 64-bit hash of each 64-bit number."""
     x = x ^ (x >> np.uint64(30))

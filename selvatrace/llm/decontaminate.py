@@ -96,7 +96,7 @@ def winnow(grams: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.unique((np.arange(n) + at)[whole])
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
+def filter_bits(hashes: np.ndarray) -> np.ndarray:
     mask = np.uint64((1 << BLOOM_LOG2) - 1)
     return np.stack([hashes & mask, (hashes >> np.uint64(32)) & mask])
 
@@ -179,7 +179,7 @@ def document_fingerprints(docs: DataFrame, key: str, text: str, sieve: np.ndarra
         passing = np.unpackbits(packed.value, bitorder="little").astype(bool)
 
         def may(hashes: np.ndarray) -> np.ndarray:
-            a, b = _bits(hashes)
+            a, b = filter_bits(hashes)
             return passing[a] & passing[b]
 
         for batch in batches:
@@ -226,6 +226,30 @@ def _equal_run(a: str, b: str):
     return F.when(first > 0, first - 1).otherwise(F.size(same))
 
 
+def _merged(hits: DataFrame) -> DataFrame:
+    """``hits`` with the runs of words in sorted ``hits`` merged into ``spans``, in one pass, and their words counted in ``n_hit``."""
+    kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    names = hits.columns
+    at, rest = names.index("hits"), [c for c in names if c != "hits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans, counts = [], []
+            for i in range(b.num_rows):
+                one = b.column(at)[i].values
+                starts, ends = (one.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                reach = np.maximum.accumulate(ends)
+                first = np.flatnonzero(np.r_[True, starts[1:] > reach[:-1]]) if len(starts) else np.zeros(0, np.int64)
+                lows, highs = starts[first], reach[np.r_[first[1:] - 1, len(starts) - 1]] if len(starts) else first
+                spans.append([{"start": int(x), "end": int(y)} for x, y in zip(lows, highs, strict=True)])
+                counts.append(int((highs - lows).sum()))
+            out = {c: b.column(names.index(c)) for c in rest}
+            yield pa.RecordBatch.from_pydict(out | {"spans": pa.array(spans, kinds), "n_hit": pa.array(counts, pa.int64())})
+
+    schema = ", ".join(f"`{c}` {hits.schema[c].dataType.simpleString()}" for c in rest)
+    return hits.mapInArrow(run, f"{schema}, spans array<struct<start:int,end:int>>, n_hit bigint")
+
+
 def contamination(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -256,24 +280,6 @@ def contamination(
             F.array_sort(F.collect_set(F.when(F.col("hit").isNotNull(), F.col("item")))).alias("item_ids"),
         )
     )
-    merged = F.aggregate(
-        "hits",
-        F.array().cast("array<struct<start:int,end:int>>"),
-        lambda acc, h: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= h["start"]),
-            F.concat(
-                F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(acc, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(acc, F.lit(-1))["end"], h["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(acc, F.array(h))),
-    )
-    counted = per_doc.withColumn("spans", merged).withColumn(
-        "n_hit", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    )
+    counted = _merged(per_doc)
     again = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
     return counted.select(key, "n_words", "n_hit", "item_ids", "spans", again.alias("_")).drop("_")

@@ -26,7 +26,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from selvatrace.llm.common import pick
+from selvatrace.llm.common import pick, small
 
 #: Base kinds first: their order breaks ties of spans that start together.
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "pem")
@@ -41,6 +41,8 @@ _GITHUB = re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 _NPM = re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 _JWT = re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
 _PEM = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----")
+#: What a first segment of a web token is made of.
+_SEGMENT = re.compile(rb"[A-Za-z0-9_-]*")
 _DIGITS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 _MIN_VALUE = 6
@@ -98,10 +100,15 @@ def find(text: str | None, keywords: ahocorasick.Automaton) -> list[tuple[str, i
     near = sorted((end - back, kind) for end, (kind, back) in keywords.iter(raw.lower().decode("latin-1")))
     found, done = [], dict.fromkeys(_PATTERNS, 0)
     for at, kind in near:
-        if at >= done[kind] and (m := _PATTERNS[kind].match(raw, at)):
+        if at < done[kind]:
+            continue
+        if m := _PATTERNS[kind].match(raw, at):
             done[kind] = m.end()
             if _valid(kind, m):
                 found.append((kind, at, m.end()))
+        elif kind == "jwt":
+            # Whatever follows this segment follows it for every later start within it.
+            done[kind] = _SEGMENT.match(raw, at).end()
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(raw)]
     if found and not raw.isascii():
         places = sorted({p for _, s, e in found for p in (s, e)})
@@ -135,7 +142,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keywords = automaton()
-        for b in batches:
+        for b in small(batches):
             texts = b.column(at).to_pylist()
             spans = [find(t, keywords) for t in texts]
             told = pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x] for x in spans], kinds)

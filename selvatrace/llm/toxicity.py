@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from selvatrace.llm.common import about, bucket, logistic, pick
+from selvatrace.llm.common import about, bucket, logistic, pick, small
 
 #: Most labelled rows that learning uses, about.
 FIT_ROWS = 12_000
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, table = automaton(weights), _Fold()
-        for b in batches:
+        for b in small(batches):
             texts = [folded(t, table) for t in b.column(0).to_pylist()]
             x = [features(hits(t, lexicon), len(t.split())) for t in texts]
             columns = [pa.array([r[i] for r in x], pa.float64()) for i in range(3)]
@@ -188,7 +188,7 @@ def score(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, table = automaton(lexicon.weights), _Fold()
-        for b in batches:
+        for b in small(batches):
             found, x = [], []
             for t in b.column(at).to_pylist():
                 plain = folded(t, table)
