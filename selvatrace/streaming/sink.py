@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,9 +34,54 @@ def stream_sink(stream: DataFrame, path: str, mode: str = "update") -> Streaming
     )
 
 
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers behind ``prefix`` in the names of what lies in ``path``, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def _live(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame | None, list[int], list[int]]:
+    """The rows that count, and the numbers of their merged folder, if any, and of the batches after it."""
+    merged = _folders(spark, f"{path}/_merged", "upto=")[-1:]
+    batches = [b for b in _folders(spark, path, "batch_id=") if not merged or b > merged[0]]
+    read = spark.read.schema(f"{schema}, batch_id bigint")
+    parts = [read.parquet(f"{path}/_merged/upto={m}") for m in merged]
+    if batches:
+        parts.append(read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in batches]))
+    return reduce(DataFrame.unionByName, parts) if parts else None, merged, batches
+
+
+def compact(spark: SparkSession, path: str, key: list[str], schema: str) -> int:
+    """Merges all batches but the newest into one folder of the newest rows; returns how many folders are then read.
+
+    The newest batch may still run again after a failure, so it stays as it is. What is merged is written under a name that
+    readers skip and then renamed, in one step: until then readers see the old folders, and from then on the merged one in
+    their place. Folders that no longer count are deleted last; if that does not happen they are skipped, and deleted next time.
+    """
+    rows, merged, batches = _live(spark, path, schema)
+    old = batches[:-1]
+    if old:
+        upto, draft = old[-1], f"{path}/_drafts/{uuid.uuid4().hex}"
+        first_rows(rows.filter(F.col("batch_id") <= upto), key, [F.col("batch_id").desc()], 1).write.parquet(draft)
+        place = spark._jvm.org.apache.hadoop.fs.Path
+        files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(place(f"{path}/_merged"))
+        if not files.rename(place(draft), place(f"{path}/_merged/upto={upto}")):
+            raise OSError(f"could not rename {draft}")
+        gone = [f"_merged/upto={m}" for m in _folders(spark, f"{path}/_merged", "upto=") if m < upto]
+        gone += [f"batch_id={b}" for b in _folders(spark, path, "batch_id=") if b <= upto]
+        for name in gone:
+            files.delete(place(f"{path}/{name}"), True)
+    return bool(old or merged) + len(batches) - len(old)
+
+
 def read_upserts(spark: SparkSession, path: str, key: list[str], schema: str) -> DataFrame:
-    """The newest row per key over all batches written by ``stream_sink``."""
-    rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    """The newest row per key over all batches written by ``stream_sink``, merged (``compact``) or not."""
+    rows = _live(spark, path, schema)[0]
+    if rows is None:
+        return spark.createDataFrame([], schema)
     return first_rows(rows, key, [F.col("batch_id").desc()], 1).drop("batch_id")
 
 

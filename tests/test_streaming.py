@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from selvatrace.session import scratch_path
 from selvatrace.streaming import alerts as live
-from selvatrace.streaming.sink import drain, finish, read_upserts, stream_sink
+from selvatrace.streaming.sink import _folders, compact, drain, finish, read_upserts, stream_sink
 
 T0 = 1_704_067_200  # 2024-01-01
 HOUR = 3600
@@ -94,6 +94,29 @@ def test_status_is_upserted_and_restarts_continue(spark, folder):
     assert repeat == {1: 2, 2: 1}
 
 
+def test_compaction_bounds_folders_and_survives_crashes(spark):
+    out, schema = scratch_path(spark, "many"), "k bigint, v bigint"
+    batch = lambda i: spark.createDataFrame([(i % 7, i), (100 + i, i)], schema).coalesce(1).write.mode("overwrite").parquet(f"{out}/batch_id={i}")
+    told = lambda: {r.k: r.v for r in read_upserts(spark, out, ["k"], schema).collect()}
+    want = {}
+    for i in range(12):
+        batch(i)
+        want |= {i % 7: i, 100 + i: i}
+    assert told() == want
+    # A draft that was never renamed does not count, nor do folders that a merged one has replaced.
+    spark.createDataFrame([(0, 999)], schema).withColumn("batch_id", F.lit(10).cast("bigint")).write.parquet(f"{out}/_drafts/torn")
+    assert told() == want and compact(spark, out, ["k"], schema) == 2
+    assert told() == want and _folders(spark, out, "batch_id=") == [11]
+    batch(3)  # as if it had not been deleted
+    batch(11)  # the newest batch runs again
+    for i in range(12, 15):
+        batch(i)
+        want |= {i % 7: i, 100 + i: i}
+    assert told() == want and compact(spark, out, ["k"], schema) == 2 and told() == want
+    assert _folders(spark, f"{out}/_merged", "upto=") == [13] and _folders(spark, out, "batch_id=") == [14]
+    assert compact(spark, out, ["k"], schema) == 2 and told() == want
+
+
 def _after(spark, folder, rows):
     put(spark, folder, rows)
     return stream(spark, folder)
