@@ -62,6 +62,72 @@ def reach(edges: DataFrame, max_depth: int, origins: DataFrame | None = None) ->
     return reduce(DataFrame.unionByName, rounds)
 
 
+WORDS = 8  # 64 origins each: one row of ``_origin_bits`` stands for up to 512 origins
+
+
+def reach_from(edges: DataFrame, max_depth: int, origins: DataFrame) -> DataFrame:
+    """``reach`` from many named origins (one column, ``origin``), by bitmaps.
+
+    Origins are numbered, and each step carries one row of bits per node and block of 512 origins instead of one per
+    node and origin. Pairs are written out only at the end. Null origins reach nothing.
+    """
+    named, rounds = _origin_bits(edges, max_depth, origins)
+    words = F.array(*[f"_w{i}" for i in range(WORDS)])
+    held = F.filter(
+        F.sequence(F.lit(0), F.lit(64 * WORDS - 1)),
+        lambda i: F.call_function("getbit", F.get(words, F.floor(i / 64).cast("int")), (i % 64).cast("int")) == 1,
+    )
+    pairs = rounds.select("node", "depth", "_block", F.explode(held).alias("_at"))
+    pairs = pairs.select("node", "depth", (F.col("_block") * (64 * WORDS) + F.col("_at")).alias("_no"))
+    return pairs.join(named, "_no").select("origin", "node", "depth")
+
+
+def reach_counts(edges: DataFrame, max_depth: int, origins: DataFrame) -> DataFrame:
+    """How many of ``origins`` reach each node first in ``depth`` steps. No pair is ever written out."""
+    _, rounds = _origin_bits(edges, max_depth, origins)
+    bits = reduce(lambda a, b: a + b, [F.bit_count(f"_w{i}") for i in range(WORDS)])
+    return rounds.groupBy("node", "depth").agg(F.sum(bits.cast("bigint")).alias("n_origins"))
+
+
+def _origin_bits(edges: DataFrame, max_depth: int, origins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(_no, origin), and (node, _block, words, depth): which origins reach a node first in that many steps.
+
+    A step groups what earlier steps have found together with what the newest bits bring along the edges, in one
+    shuffle that is combined in the map tasks: the new bits are those that came and were not there.
+    """
+    blocks = F.monotonically_increasing_id()  # dense within each task, so blocks are too
+    named = cut_lineage(origins.select("origin").filter("origin IS NOT NULL").distinct().withColumn("_no", blocks))
+    steps = cut_lineage(edges.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    words = [f"_w{i}" for i in range(WORDS)]
+    bit = F.expr("shiftleft(1L, CAST(_no & 63 AS INT))")
+    word = F.expr(f"shiftright(_no, 6) & {WORDS - 1}")
+    first = named.select(
+        F.col("origin").alias("_node"),
+        F.floor(F.col("_no") / F.lit(64 * WORDS)).alias("_block"),
+        *[F.when(word == i, bit).otherwise(F.lit(0).cast("bigint")).alias(w) for i, w in enumerate(words)],
+    )
+    first = first.groupBy("_node", "_block").agg(*[F.bit_or(w).alias(w) for w in words])
+    rounds: list[DataFrame] = []
+    fresh = first
+    for depth in range(1, max_depth + 1):
+        came = fresh.join(steps, F.col("_node") == F.col("src")).select(
+            F.col("dst").alias("node"), "_block", *words, F.lit(True).alias("_new")
+        )
+        old = [r.select("node", "_block", *words, F.lit(False).alias("_new")) for r in rounds]
+        both = reduce(DataFrame.unionByName, [came, *old]).groupBy("node", "_block")
+        zero = F.lit(0).cast("bigint")
+        bits = [F.bit_or(F.when(F.col("_new"), F.col(w)).otherwise(zero)).alias(w) for w in words]
+        had = [F.bit_or(F.when(F.col("_new"), zero).otherwise(F.col(w))).alias(f"{w}_had") for w in words]
+        left = [F.col(w).bitwiseAND(F.bitwise_not(f"{w}_had")).alias(w) for w in words]
+        found = both.agg(*bits, *had).select("node", "_block", *left)
+        found = cut_lineage(found.filter(reduce(lambda a, b: a | b, [F.col(w) != 0 for w in words])))
+        rounds.append(found.withColumn("depth", F.lit(depth)))
+        if found.isEmpty():
+            break
+        fresh = found.withColumnRenamed("node", "_node")
+    return named, reduce(DataFrame.unionByName, rounds)
+
+
 def exposure(edges: DataFrame, own: DataFrame, steps: int) -> DataFrame:
     """Share of what each node hands on that came from flagged origins, over ``steps`` steps.
 

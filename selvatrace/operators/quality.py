@@ -62,6 +62,9 @@ def run_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+ACCURACY = 10_000  # a reported percentile's rank is off by one in this many rows at most
+
+
 def quality_report(df: DataFrame, cols: list[str], percentiles: list[float] | None = None) -> DataFrame:
     """Per column: rows, nulls, smallest, largest, approximate distinct count and percentiles.
 
@@ -72,7 +75,7 @@ def quality_report(df: DataFrame, cols: list[str], percentiles: list[float] | No
     for name in cols:
         numeric = isinstance(df.schema[name].dataType, T.NumericType)
         c = F.col(name)
-        marks = F.percentile_approx(c.cast("double"), wanted) if numeric and wanted else F.lit(None).cast("array<double>")
+        marks = F.percentile_approx(c.cast("double"), wanted, ACCURACY) if numeric and wanted else F.lit(None).cast("array<double>")
         reports.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -85,3 +88,36 @@ def quality_report(df: DataFrame, cols: list[str], percentiles: list[float] | No
             )
         )
     return df.agg(F.array(*reports).alias("_reports")).select(F.inline("_reports"))
+
+
+def percentile_ranks(df: DataFrame, cols: list[str], percentiles: list[float]) -> DataFrame:
+    """Where the percentiles that ``quality_report`` gives for numeric columns really stand.
+
+    One more pass counts, for each reported ``value``, the values below it and those up to it. ``within`` says whether that
+    interval of ranks meets the asked one, widened by the sketch's stated error (one row in ``ACCURACY``). Only the reported
+    values, a few per column, pass through the driver. A column without values has null values, which are within.
+    """
+    numeric = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
+    entries = []
+    reported = quality_report(df, numeric, percentiles).select("column_name", "percentiles").collect() if numeric else []
+    for row in reported:
+        c = F.col(row["column_name"]).cast("double")
+        for share, value in zip(percentiles, row["percentiles"] or [None] * len(percentiles), strict=True):
+            mark = F.lit(value).cast("double")
+            entries.append(
+                F.struct(
+                    F.lit(row["column_name"]).alias("column_name"),
+                    F.lit(share).alias("percentile"),
+                    mark.alias("value"),
+                    F.count(c).alias("n_values"),
+                    F.count_if(c < mark).alias("n_below"),
+                    F.count_if(c <= mark).alias("n_upto"),
+                )
+            )
+    if not entries:
+        nothing = "column_name string, percentile double, value double, n_values bigint, n_below bigint, n_upto bigint, within boolean"
+        return df.sparkSession.createDataFrame([], nothing)
+    ranks = df.agg(F.array(*entries).alias("_ranks")).select(F.inline("_ranks"))
+    slack, asked = F.col("n_values") / F.lit(float(ACCURACY)), F.col("percentile") * F.col("n_values")
+    meets = (F.col("n_below") <= F.ceil(asked + slack)) & (F.col("n_upto") >= F.floor(asked - slack))
+    return ranks.withColumn("within", (F.col("n_values") == 0) | meets)

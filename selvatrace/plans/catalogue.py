@@ -91,6 +91,21 @@ def read_layer_parquet(spark: SparkSession, d: str) -> DataFrame:
     return _layer(spark, roles.table(spark, d, "customer").select("c_custkey", "c_nationkey"), "parquet")
 
 
+def read_layer_parquet_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """One folder whose files hold whole numbers, text and fractions in the same column."""
+    rows, path = roles.table(spark, d, "customer"), scratch_path(spark, "layer")
+    low, kind = F.col("c_acctbal") < 0, F.col("c_custkey") % 3
+    text = F.when(low, F.col("c_mktsegment")).otherwise(F.col("c_nationkey").cast("string"))
+    fraction = F.col("c_nationkey") + F.when(low, 0.5).otherwise(0.0)
+    for i, value in enumerate((F.col("c_nationkey"), text, fraction)):
+        rows.filter(kind == i).select("c_custkey", value.alias("c_nationkey")).write.mode("append").parquet(path)
+    good, bad = layers.read_layer(spark, path, "parquet", "c_custkey bigint, c_nationkey int")
+    told = bad.select(
+        F.lit(-1).cast("bigint").alias("c_custkey"), F.lit(-1).alias("c_nationkey"), F.col(layers.BAD_ROW).alias("bad_row")
+    )
+    return good.withColumn("bad_row", F.lit("")).unionByName(told)
+
+
 def read_layer_json(spark: SparkSession, d: str) -> DataFrame:
     whole = F.to_json(F.struct("c_custkey", "c_nationkey"))
     torn = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"))
@@ -172,6 +187,13 @@ def quality_report_sketches(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def quality_report_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each reported percentile stands where it should, within the sketch's stated error."""
+    cols = ["o_orderkey", "o_custkey", "o_totalprice"]
+    ranks = quality.percentile_ranks(roles.table(spark, d, "orders"), cols, [0.01, 0.25, 0.5, 0.75, 0.99])
+    return ranks.select("column_name", "percentile", "n_values", "within")
+
+
 # Spatial
 
 
@@ -391,6 +413,13 @@ def stream_confirm(spark: SparkSession, d: str) -> DataFrame:
     return out.select("alert_id", "plot_id", "ts")
 
 
+def stream_confirm_closed(spark: SparkSession, d: str) -> DataFrame:
+    errors = alert_stream(spark, d).filter(F.col("source") == "error")
+    purchases = alert_stream(spark, d).filter(F.col("source") == "purchase")
+    out = drain(live.stream_confirm_closed(errors, purchases, 6 * HOUR, "1 day"), "confirm-closed")
+    return out.select("alert_id", "plot_id", "ts")
+
+
 def stream_status(spark: SparkSession, d: str) -> DataFrame:
     return drain_upserts(live.stream_status(alert_stream(spark, d), 1000.0), "status", ["plot_id"])
 
@@ -434,6 +463,18 @@ def reach_dense(spark: SparkSession, d: str) -> DataFrame:
     return chain.reach(roles.nation_movements(spark, d).select("src", "dst"), 8)
 
 
+def reach_from(spark: SparkSession, d: str) -> DataFrame:
+    """From the sites of one region along all movements."""
+    origins = roles.sites(spark, d).filter(F.col("admin1") == "AMERICA").select(F.col("site_id").alias("origin"))
+    return chain.reach_from(roles.movements(spark, d), 3, origins)
+
+
+def reach_counts(spark: SparkSession, d: str) -> DataFrame:
+    """From all sites along all movements."""
+    origins = roles.table(spark, d, "supplier").select(F.col("s_suppkey").alias("origin"))
+    return chain.reach_counts(roles.movements(spark, d), 3, origins)
+
+
 def exposure(spark: SparkSession, d: str) -> DataFrame:
     flagged = roles.table(spark, d, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("node"),
@@ -504,16 +545,16 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        read_layer, read_layer_json, read_layer_parquet, parse_polygons, validate_split, latest_version, manifest, run_diff, write_evidence,
-        quality_report, quality_report_sketches,
+        read_layer, read_layer_json, read_layer_parquet, read_layer_parquet_mixed, parse_polygons, validate_split, latest_version, manifest, run_diff, write_evidence,
+        quality_report, quality_report_sketches, quality_report_percentiles,
         cell_id, cover_cells, within_distance_join, knn_join, bbox_overlap_join, polygon_area, cell_density, focal_stats,
         zonal_stats, zonal_stats_by_class, class_area, loss_after_cutoff, transition_matrix, annual_series,
         best_composite, rank_plots,
         classify_alerts, dedup_alerts, incidents, asof_tenure, tenure_join, confirm_alerts,
         monitoring_gaps, top_alerts,
-        stream_tumbling, stream_sliding, stream_incidents, stream_dedup, stream_enrich, stream_confirm,
+        stream_tumbling, stream_sliding, stream_incidents, stream_dedup, stream_enrich, stream_confirm, stream_confirm_closed,
         stream_status, stream_sink,
-        edge_totals, linked_lots, unlinked_lots, reach, reach_dense, exposure, mass_balance, origin_completeness,
+        edge_totals, linked_lots, unlinked_lots, reach, reach_dense, reach_from, reach_counts, exposure, mass_balance, origin_completeness,
         hop_delay,
         technical_status, dossier, review_sample, confusion_matrix, accuracy_report,
     )

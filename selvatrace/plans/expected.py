@@ -154,6 +154,11 @@ SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM
 UNION ALL SELECT -1, -1, '{"c_custkey":' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0""",
         "read_layer_parquet": """
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM customer""",
+        "read_layer_parquet_mixed": """
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, '' AS bad_row FROM customer WHERE c_custkey % 3 = 0 OR c_acctbal >= 0
+UNION ALL SELECT -1, -1, CASE c_custkey % 3 WHEN 1 THEN '{"c_custkey":' || c_custkey || ',"c_nationkey":"' || c_mktsegment || '"}'
+  ELSE '{"c_custkey":' || c_custkey || ',"c_nationkey":' || c_nationkey || '.5}' END
+FROM customer WHERE c_custkey % 3 > 0 AND c_acctbal < 0""",
         "parse_polygons": """
 SELECT plot_id, CAST(0 AS BIGINT) AS ring_no, CAST(no AS BIGINT) AS vertex_no, x, y FROM vertex""",
         "validate_split": """
@@ -193,6 +198,12 @@ SELECT plot_id, {_day("obs_date")} AS obs_date, cls, CAST(area_ha AS DOUBLE) AS
             f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, TRUE AS close FROM orders"
             for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
         ),
+        "quality_report_percentiles": "\n"
+        + "\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {p}::DOUBLE AS percentile, count({c}) AS n_values, TRUE AS within FROM orders"
+            for c in ("o_orderkey", "o_custkey", "o_totalprice")
+            for p in (0.01, 0.25, 0.5, 0.75, 0.99)
+        ),
         "cell_id": """
 SELECT alert_id, CAST(floor(lon/0.5::DOUBLE) AS BIGINT) AS cx, CAST(floor(lat/0.5::DOUBLE) AS BIGINT) AS cy FROM alert""",
         "cover_cells": """
@@ -333,6 +344,11 @@ SELECT alert_id, plot_id, {_time("ts")} AS ts, CAST(area_ha AS DOUBLE) AS area_h
   QUALIFY row_number() OVER (PARTITION BY plot_id ORDER BY valid_from DESC, holder_id DESC) = 1)
 SELECT alert_id, a.plot_id, admin1, admin2, coalesce(holder_id, -1) AS holder_id
 FROM alert a LEFT JOIN plot_admin p ON a.plot_id = p.plot_id LEFT JOIN newest n ON a.plot_id = n.plot_id""",
+        "stream_confirm_closed": f"""
+, closed AS (SELECT * FROM alert WHERE source = 'purchase' AND time_bucket(INTERVAL '6 hours', ts) + INTERVAL '6 hours'
+  <= (SELECT least(max(ts) FILTER (source = 'error'), max(ts) FILTER (source = 'purchase')) - INTERVAL '1 day' FROM alert))
+SELECT alert_id, plot_id, {_time("ts")} AS ts FROM alert a WHERE source = 'error' AND EXISTS (
+  SELECT 1 FROM closed b WHERE b.plot_id = a.plot_id AND b.ts BETWEEN a.ts - INTERVAL '6 hours' AND a.ts + INTERVAL '6 hours')""",
         "stream_status": f"""
 SELECT plot_id, count(*) AS n_alerts, CAST(sum(area_ha) AS DOUBLE) AS area_ha, {_time("max(ts)")} AS last_ts,
        arg_max(source, ts) AS last_source, CASE WHEN sum(area_ha) >= 1000 THEN 'active' ELSE 'watch' END AS status
@@ -358,6 +374,18 @@ SELECT src AS origin, dst AS node, CAST(min(depth) AS BIGINT) AS depth FROM walk
 walk AS (SELECT src, dst, 1 AS depth FROM route
   UNION SELECT w.src, r.dst, w.depth + 1 FROM walk w JOIN route r ON w.dst = r.src WHERE w.depth < 8)
 SELECT src AS origin, dst AS node, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst""",
+        "reach_from": """
+, route AS (SELECT DISTINCT src, dst FROM movement),
+walk AS (SELECT src, dst, 1 AS depth FROM route WHERE src IN (
+    SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'AMERICA')
+  UNION SELECT w.src, r.dst, w.depth + 1 FROM walk w JOIN route r ON w.dst = r.src WHERE w.depth < 3)
+SELECT src AS origin, dst AS node, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst""",
+        "reach_counts": """
+, route AS (SELECT DISTINCT src, dst FROM movement),
+walk AS (SELECT src, dst, 1 AS depth FROM route
+  UNION SELECT w.src, r.dst, w.depth + 1 FROM walk w JOIN route r ON w.dst = r.src WHERE w.depth < 3),
+least_depth AS (SELECT src, dst, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst)
+SELECT dst AS node, depth, count(*) AS n_origins FROM least_depth GROUP BY dst, depth""",
         "exposure": """
 , totals AS (SELECT src, dst, CAST(sum(qty) AS DOUBLE) AS qty FROM nation_movement GROUP BY src, dst),
 share AS (SELECT src, dst, qty/sum(qty) OVER (PARTITION BY dst) AS share FROM totals),

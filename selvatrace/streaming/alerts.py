@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from selvatrace.plans.ordered import time_chunk
 from selvatrace.session import cut_lineage
 
 
@@ -84,6 +85,40 @@ def stream_confirm(a: DataFrame, b: DataFrame, window: str, delay: str, salts: i
     return left.join(right, near, "left_semi").drop("_salt")
 
 
+def stream_confirm_closed(a: DataFrame, b: DataFrame, window_seconds: int, delay: str) -> DataFrame:
+    """``stream_confirm`` once the time span of the confirming alert is closed, with little state.
+
+    Alerts of ``b`` are kept as their first and last time per plot and span of ``window_seconds``, combined in the map tasks,
+    so state grows with spans and not with alerts. A closed span meets the alerts of ``a`` in itself and in the two spans beside
+    it, which is enough (see ``operators.alerts.confirm_alerts``). Plots are shared by spans, and so no copies are drawn.
+    """
+    spans = (
+        b.withWatermark("ts", delay)
+        .groupBy("plot_id", F.window("ts", f"{window_seconds} seconds").alias("_w"))
+        .agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+    )
+    beside = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
+    closed = spans.select(
+        F.col("plot_id").alias("_plot"), "_first", "_last", F.window_time("_w").alias("_closes"),
+        time_chunk(F.col("_w.start"), window_seconds).alias("_at"), beside.alias("_d"),
+    ).withColumn("_near", F.col("_at") + F.col("_d"))
+    left = a.withWatermark("ts", delay).withColumn("_span", time_chunk(F.col("ts"), window_seconds))
+    wide, twice = F.expr(f"INTERVAL {window_seconds} SECONDS"), F.expr(f"INTERVAL {2 * window_seconds} SECONDS")
+    near = (
+        (F.col("plot_id") == F.col("_plot"))
+        & (F.col("_span") == F.col("_near"))
+        & (
+            (F.col("_d") == 0)
+            | ((F.col("_d") == 1) & (F.col("_last") >= F.col("ts") - wide))
+            | ((F.col("_d") == -1) & (F.col("_first") <= F.col("ts") + wide))
+        )
+        # Follows from the spans; lets both sides forget what can meet nothing any more.
+        & (F.col("_closes") >= F.col("ts") - twice)
+        & (F.col("_closes") <= F.col("ts") + twice)
+    )
+    return left.join(closed, near, "left_semi").drop("_span")
+
+
 def stream_status(stream: DataFrame, active_area: float) -> DataFrame:
     """Running status per plot, for update mode: totals, newest source, ``watch`` or ``active``.
 

@@ -1,6 +1,7 @@
 """Chain operators on chains, diamonds, cycles, self-loops and isolated nodes."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +103,17 @@ def test_reach_from_given_origins(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 1)], "src int, dst int")
     got = {(r.origin, r.node, r.depth) for r in chain.reach(edges, 2, spark.createDataFrame([(5,), (9,)], "origin int")).collect()}
     assert got == {(5, 1, 1), (5, 2, 2)}
+
+
+@pytest.mark.parametrize("limit", [1, 3, 6])
+def test_reach_by_bitmaps_equals_pairs(spark, limit):
+    """1,300 origins, so several blocks of bits, on a graph with cycles, a hub, loops and dead ends."""
+    pairs = [(i, (i * 7) % 1300) for i in range(1300)] + [(i, 5) for i in range(0, 1300, 3)] + [(5, 2000 + i) for i in range(40)]
+    edges = spark.createDataFrame([*pairs, *pairs[:50], (None, 1), (1, None)], "src bigint, dst bigint")
+    origins = spark.createDataFrame([(i,) for i in [*range(1300), 5, 5, 2001, 9999, None]], "origin bigint")
+    want = {(r.origin, r.node, r.depth) for r in chain.reach(edges.dropna(), limit, origins).collect()}
+    got = [(r.origin, r.node, r.depth) for r in chain.reach_from(edges, limit, origins).collect()]
+    assert len(got) == len(want) and set(got) == want
+    counts = {(r.node, r.depth): r.n_origins for r in chain.reach_counts(edges, limit, origins).collect()}
+    assert counts == dict(Counter((node, depth) for _, node, depth in want))
+    assert chain.reach_from(edges, limit, origins.filter("origin > 9000")).count() == 0

@@ -161,3 +161,40 @@ def test_csv_header_is_no_row(spark):
     spark.createDataFrame([("name,n",), ("a,1",), ("b,x",)], "value string").coalesce(1).write.text(path)
     good, bad = layers.read_layer(spark, path, "csv", "name string, n int", header=True)
     assert [tuple(r) for r in good.collect()] == [("a", 1)] and [r._bad_row for r in bad.collect()] == ["b,x"]
+
+
+def test_parquet_files_that_do_not_fit(spark):
+    path = scratch_path(spark, "mixed layer")  # a blank in the path
+    files = [
+        ([(1, 1.5, "p")], "id bigint, v double, extra string"),
+        ([("7", 2.0), ("x", 3.0), (None, 4.0)], "id string, v double"),
+        ([(8, [1]), (9, None)], "id int, v array<int>"),
+        ([(3.0,), (2.5,)], "ID double"),
+    ]
+    for i, (rows, schema) in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/part={i % 2}")
+    good, bad = layers.read_layer(spark, path, "parquet", "id bigint, v double, part int")
+    got = sorted(((r.id, r.v, r.part) for r in good.collect()), key=str)
+    assert got == sorted([(1, 1.5, 0), (7, 2.0, 1), (None, 4.0, 1), (9, None, 0), (3, None, 1)], key=str)
+    told = {r._bad_row.replace(" ", ""): r._file for r in bad.collect()}
+    assert len(told) == 3 and all(f.endswith(".parquet") for f in told.values())
+    assert any('"id":"x"' in t for t in told) and any('"v":[1]' in t for t in told) and any("2.5" in t for t in told)
+    assert [r.v for r in good.select("v").filter("id = 1").collect()] == [1.5]
+
+
+def test_percentile_ranks(spark):
+    df = spark.range(1, 30_001).select(F.col("id").alias("n"), (F.col("id") % 3).cast("double").alias("tied"), F.lit(None).cast("int").alias("none"))
+    got = {(r.column_name, r.percentile): r for r in quality.percentile_ranks(df, ["n", "tied", "none"], [0.1, 0.5]).collect()}
+    assert len(got) == 6 and all(r.within for r in got.values())
+    assert got["none", 0.5].value is None and got["none", 0.5].n_values == 0
+    assert (got["tied", 0.5].n_below, got["tied", 0.5].n_upto) == (10_000, 20_000)
+    assert abs(got["n", 0.1].n_upto - 3000) <= 4
+    assert quality.percentile_ranks(df.select(F.lit("a").alias("s")), ["s"], [0.5]).count() == 0
+
+
+def test_percentile_ranks_names_a_bad_mark(spark, monkeypatch):
+    """A reported value that stands elsewhere is told apart."""
+    df, real = spark.range(1000).select(F.col("id").alias("n")), quality.quality_report
+    off = lambda *a: real(*a).withColumn("percentiles", F.array(F.lit(700.0)))
+    monkeypatch.setattr(quality, "quality_report", off)
+    assert [r.within for r in quality.percentile_ranks(df, ["n"], [0.5]).collect()] == [False]

@@ -1,8 +1,11 @@
 """Streams over several batches: late rows, repeats, upserts, restarts."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from selvatrace.operators.alerts import confirm_alerts
 from selvatrace.session import scratch_path
 from selvatrace.streaming import alerts as live
 from selvatrace.streaming.sink import _folders, compact, drain, finish, read_upserts, stream_sink
@@ -78,6 +81,26 @@ def test_confirm_across_batches(spark, folder, salts):
     assert [r.alert_id for r in out] == [1]
 
 
+def test_confirm_closed_equals_batch_and_keeps_spans_only(spark, folder):
+    rng = random.Random(4)
+    day = lambda d, n, src: [(1000 * d + n * 7 + i, rng.randrange(4), 24 * HOUR * d + rng.randrange(24 * HOUR), src) for i in range(n)]
+    for d in range(4):
+        put(spark, folder, day(d, 40, "a") + [(i + 5_000_000, *r[1:]) for i, r in enumerate(day(d, 30, "b"))])
+    put(spark, folder, [(1, 9, 24 * HOUR * 9, "a"), (2, 9, 24 * HOUR * 9, "b")])  # closes all before
+    put(spark, folder, [(6_000_000 + i, 8, 24 * HOUR * 9 + i % 2, "b") for i in range(500)])  # one plot, one span
+    s = stream(spark, folder)
+    live_rows = live.stream_confirm_closed(s.filter("source = 'a'"), s.filter("source = 'b'"), 2 * HOUR, "26 hours")
+    out, steps = scratch_path(spark, "closed"), scratch_path(spark, "closed-progress")
+    query = live_rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", steps).trigger(availableNow=True).start()
+    finish(query, 300)
+    state = {op["operatorName"]: op["numRowsTotal"] for op in query.lastProgress["stateOperators"]}
+    assert state["stateStoreSave"] == 2  # the spans still open, of 501 rows
+    whole = spark.read.schema(SCHEMA).parquet(folder)
+    want = confirm_alerts(whole.filter("source = 'a'"), whole.filter("source = 'b'"), 2 * HOUR).collect()
+    got = [r.alert_id for r in spark.read.schema(live_rows.schema).parquet(out).collect()]
+    assert sorted(got) == sorted(r.alert_id for r in want if r.plot_id != 9) and len(got) > 20
+
+
 def test_status_is_upserted_and_restarts_continue(spark, folder):
     out = scratch_path(spark, "status")
     status = live.stream_status(_after(spark, folder, [(1, 1, 0, "a"), (2, 2, 0, "a")]), 2.0)
