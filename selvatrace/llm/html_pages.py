@@ -24,6 +24,12 @@ CLUTTER = {
     "share": (("div", "share"), ("div", "social"), ("ul", "share-buttons"), ("div", "tags"), ("div", "meta")),
 }
 
+#: Wrappers of whole pages or of their main text whose tag or name is else one of clutter.
+WRAPPERS = (
+    ("form", ""), ("form", ""), ("form", "form"), ("form", "aspnet"), ("div", "banner-hero"), ("div", "social-wrap"), ("div", "header-offset"),
+    ("div", "has-sidebar"), ("div", "menu-page"), ("section", "related-layout"), ("div", "ad-free"), ("div", "footer-push"),
+)
+
 _SYLLABLES = "th er on an re he in ed nd ha at en es or ti hi as to it is ou ea ng ar se te".split()
 
 
@@ -101,6 +107,8 @@ class Writer:
         r = self.r
         name, token = r.choice(MAIN)
         parts = [self.tag(r.choice(("h1", "h1", "h2")), r.choice(("", "", "title")), 1, self.words(2, 14))] * (r.random() < 0.9)
+        if parts and name in ("article", "main") and r.random() < 0.3:
+            parts = [self.tag("header", r.choice(("", "entry-header")), 1, parts[0])]
         scale = r.choice((8, 25, 60, 140))
         for _ in range(r.choice((1, 2, 3, 5, 9, 16, 30))):
             p = r.random()
@@ -130,9 +138,14 @@ class Writer:
             before.append(self.clutter("side"))
         r.shuffle(before)
         r.shuffle(after)
-        middle = "".join(before) + self.main() + "".join(after)
+        main = self.main()
+        if r.random() < 0.15:
+            main = self.tag(*r.choice(WRAPPERS), 1, main)
+        middle = "".join(before) + main + "".join(after)
         if r.random() < 0.4:
             middle = self.tag("div", r.choice(("", "wrapper", "container", "page", "row")), 1, middle)
         if r.random() < 0.8:
             middle += self.clutter("footer")
+        if r.random() < 0.15:
+            middle = self.tag(*r.choice(WRAPPERS), 1, middle)
         return f"<!DOCTYPE html><html><head><title>{self.words(2, 9)}</title></head><body>{middle}</body></html>"

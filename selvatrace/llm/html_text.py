@@ -8,8 +8,9 @@ once: the sum of log-odds of kept nodes is greatest among choices in which nothi
 The trees are trained here, on pages made by rule (``html_pages``), in seconds; no page of the input is used.
 
 Defined results: a null, empty or textless page has an empty text; a page without a body element is read as if it had one; broken markup is
-closed where the next block begins; a tag cut off by the end of the page is dropped; repeated rows give a row each; an empty table
-gives an empty result; other columns are ignored.
+closed where the next block begins; a quote without an end does not keep its tag open; a tag cut off by the end of the page is dropped;
+text of any length is read in time in proportion; main text in a page-wide form or a wrapper with a name of clutter is kept, and so is
+the headline in an article's own header; repeated rows give a row each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,7 +55,13 @@ BAD = frozenset(
     "subscribe signup form comments comment reply respond responses discussion disqus share social tags meta author byline".split()
 )
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[/a-zA-Z!?][^>]*$""", re.DOTALL)
+#: Every alternative matches whatever follows its beginning and gives nothing back, so that reading stays linear. A quote counts
+#: only after an equals sign; one without an end does not keep its tag open.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(>|\Z)""",
+    re.DOTALL,
+)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _MARK = re.compile(r'data-y="([01])"')
 _SPLIT = re.compile(r"[^a-z]+")
@@ -75,7 +82,8 @@ class Page:
 
     def _read(self, source: str, marks: bool) -> None:
         stack: list[tuple[str, int]] = [("body", 0)]
-        opened: dict[str, int] = {"body": 1}
+        opened: dict[str, list[int]] = {"body": [0]}  # where in the stack elements of each name are
+        blocks_at = [0]  # where in the stack block elements are
         buffer: list[str] = []
         silent = anchors = at = 0
         here = 0
@@ -90,8 +98,10 @@ class Page:
         def close_to(depth: int) -> None:
             """Leaves all elements from ``depth`` of the stack on."""
             nonlocal silent, anchors, here
-            for name, _ in stack[depth:]:
-                opened[name] -= 1
+            for name, _ in reversed(stack[depth:]):
+                opened[name].pop()
+                if name in BLOCK:
+                    blocks_at.pop()
                 silent -= name in SILENT
                 anchors -= name == "a"
             del stack[depth:]
@@ -122,17 +132,15 @@ class Page:
             name = m[2]
             if not name:
                 continue
+            if not m[4]:
+                break
             name = name.lower()
             if m[1]:
-                if opened.get(name, 0) > (name == "body"):
-                    if name in BLOCK:
-                        flush()
-                    depth = len(stack) - 1
-                    while stack[depth][0] != name:
-                        depth -= 1
-                    if any(e[0] in BLOCK for e in stack[depth:]):
+                places = opened.get(name, ())
+                if len(places) > (name == "body"):
+                    if blocks_at[-1] >= places[-1]:
                         flush()
-                    close_to(depth)
+                    close_to(places[-1])
                 continue
             if stack[-1][0] == "head" and name not in IN_HEAD:
                 close_to(len(stack) - 1)
@@ -152,17 +160,14 @@ class Page:
                             close_to(depth)
                             break
                 # An open paragraph or heading with nothing but inline elements above it ends here.
-                depth = len(stack) - 1
-                while stack[depth][0] not in BLOCK:
-                    depth -= 1
+                depth = blocks_at[-1]
                 if stack[depth][0] == "p" or (name in HEADINGS and stack[depth][0] in HEADINGS):
                     close_to(depth)
                 if name in SIBLINGS:
-                    depth = len(stack) - 1
                     twins = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
-                    while depth and stack[depth][0] not in twins and stack[depth][0] not in SIBLINGS[name]:
-                        depth -= 1
-                    if depth and stack[depth][0] in twins:
+                    last = lambda names: max((opened[t][-1] for t in names if opened.get(t)), default=-1)
+                    depth = last(twins)
+                    if depth > max(last(SIBLINGS[name]), 0):
                         close_to(depth)
                 found = _NAMES.findall(m[3]) if m[3] else ()
                 tokens = frozenset(t for f in found for t in _SPLIT.split(f.lower()) if t)
@@ -179,8 +184,10 @@ class Page:
                 self.inline[here] += 1
             if m[3].endswith("/") and name in ("svg", "iframe", "object", "canvas"):
                 continue
+            if name in BLOCK:
+                blocks_at.append(len(stack))
+            opened.setdefault(name, []).append(len(stack))
             stack.append((name, here))
-            opened[name] = opened.get(name, 0) + 1
             silent += name in SILENT
             anchors += name == "a"
             if name in RAW:
