@@ -12,8 +12,10 @@ written with the tokens, and from the totals of the tasks before. So deficits ca
 
 The last tokens that fill no sequence are cut into sequences of 512, 256, ... tokens, which need no padding.
 
+Proportions hold for windows. Within one, each source is one run, so most sequences of 1,024 tokens are of one source.
+
 Defined results: a null text is empty, so its document is one closing token; a null source is a queue
-of its own; repeated rows are packed each; an empty table gives no pieces; other columns are ignored.
+of its own; sources that share a queue (see ``QUEUES``) share the sum of their targets; repeated rows are packed each; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ SEQUENCE = 1024
 #: Tokens that one round over the queues brings.
 WINDOW = 64 * SEQUENCE
 CLOSING = 0
-#: Sources share queues by hash beyond this number, which bounds what the driver sees.
+#: Each source has its own queue up to this number of sources; beyond it they share queues by hash, which bounds what the driver sees.
 QUEUES = 4096
 #: Rows of the table of queue totals per task, three numbers each, that are broadcast.
 BROADCAST_ROWS = 200_000
@@ -98,12 +100,26 @@ class Encoder:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat), b"")
 
 
-def tokens(docs: DataFrame, vocabulary: str, key: str, text: str, source: str, queues: int) -> DataFrame:
+def sources_of(docs: DataFrame, source: str, most: int) -> list[str | None] | None:
+    """The distinct sources in order, null last; None where there are more than ``most``."""
+    rows = pick(docs, source).select(F.col(source).cast("string").alias("s")).distinct().limit(most + 1).collect()
+    return None if len(rows) > most else sorted((r["s"] for r in rows), key=lambda s: (s is None, s or ""))
+
+
+def queue_weights(totals: dict[int, int], targets: dict[int, float]) -> dict[int, int]:
+    """Weight of each queue: its share of all tokens if it has a target, else its tokens."""
+    whole = sum(totals.values())
+    return {q: max(1, round(targets[q] * whole)) if q in targets else n for q, n in totals.items()}
+
+
+def tokens(
+    docs: DataFrame, vocabulary: str, key: str, text: str, source: str, queues: int, names: list[str | None] | None = None
+) -> DataFrame:
     """(key, queue, task, before, n, ids): each document's ids with the closing one, and how many ids of
-    its queue its task had before it. Written, so that tasks and their order stay what they are."""
-    rows = pick(docs, key, text, source).select(
-        key, text, F.pmod(F.xxhash64(source), F.lit(queues)).cast("int").alias("queue")
-    )
+    its queue its task had before it. A queue is the place of the source in ``names``, or a hash of the source where there are
+    none. Written, so that tasks and their order stay what they are."""
+    number = F.pmod(F.xxhash64(F.col(source).cast("string")), F.lit(queues)).cast("int") if names is None else F.col(source).cast("string")
+    rows = pick(docs, key, text, source).select(key, text, number.alias("queue"))
     closing = np.array([CLOSING], dtype="<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,19 +127,19 @@ def tokens(docs: DataFrame, vocabulary: str, key: str, text: str, source: str, q
         task = TaskContext.get().partitionId()
         had: dict[int, int] = {}
         for b in batches:
-            names = b.column(2).to_pylist()
+            told = b.column(2) if names is None else pc.index_in(b.column(2), pa.array(names, pa.string()))
             texts = pc.fill_null(b.column(1), "")
             starts = [0, *np.flatnonzero(np.diff(np.cumsum(pc.binary_length(texts).to_numpy()) // PART_BYTES)) + 1, len(texts)]
             pieces = [encoder.ids(texts.slice(i, j - i)) for i, j in zip(starts, starts[1:]) if j > i]
             ids = pc.binary_join_element_wise(pa.concat_arrays(pieces) if pieces else pa.array([], pa.binary()), closing, b"")
             lengths = (pc.binary_length(ids).to_numpy() // 2).tolist()
             before = []
-            for q, n in zip(names, lengths, strict=True):
+            for q, n in zip(told.to_pylist(), lengths, strict=True):
                 at = had.get(q, 0)
                 before.append(at)
                 had[q] = at + n
             columns = [
-                b.column(0), b.column(2), pa.array([task] * len(ids), pa.int32()),
+                b.column(0), told, pa.array([task] * len(ids), pa.int32()),
                 pa.array(before, pa.int64()), pa.array(lengths, pa.int64()), ids,
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "queue", "task", "before", "n", "ids"])
@@ -227,19 +243,19 @@ def packed(
     sources without one, and all where it is None, get their share of the tokens.
     """
     spark = docs.sparkSession
-    held = tokens(docs, vocabulary, key, text, source, QUEUES)
+    names = sources_of(docs, source, QUEUES)
+    held = tokens(docs, vocabulary, key, text, source, QUEUES, names)
     by_task = held.groupBy("queue", "task").agg(F.sum("n").alias("n"))
     per_queue = by_task.groupBy("queue").agg(F.sum("n").alias("n"), F.count("*").alias("tasks")).collect()
     totals = {r["queue"]: r["n"] for r in per_queue}
-    weights = dict(totals)
-    if targets:
+    shares: dict[int, float] = {}
+    if targets and names is not None:
+        shares = {q: targets[s] for q, s in enumerate(names) if s in targets}
+    elif targets:
         named = spark.createDataFrame(list(targets.items()), "source string, share double")
-        numbered = named.select(F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("int").alias("q"), "share").collect()
-        whole = sum(totals.values())
-        for r in numbered:
-            if r["q"] in weights:
-                weights[r["q"]] = max(1, round(r["share"] * whole))
-    rounds = Rounds(totals, weights, window, sequence)
+        numbered = named.select(F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("int").alias("q"), "share")
+        shares = {r["q"]: r["share"] for r in numbered.groupBy("q").agg(F.sum("share").alias("share")).collect()}
+    rounds = Rounds(totals, queue_weights(totals, shares), window, sequence)
     # Running totals over tasks: one row per queue and task.
     earlier = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_task.select("queue", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))

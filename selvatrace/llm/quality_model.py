@@ -25,6 +25,8 @@ from selvatrace.llm import quality
 from selvatrace.llm.common import about, bucket, pick, written
 
 FIT_ROWS = 60_000
+#: Raw scores that agree to this many digits are ties.
+TIE_DIGITS = 10
 FEATURES = 256
 WIDTH = 3.0
 RIDGE = 1.0
@@ -103,12 +105,13 @@ def fourier(x: np.ndarray) -> np.ndarray:
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Middle raw score and mean label of the pools that the pool-adjacent-violators rule leaves.
 
-    Pools are pulled towards the overall mean by one row's weight, so that no score is exactly 0 or 1.
+    Equal raw scores (to ``TIE_DIGITS`` digits) are one pool before the rule, so the order of rows plays no part. Pools are pulled towards the overall mean by one row's weight, so that no score is exactly 0 or 1.
     """
-    order = np.argsort(raw, kind="stable")
+    values, which, rows = np.unique(np.round(raw, TIE_DIGITS), return_inverse=True, return_counts=True)
+    ones = np.bincount(which, y, len(values))
     pools: list[list[float]] = []  # sum of labels, rows, sum of raw scores
-    for r, label in zip(raw[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([label, 1, r])
+    for r, label, n in zip(values.tolist(), ones.tolist(), rows.tolist(), strict=True):
+        pools.append([label, n, r * n])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
@@ -119,11 +122,16 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", folds: int = 5) -> Model:
-    """Learns from labelled rows whose CRC-32 of the id is no multiple of ``folds``."""
+    """Learns from labelled rows whose CRC-32 of the id is no multiple of ``folds``.
+
+    An id counts once however often it is repeated: with the mean of its labels, and the least of its texts' statistics.
+    """
     known = pick(labels, key, label).filter(F.col(label).isNotNull() & F.col(key).isNotNull() & (bucket(F.col(key), folds) != 0))
+    known = known.groupBy(key).agg(F.avg((F.col(label) > 0).cast("double")).alias("y"))
     known = about(known, key, known.count(), FIT_ROWS)
     part = F.pmod(F.xxhash64(F.lit(3), key), F.lit(CALIBRATE)) == 0
-    rows = stats.join(known, key).select(*STATISTICS, (F.col(label) > 0).cast("double").alias("y"), part.alias("later"))
+    rows = stats.join(known, key).groupBy(key, "y").agg(F.min(F.struct(*STATISTICS)).alias("s"))
+    rows = rows.select("s.*", "y", part.alias("later"))
     rows = rows.repartition(8).persist()
     size = rows.agg(
         F.count("*").alias("n"), F.sum("y").alias("ones"), F.sum((~F.col("later")).cast("int")).alias("used"),
