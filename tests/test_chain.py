@@ -117,3 +117,44 @@ def test_reach_by_bitmaps_equals_pairs(spark, limit):
     counts = {(r.node, r.depth): r.n_origins for r in chain.reach_counts(edges, limit, origins).collect()}
     assert counts == dict(Counter((node, depth) for _, node, depth in want))
     assert chain.reach_from(edges, limit, origins.filter("origin > 9000")).count() == 0
+
+
+def grid_of(spark):
+    """Nodes 0 to 59 lead to each other, and each to twenty of 1,000 that lead nowhere."""
+    pairs = [(i, (i * 7 + k) % 60) for i in range(60) for k in (1, 5)] + [(i, 100 + (i * 20 + k) % 1000) for i in range(60) for k in range(20)]
+    return spark.createDataFrame(pairs, "src bigint, dst bigint")
+
+
+def test_only_nodes_that_lead_on_keep_bits_from_step_to_step(spark, monkeypatch):
+    kept = []
+    stored = chain.stored
+    monkeypatch.setattr(chain, "stored", lambda df, name: kept.append((name, stored(df, name))) or kept[-1][1])
+    origins = spark.range(60).toDF("origin")
+    got = {(r.node, r.depth): r.n_origins for r in chain.reach_counts(grid_of(spark), 3, origins).collect()}
+    want = Counter((r.node, r.depth) for r in chain.reach(grid_of(spark), 3, origins).collect())
+    assert got == dict(want)
+    bits = [df for name, df in kept if name == "reach-bits"]
+    assert bits and all(df.filter("src >= 100").count() == 0 for df in bits)
+
+
+def test_reach_in_several_parts(spark, monkeypatch):
+    """Blocks of origins that are not sent at once, and blocks too large to send."""
+    edges = spark.createDataFrame([(i, (i * 7 + k) % 1300) for i in range(1300) for k in (1, 2)], "src bigint, dst bigint")
+    origins = spark.range(1300).toDF("origin")
+    want = {(r.origin, r.node, r.depth) for r in chain.reach(edges, 3, origins).collect()}
+    monkeypatch.setattr(chain, "SENT_ROWS", 3000)
+    monkeypatch.setattr(chain, "SENT_ORIGINS", 0)
+    assert {(r.origin, r.node, r.depth) for r in chain.reach_from(edges, 3, origins).collect()} == want
+
+
+def test_pairs_are_made_last(spark):
+    """Nothing is shuffled or joined after the pairs of ``reach_from`` are made."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = chain.reach_from(grid_of(spark), 2, spark.range(60).toDF("origin"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan[: plan.index("Generate explode")]
+    assert "Exchange" not in above and "Join" not in above
