@@ -248,3 +248,55 @@ def test_area_of_a_spherical_band_and_holes(spark):
 def test_points_on_cell_borders(spark):
     got = spatial.cell_id(points_of(spark, [(0.5, -0.5), (0.49999, -0.50001), (-0.5, 0.0)]), 0.5).collect()
     assert [(r.cx, r.cy) for r in got] == [(1, -1), (0, -2), (-1, 0)]
+
+
+@pytest.fixture(params=[1024, 3])
+def copies(request, spark, monkeypatch):
+    """Places and shapes that many rows share, in blocks of two sizes and with the pairs of a place dealt to several tasks."""
+    monkeypatch.setattr(grid, "BLOCK", request.param)
+    monkeypatch.setattr(grid, "TASK_PAIRS", 40)
+    places = [(0.0, 0.0), (0.1, 0.1), (0.1, 0.5), (3.0, 3.0), (None, 1.0)]
+    return [places[i % 5] if i % 2 else places[0] for i in range(60)] + [(0.01 * i, 0.2) for i in range(20)]
+
+
+def test_rows_that_share_a_place_each_come_out(spark, copies):
+    a, b = as_ids(spark, copies), as_ids(spark, copies[1::3])
+    known = [(i, p) for i, p in enumerate(copies) if p[0] is not None]
+    others = [(j, q) for j, q in enumerate(copies[1::3]) if q[0] is not None]
+    got = [(r.a_id, r.b_id) for r in spatial.within_distance_join(a, b, 30000.0).collect()]
+    assert sorted(got) == sorted((i, j) for i, p in known for j, q in others if round(metres(p, q), 3) <= 30000)
+    nearest = sorted((r.a_id, r.rank_no, r.b_id) for r in spatial.knn_join(a, b, 2).collect())
+    ranked = {i: sorted((round(metres(p, q), 3), j) for j, q in others)[:2] for i, p in known}
+    assert nearest == sorted((i, n + 1, j) for i, best in ranked.items() for n, (_, j) in enumerate(best))
+
+
+def test_rows_that_share_a_shape_each_come_out(spark, copies):
+    squares = {k: (0.05 * (k % 4), 0.1 * (k % 3)) for k in range(40)}
+    shapes = {k: [[(x, y), (x + 0.12, y), (x + 0.12, y + 0.15), (x, y + 0.15)]] for k, (x, y) in squares.items()}
+    plots, points = make_plots(spark, shapes), points_of(spark, copies)
+    inside = [(i, k) for i, p in enumerate(copies) if p[0] is not None for k, rings in shapes.items() if even_odd(rings, *p)]
+    hit = {i for i, _ in inside}
+    got = {how: spatial.pip_join(points, plots, 0.1, how, crowd=2) for how in ("inner", "left", "semi", "anti")}
+    assert sorted((r.pt, r.plot_id) for r in got["inner"].collect()) == sorted(inside)
+    missed = [i for i in range(len(copies)) if i not in hit]
+    assert sorted(((r.pt, r.plot_id or -1) for r in got["left"].collect() if r.plot_id != 0)) == sorted(
+        [(i, k) for i, k in inside if k] + [(i, -1) for i in missed]
+    )
+    assert sorted(r.pt for r in got["semi"].collect()) == sorted(hit) and sorted(r.pt for r in got["anti"].collect()) == missed
+
+    def apart(p, q):
+        return max(abs(p[0] - q[0]) - 0.12, abs(p[1] - q[1]) - 0.15)
+
+    pairs = [(k, m) for k in squares for m in squares if k < m and apart(squares[k], squares[m]) <= 0]
+    assert sorted(map(tuple, spatial.bbox_overlap_join(plots, 0.1, crowd=2).collect())) == pairs
+
+
+def test_a_shape_is_tested_once_however_many_plots_have_it(spark, monkeypatch):
+    covered = []
+    original = grid.cover
+    monkeypatch.setattr(grid, "cover", lambda *args: covered.append(args[0]) or original(*args))
+    plots = make_plots(spark, {k: SHAPES[1 + k % 5] for k in range(100)})
+    for how in ("inner", "left", "semi", "anti"):
+        spatial.pip_join(points_of(spark, [(1.0, 1.0)]), plots, 1.0, how)
+    spatial.bbox_overlap_join(plots, 1.0)
+    assert [df.count() for df in covered] == [5] * 5
