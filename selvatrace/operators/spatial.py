@@ -93,8 +93,7 @@ def pip_join(
     joined = joined.drop(*grid.helper_columns(2), "xmin", "ymin", "xmax", "ymax", "_edges")
     if not held:
         return joined
-    each = joined.withColumn("_one", F.explode_outer("_many") if how == "left" else F.explode("_many"))
-    return each.withColumn("plot_id", F.col("_one.id")).drop("_one", "_many")
+    return joined.withColumn("plot_id", F.explode_outer("_many") if how == "left" else F.explode("_many")).drop("_many")
 
 
 def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
@@ -138,8 +137,8 @@ def within_distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame
     distance = great_circle_m(F.col("lon"), F.col("lat"), F.col("_blon"), F.col("_blat"))
     met = grid.dealt_join(keyed, around, ["_c0", "_c1"], F.size("_as"), F.size("_bs"))
     near = met.withColumn("metres", distance).filter(F.col("metres") <= F.lit(float(metres)))
-    each = near.select(F.explode("_as").alias("_a"), "_bs", "metres").select("_a", F.explode("_bs").alias("_b"), "metres")
-    return each.select(F.col("_a.id").alias("a_id"), F.col("_b.id").alias("b_id"), "metres")
+    each = near.select(F.explode("_as").alias("a_id"), "_bs", "metres")
+    return each.select("a_id", F.explode("_bs").alias("b_id"), "metres")
 
 
 def _metres_to_cell(lon: Column, lat: Column, width: float) -> Column:
@@ -238,8 +237,8 @@ def knn_join(a: DataFrame, b: DataFrame, k: int, levels: int = DEEPEST, crowd: i
     )
     nearest = W.partitionBy("_no").orderBy("metres", "b_id")
     ranked = pairs.withColumn("rank_no", F.row_number().over(nearest)).filter(F.col("rank_no") <= k)
-    each = ranked.join(asking.select("_no", "_many"), "_no").withColumn("_a", F.explode("_many"))
-    return each.select(F.col("_a.id").alias("a_id"), "b_id", "metres", "rank_no")
+    each = ranked.join(asking.select("_no", "_many"), "_no")
+    return each.select(F.explode("_many").alias("a_id"), "b_id", "metres", "rank_no")
 
 
 def _centre_and_radius(x: str, y: str, deg: float) -> tuple[Column, Column, Column]:
@@ -300,13 +299,11 @@ def bbox_overlap_join(plots: DataFrame, deg: float, crowd: int = 256, levels: in
         & (F.floor(corner_y / width) == F.col("_c1"))
     )
     met = grid.dealt_join(a, b, ["_lvl", "_c0", "_c1"], F.size("a__many"), F.size("b__many")).filter(overlap)
-    within = (F.col("a__no") == F.col("b__no")).alias("_within")
-    each = met.select(F.explode("a__many").alias("_a"), "b__many", within).select(
-        F.col("_a.id").alias("_a"), F.explode("b__many").alias("_b"), "_within"
-    )
-    each = each.select("_a", F.col("_b.id").alias("_b"), "_within")
-    # Two blocks meet once, so each of their pairs comes out once; a block meets itself, so each of its pairs comes twice.
-    each = each.filter((F.col("_a") < F.col("_b")) | (~F.col("_within") & (F.col("_a") > F.col("_b"))))
+    # Two blocks meet once, so each of their pairs comes out once. A block that meets itself pairs each id with those after it.
+    within = F.col("a__no") == F.col("b__no")
+    each = met.select(F.posexplode("a__many").alias("_at", "_a"), "b__many", within.alias("_within"))
+    rest = F.when(F.col("_within"), F.slice("b__many", F.col("_at") + 2, F.size("b__many"))).otherwise(F.col("b__many"))
+    each = each.select("_a", F.explode(rest).alias("_b")).filter("_a <> _b")
     return each.select(F.least("_a", "_b").alias("a_plot_id"), F.greatest("_a", "_b").alias("b_plot_id"))
 
 

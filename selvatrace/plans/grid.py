@@ -188,7 +188,9 @@ def in_blocks(rows: DataFrame, alike: list[str], value: str, *first: str) -> Dat
         number = F.coalesce(F.pmod(F.xxhash64(value), F.col("_blocks")), F.lit(0)).alias("_block")
         same = reduce(and_, [F.col(f"_r.{c}").eqNullSafe(F.col(f"_l.{c}")) for c in alike])
         dealt = rows.alias("_r").join(large.alias("_l"), same, "left").select("_r.*", number)
-    many = F.collect_list(F.struct(F.col(value).alias("id"))).alias("_many")  # structs keep null ids
+    nulls = (F.count(F.lit(1)) - F.count(value)).cast("int")
+    null = F.lit(None).cast(rows.schema[value].dataType)
+    many = F.concat(F.collect_list(value), F.array_repeat(null, nulls)).alias("_many")
     return dealt.groupBy(*alike, "_block").agg(*[F.first(c).alias(c) for c in first], many).drop("_block")
 
 
