@@ -3,10 +3,12 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from selvatrace.llm import near_copies
+from selvatrace.llm import near_copies, simhash
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -85,3 +87,45 @@ def test_long_texts_equal_all_pairs(spark):
     texts = long_texts()
     rows = spark.createDataFrame(list(enumerate(texts)), "row bigint, text string").repartition(3)
     assert {r.row: r.component for r in near_copies.classes(rows).collect()} == dict(enumerate(brute(texts)))
+
+
+def test_wide_fingerprint_is_the_majority_of_each_bit():
+    rng = random.Random(5)
+    for n in (1, 2, 7, 255, 256, 4080, 4081, 9000):
+        hashes = np.array([rng.getrandbits(64) for _ in range(n)], dtype=np.uint64)
+        for seed, word in zip(simhash._SEEDS, simhash.wide_fingerprint(hashes).tolist(), strict=True):
+            each = simhash.mixed(hashes ^ seed).tolist()
+            assert word % (1 << 64) == sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in each) > n)
+
+
+def noted(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string").repartition(3)
+    marked = near_copies.marks(rows, "key", "text").withColumn("node", F.monotonically_increasing_id()).localCheckpoint()
+    return rows, marked, near_copies.grouped(marked).localCheckpoint()
+
+
+def test_simhash_links_most_alike_sets_and_no_others(spark):
+    texts = long_texts()
+    rows, marked, nodes = noted(spark, texts)
+    keys = {r.node: r.least for r in nodes.collect()}
+    got = {tuple(sorted((keys[r.a], keys[r.b]))) for r in near_copies.similar(nodes, marked, rows).collect()}
+    sets = [near_copies.shingles(t) for t in texts]
+    want = {p for p in combinations(range(len(texts)), 2) if near_copies.alike(sets[p[0]], sets[p[1]])}
+    assert got <= want and len(got) > 0.6 * len(want)
+
+
+@pytest.mark.parametrize("crowd", [64, 3])
+def test_wide_links_within_cells(spark, crowd):
+    rows = [(i, 100, [1, 2, 3, 4 ^ (1 << i)]) for i in range(6)] + [(9, 900, [1, 2, 3, 4]), (10, 100, [~1, ~2, ~3, ~4])]
+    prints = spark.createDataFrame(rows, "node bigint, n bigint, print array<bigint>")
+    got = {(r.a, r.b) for r in simhash.wide_links(prints, crowd).collect()}
+    # A crowded cell has its smallest node as star; cells of the last word's table hold one node each.
+    assert got == (set(combinations(range(6), 2)) if crowd == 64 else {(0, i) for i in range(1, 6)})
+
+
+def test_tokens_meet_once_and_busy_ones_are_counted_first(spark):
+    busy = near_copies.BUSY << 56
+    rows = [(t, n) for t in (5, busy + 5) for n in range(7)] + [(6, 1), (busy + 6, 1), (7, 1), (7, 2)]
+    placed = spark.createDataFrame(rows, "token bigint, node bigint").repartition(2)
+    got = sorted(tuple(r) for r in near_copies.cells(placed).select("token", "node", "held").collect())
+    assert got == sorted([(t, n, 7) for t in (5, busy + 5) for n in range(7)] + [(7, 1, 2), (7, 2, 2)])
