@@ -129,3 +129,20 @@ def test_tokens_meet_once_and_busy_ones_are_counted_first(spark):
     placed = spark.createDataFrame(rows, "token bigint, node bigint").repartition(2)
     got = sorted(tuple(r) for r in near_copies.cells(placed).select("token", "node", "held").collect())
     assert got == sorted([(t, n, 7) for t in (5, busy + 5) for n in range(7)] + [(7, 1, 2), (7, 2, 2)])
+
+
+def test_stage_shuffles_only_texts_in_doubt(spark, tmp_path):
+    """Of documents without copies no text is shuffled, even where nothing is small enough to be sent to all."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i} e{i} " * 3, "en", "s", 0) for i in range(60)] + [(77, "a7 b7 c7 d7 e7 " * 3, "en", "s", 0)] * 2, SCHEMA)
+        docs.write.parquet(str(tmp_path / "docs"))
+        kept = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(str(tmp_path / "docs")), "")
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+        alone, doubtful = near_copies.split(docs, ["doc_id"], docs.filter("doc_id = 77"))
+        assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+        assert alone.count() + doubtful.count() == 62 and doubtful.filter("doc_id = 77").count() == 2 and doubtful.count() < 6
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "LeftSemi" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
