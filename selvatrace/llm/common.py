@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from selvatrace.session import scratch_path
 
 #: Bytes of text that one numpy pass handles at once, so that its arrays stay small.
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 18
+#: Rows and bytes that go to Python at once, about.
+BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -73,11 +76,34 @@ def slabs(texts: list[bytes] | list[str], most: int = SLAB_BYTES) -> Iterator[tu
         yield start, len(texts)
 
 
-def small_batches(spark: SparkSession, most: int = 1000) -> None:
-    """From now on at most ``most`` rows go to Python at once: texts are long, and two or three copies of a batch are held."""
+def small_batches(spark: SparkSession, most: int = BATCH_ROWS) -> None:
+    """From now on at most ``most`` rows and about ``BATCH_BYTES`` go to Python at once: texts are long, and two or three copies
+    of a batch are held on either side. Lower settings stay, but for the one that this sets by default."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= most:
+    if not 0 < int(spark.conf.get(name)) <= most or int(spark.conf.get(name)) == BATCH_ROWS:
         spark.conf.set(name, str(most))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Memory that Arrow and the C library keep for later goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, with ``give_back`` at its end: a worker outlives its task, and would hold the most that any task
+    took beside the JVM's heap while other stages run."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
 
 
 def small(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.RecordBatch]:

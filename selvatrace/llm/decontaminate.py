@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from selvatrace.llm.common import mixed, pick, slabs
+from selvatrace.llm.common import lean, mixed, pick, slabs
 
 WINDOW = 10
 GRAM = 5
@@ -136,7 +136,7 @@ def item_fingerprints(items: DataFrame, key: str = "item_id", text: str = "text"
                     out.append((item, kind, fp, int(p), *_found(joined, starts, ends, 0, n, int(p), size)))
             yield _batch(out, _ITEM_TYPES)
 
-    return rows.mapInArrow(run, f"item string, {_KIND}")
+    return rows.mapInArrow(lean(run), f"item string, {_KIND}")
 
 
 _WORDS = pa.list_(pa.string())
@@ -216,7 +216,7 @@ def document_fingerprints(docs: DataFrame, key: str, text: str, sieve: np.ndarra
             yield pa.RecordBatch.from_arrays([*base, *columns], names=[key, "text_hash", "n_words", *_NAMES])
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, text_hash bigint, n_words bigint, {_KIND}")
+    return rows.mapInArrow(lean(run), f"`{key}` {kind}, text_hash bigint, n_words bigint, {_KIND}")
 
 
 def _equal_run(a: str, b: str):
@@ -247,7 +247,7 @@ def _merged(hits: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(out | {"spans": pa.array(spans, kinds), "n_hit": pa.array(counts, pa.int64())})
 
     schema = ", ".join(f"`{c}` {hits.schema[c].dataType.simpleString()}" for c in rest)
-    return hits.mapInArrow(run, f"{schema}, spans array<struct<start:int,end:int>>, n_hit bigint")
+    return hits.mapInArrow(lean(run), f"{schema}, spans array<struct<start:int,end:int>>, n_hit bigint")
 
 
 def contamination(

@@ -26,7 +26,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from selvatrace.llm.common import pick, small
+from selvatrace.llm.common import lean, pick, small
 
 #: Base kinds first: their order breaks ties of spans that start together.
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "pem")
@@ -153,4 +153,4 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[s
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
     clean = ", clean string" if carry else ""
-    return rows.mapInArrow(run, f"{schema}, secrets array<struct<kind:string,start:bigint,end:bigint>>{clean}")
+    return rows.mapInArrow(lean(run), f"{schema}, secrets array<struct<kind:string,start:bigint,end:bigint>>{clean}")

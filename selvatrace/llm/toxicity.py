@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from selvatrace.llm.common import about, bucket, logistic, pick, small
+from selvatrace.llm.common import about, bucket, lean, logistic, pick, small
 
 #: Most labelled rows that learning uses, about.
 FIT_ROWS = 12_000
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     log = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     unsure = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     learned = (
-        rows.mapInArrow(_counted, "entry string, clean bigint, toxic bigint")
+        rows.mapInArrow(lean(_counted), "entry string, clean bigint, toxic bigint")
         .groupBy("entry")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter("toxic >= 3")
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             columns = [pa.array([r[i] for r in x], pa.float64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*columns, b.column(1)], names=["a", "b", "c", "y"])
 
-    sample = rows.mapInArrow(featured, "a double, b double, c double, y int").toPandas()
+    sample = rows.mapInArrow(lean(featured), "a double, b double, c double, y int").toPandas()
     rows.unpersist()
     curve = logistic(sample[["a", "b", "c"]].to_numpy(), (sample["y"] > 0).to_numpy().astype(float), 0.1)
     return Lexicon(weights, curve)
@@ -201,4 +201,4 @@ def score(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "t
             yield pa.RecordBatch.from_arrays([*carried, pa.array(scores), counts], names=[*columns, "toxicity", "n_hits"])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(run, f"{kinds}, toxicity double, n_hits bigint")
+    return rows.mapInArrow(lean(run), f"{kinds}, toxicity double, n_hits bigint")
