@@ -3,9 +3,12 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from selvatrace.functions import bits
 from selvatrace.operators import chain
 
 
@@ -158,3 +161,56 @@ def test_pairs_are_made_last(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     above = plan[: plan.index("Generate explode")]
     assert "Exchange" not in above and "Join" not in above
+
+
+def test_bits_are_united_where_the_edges_are(spark, monkeypatch):
+    """A node's bits are complete in the task that reads its edges: none is shuffled."""
+    plans = []
+    stored = chain.stored
+    monkeypatch.setattr(chain, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or stored(df, name))
+    chain.reach_counts(grid_of(spark), 3, spark.range(60).toDF("origin"))
+    found = [plan for name, plan in plans if name in ("reach-found", "reach-bits")]
+    assert len(found) >= 5 and all("Exchange" not in plan for plan in found)
+
+
+@pytest.mark.parametrize(("sent", "met"), [(1000, 50), (24_000, 1 << 17), (10**7, 200)])
+def test_reach_in_parts_of_any_size(spark, monkeypatch, sent, met):
+    """3,000 origins, so blocks that are cut, taken alone or side by side; a hub that all lead to, and nodes named by text."""
+    pairs = {(i, (i * 7 + k * k) % 3000) for i in range(3000) for k in (1, 4)} | {(i, 9000) for i in range(3000)} | {(9000, 9001)}
+    steps, want = {}, Counter()
+    for a, b in pairs:
+        steps.setdefault(a, set()).add(b)
+    for start in range(3000):
+        seen, now = set(), {start}
+        for depth in (1, 2, 3):
+            now = {b for a in now for b in steps.get(a, ())} - seen
+            seen |= now
+            want.update((f"n{b}", depth) for b in now)
+    monkeypatch.setattr(chain, "SENT_ROWS", sent)
+    monkeypatch.setattr(bits, "MET_ROWS", met)
+    edges = spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in pairs], "src string, dst string")
+    origins = spark.createDataFrame([(f"n{i}",) for i in range(3000)], "origin string")
+    got = {(r.node, r.depth): r.n_origins for r in chain.reach_counts(edges, 3, origins).collect()}
+    assert got == dict(want)
+    near = chain.reach_from(edges, 2, origins).groupBy("node", "depth").count().collect()
+    assert {(r.node, r.depth): r["count"] for r in near} == {k: n for k, n in want.items() if k[1] < 3}
+
+
+def test_rows_of_bits_are_united_by_key():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(0, 2**63, (50, bits.WIDE), dtype=np.uint64) & rng.integers(0, 2**63, (50, bits.WIDE), dtype=np.uint64)
+    key = np.append(rng.integers(0, 40, 5000), np.full(3000, 77))
+    row = rng.integers(0, 3, len(key)) + key % 48
+    keys, words = bits.or_by(key, rows, row)
+    assert keys.tolist() == sorted(set(key.tolist()))
+    for k, w in zip(keys, words, strict=True):
+        assert (w == np.bitwise_or.reduce(rows[row[key == k]], axis=0)).all()
+
+
+def test_nodes_are_found_by_any_value():
+    for values in ([5, -7, 2**63 - 1, -(2**63)], [5, 7, 6], [0, 2**40]):
+        find = bits.finder(pa.array(values, pa.int64()))
+        asked = [*values, 8, 4, -(2**63) + 1, 2**62]
+        assert find(pa.array(asked, pa.int64())).tolist() == [values.index(v) if v in values else -1 for v in asked]
+    assert bits.finder(pa.array(["a", "b"]))(pa.array(["b", "x", "a"])).tolist() == [1, -1, 0]
+    assert bits.finder(pa.array([3, 4], pa.int32()))(pa.array([4, 9], pa.int64())).tolist() == [1, -1]
