@@ -173,6 +173,11 @@ def test_bits_are_united_where_the_edges_are(spark, monkeypatch):
     assert len(found) >= 5 and all("Exchange" not in plan for plan in found)
 
 
+def test_names_are_put_to_bits_without_a_join(spark):
+    plan = chain.reach_from(grid_of(spark), 3, spark.range(60).toDF("origin"))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "getbit" not in plan
+
+
 @pytest.mark.parametrize(("sent", "met"), [(1000, 50), (24_000, 1 << 17), (10**7, 200)])
 def test_reach_in_parts_of_any_size(spark, monkeypatch, sent, met):
     """3,000 origins, so blocks that are cut, taken alone or side by side; a hub that all lead to, and nodes named by text."""
